@@ -9,10 +9,12 @@ surrounds it and can be kept in a bounded table.
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from functools import cache
 
 #: Chunks kept by a worker, and the longest chunk that is kept.
-KEPT_CHUNKS, KEPT_CHARS = 200_000, 48
+KEPT_CHUNKS, KEPT_CHARS = 400_000, 48
 
 
 def default_ranks() -> str:
@@ -26,14 +28,28 @@ class _Context(Exception):
 
 
 class _Chunks(dict):
-    def __init__(self, encode) -> None:
+    """Ids of chunks that stand behind ``before``: a space, or nothing (after a line's end)."""
+
+    def __init__(self, encode, before: str, after_line: _Chunks | None = None) -> None:
         super().__init__()
-        self.encode = encode
+        self.encode, self.before = encode, before
+        self.after_line = self if after_line is None else after_line
+        self.line = encode("\n")
+        self.marks = {mark: encode(mark) for mark in ",."}
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Context
-        ids = self.encode(" " + chunk)
+        if "\n" in chunk:
+            # A lone line's end between other characters is a token of its own.
+            first, *rest = chunk.split("\n")
+            return self.line.join([self[first], *map(self.after_line.__getitem__, rest)])
+        mark = self.marks.get(chunk[-1])
+        if mark and chunk[:-1].isalpha():
+            # So is a mark behind letters.
+            ids = self[chunk[:-1]] + mark
+        else:
+            ids = self.encode(self.before + chunk)
         if len(chunk) <= KEPT_CHARS:
             if len(self) >= KEPT_CHUNKS:
                 self.clear()
@@ -50,18 +66,20 @@ class Codec:
 
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self._bpe = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self._chunks = _Chunks(self._whole)
+        bpe = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        self._ids = bpe.encode_ordinary
+        self._chunks = _Chunks(self._whole, " ", _Chunks(self._whole, ""))
 
     def _whole(self, text: str) -> bytes:
-        return self._bpe.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4").tobytes()
+        ids = array("I", self._ids(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
         first, *rest = text.split(" ")
-        if not rest or not first or first[0].isspace() or first[-1].isspace():
-            return self._whole(text)
         try:
-            return self._whole(first) + b"".join(map(self._chunks.__getitem__, rest))
+            return self._chunks.after_line[first] + b"".join(map(self._chunks.__getitem__, rest))
         except _Context:
             return self._whole(text)
 
