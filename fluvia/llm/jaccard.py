@@ -8,20 +8,24 @@ cut into parts; XOR-ing the elements of each part gives a parity sketch, and eac
 differing element changes one part at most, so the number of parts that differ
 bounds the symmetric difference from below.  By the pigeonhole principle two
 similar sets share one of the first d + 1 parts that are not empty, whatever
-fixed order they are taken in; parts with more elements come first, as they are
-rarer.  Equal parts are found by a join on band, part and value.
+fixed order they are taken in; parts without a frequent shingle come first, then
+those with more elements, as they are rarer.  (The ``FREQUENT`` most frequent
+shingles are counted over all documents; they set the order and nothing else.)
+Equal parts are found by a join on band, part and value.
 
 Sets that share a part make candidates in two rounds.  The first verifies links
 to the smallest set of each part only, which settles groups of copies without
 their pairs.  The second takes, within parts that still join different components,
-the pairs between components whose bit sketches (element hash modulo a power of
-two, parity) are close enough.  Candidates are verified on the shingles of the
+the pairs between components.  In both, pairs whose bit sketches (element hash
+modulo a power of two, parity) are too far apart go, by a short sketch within the
+join and then by one of a bit for each element.  Candidates are verified on the shingles of the
 whole texts.  Identical sets are one node all along.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased.  With
 fewer than five words the whole sequence is the one shingle; a null or wordless
 text has no shingles and is linked with nothing.  Repeated rows share a component.
-A null doc_id never is a component's id unless it has no other.
+A null doc_id never is a component's id unless it has no other.  (Node ids and
+shingles are 64-bit hashes of the whole set and of whole words.)
 """
 
 from __future__ import annotations
@@ -41,6 +45,10 @@ WORDS = 5
 CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 1_500_000
 #: Ids of nodes that are broadcast at most; beyond that the join is left to Spark.
 BROADCAST_NODES = 1_000_000
+#: 64-bit words of the short bit sketch that goes with a set's parts.
+SKETCH_WORDS = 8
+#: Shingles that count as frequent at most, and how often one must be among ``HELD`` shingles of a task to be counted.
+FREQUENT, OFTEN = 65_536, 4
 #: Sets below this size have each element as a part of its own.
 SMALL = 64
 
@@ -143,6 +151,13 @@ def sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((count & 1).astype(np.uint8)).tobytes()
 
 
+def short_sketch(shingles: np.ndarray) -> list[int]:
+    """Parity of the elements at each of ``SKETCH_WORDS`` * 64 bits."""
+    bits = SKETCH_WORDS * 64
+    count = np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8)).view(np.int64).tolist()
+
+
 def _words(packed: bytes, bits: int) -> np.ndarray:
     """A bit sketch folded to ``bits``; elements keep their place modulo that."""
     return np.bitwise_xor.reduce(np.frombuffer(packed, np.uint8).reshape(-1, bits // 8), axis=0)
@@ -154,8 +169,14 @@ def distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(_words(a, bits) ^ _words(b, bits)).sum())
 
 
-def part_keys(shingles: np.ndarray) -> np.ndarray:
-    """The keys of a set: its first parts in every band that it belongs to."""
+def _among(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(shingles), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
+
+
+def part_keys(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The keys of a set: its first parts in every band that it belongs to.  ``frequent`` is sorted."""
     n = len(shingles)
     if not n:
         return shingles
@@ -164,20 +185,20 @@ def part_keys(shingles: np.ndarray) -> np.ndarray:
     spaces = [(band, min(4 * n // 3, high - 1))]
     if 4 * n // 3 >= high:
         spaces.append((band + 1, 4 * n // 3))
-    mixed = _mix(shingles)
+    mixed, often = _mix(shingles), _among(shingles, frequent)
     out = []
     for space, largest in spaces:
         wanted = most_different(n, largest) + 1
         size = 4**space
         if size < SMALL:
-            value = np.sort(mixed)[:wanted]
+            value = mixed[np.lexsort((mixed, often))[:wanted]]
         else:
             parts = size + (3 * size + 4) // 5
             part = ((shingles >> _U(32)) * _U(parts)) >> _U(32)  # in order, as the shingles are
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             count = np.diff(np.append(first, n))
             value = _mix(np.bitwise_xor.reduceat(mixed, first) + part[first] * _U(_BASE))
-            value = value[np.lexsort((part[first], -count))[:wanted]]
+            value = value[np.lexsort((part[first], -count, np.logical_or.reduceat(often, first)))[:wanted]]
         out.append(_mix(value ^ np.full(1, space + 1, _U) * _PLACE[0]))
     return np.concatenate(out)
 
@@ -188,22 +209,50 @@ def _bodies(df: DataFrame) -> DataFrame:
 
 
 def with_sets(df: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node, signature and number of keys of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("signature", pa.binary()), ("n_keys", pa.int64())])
+    """doc_id, n_shingles, node, number of keys and sketches of every row; ``often``, on some rows: shingles often seen by a task and how often."""
+    often = pa.list_(pa.struct([("shingle", pa.int64()), ("n", pa.int64())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("n_keys", pa.int64()), ("short", pa.list_(pa.int64())), ("sketch", pa.binary()), ("often", often)])
+
+    def counted(held: list[np.ndarray]) -> list[dict]:
+        value, n = np.unique(np.concatenate(held), return_counts=True)
+        value, n = value[n >= OFTEN].view(np.int64), n[n >= OFTEN]
+        return [{"shingle": a, "n": b} for a, b in zip(value.tolist(), n.tolist())]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        waiting, n = None, 0
         for batch in batches:
-            rows = [(len(s), *signature(s), most_different(len(s), 4 * len(s) // 3) + 1) for s in shingle_sets(batch.column(1))]
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:]))], schema=schema)
-
-    return _bodies(df).mapInArrow(sets, "doc_id long, n_shingles long, node long, signature binary, n_keys long")
+            if not batch.num_rows:
+                continue
+            if waiting:
+                yield pa.RecordBatch.from_arrays(waiting, schema=schema)
+            each = list(shingle_sets(batch.column(1)))
+            rows = [(len(s), signature(s)[0], most_different(len(s), 4 * len(s) // 3) + 1, short_sketch(s), sketch(s)) for s in each]
+            waiting = [batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:])), pa.nulls(len(rows), often)]
+            held += each
+            n += sum(map(len, each))
+            if n >= HELD:
+                waiting[-1] = pa.array([counted(held), *[None] * (len(rows) - 1)], often)
+                held, n = [], 0
+        if waiting:
+            if held:
+                waiting[-1] = pa.array([counted(held) + (waiting[-1][0].as_py() or []), *[None] * (len(waiting[0]) - 1)], often)
+            yield pa.RecordBatch.from_arrays(waiting, schema=schema)
+
+    return _bodies(df).mapInArrow(sets, "doc_id long, n_shingles long, node long, n_keys long, short array<long>, sketch binary, often array<struct<shingle: bigint, n: bigint>>")
+
+
+def frequent_shingles(sets: DataFrame, most: int = FREQUENT) -> np.ndarray:
+    """At most ``most`` of the shingles that tasks often saw, the most frequent ones, sorted."""
+    often = sets.where("often is not null").select(F.explode("often").alias("x")).groupBy("x.shingle").agg(F.sum("x.n").alias("n"))
+    rows = often.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
+    return np.sort(rows.column(0).to_numpy().view(_U)) if rows.num_rows else np.zeros(0, _U)
 
 
 _PACKED = np.dtype([("key", "<u8"), ("node", "<i8"), ("shared", "u1")])
 
 
-def shared_parts(df: DataFrame, n_buckets: int) -> DataFrame:
+def shared_parts(df: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFrame:
     """(kind, x, y): kind 1, node y holds key x, which another node holds too; kind 2, nodes x < y share a key and x is the smallest known to hold it."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +264,7 @@ def shared_parts(df: DataFrame, n_buckets: int) -> DataFrame:
                 if own in seen:
                     continue
                 seen.add(own)
-                key = part_keys(shingles)
+                key = part_keys(shingles, frequent)
                 held.append((key, np.full(len(key), node, np.int64)))
                 n += len(key)
                 if n >= HELD:
@@ -293,73 +342,89 @@ def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Ite
 
 
 def _shingles_of(df: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, n, sketch, shingles) of ``nodes``, from the whole texts of one document of each."""
+    """(node, shingles) of ``nodes``, from the whole texts of one document of each."""
     chosen = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     chosen = common.staged(chosen.withColumnRenamed("doc_id", "_id"), "chosen")
     few = chosen.count() <= BROADCAST_NODES
     wanted = _bodies(df)
     wanted = wanted.join(F.broadcast(chosen) if few else chosen, wanted["doc_id"].eqNullSafe(chosen["_id"]), "left_semi")
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("shingles", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 for s in shingle_sets(batch.column(1)):
-                    yield signature(s)[0], len(s), sketch(s), s.tobytes()
+                    yield signature(s)[0], s.tobytes()
 
         yield from common.record_batches(rows(), schema, 256)
 
-    each = wanted.mapInArrow(sets_of, "node long, n long, sketch binary, shingles binary")
+    each = wanted.mapInArrow(sets_of, "node long, shingles binary")
     return each.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of nodes that are similar."""
-    side = lambda s: held.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("shingles").alias(f"s{s}"))
-    sized = pairs.join(held.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "a").join(held.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb")), "b").where("4 * least(na, nb) >= 3 * greatest(na, nb)")
+_WORDS = [f"w{i}" for i in range(SKETCH_WORDS)]
+#: The sizes and the short sketches of two sets allow that they are similar.
+_MAY = f"4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and 7 * ({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in _WORDS)}) <= n_a + n_b"
+
+
+def _side(df: DataFrame, side: str, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{c}_{side}") for c in columns])
+
+
+def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose long sketches allow that they are similar."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, na, ka, nb, kb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "ka", "nb", "kb"))
-            ok = [distance(p, q) <= most_different(n, m) for p, q, n, m in zip(ka, kb, na, nb)]
+            ok = [distance(p, q) <= most for p, q, most in zip(*(batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "most")))]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(ok, pa.bool_()))
 
+    a, b = (_side(sizes, s, "node", "n", "sketch") for s in "ab")
+    met = pairs.join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
+    return met.select("a", "b", "sketch_a", "sketch_b", F.expr("(n_a + n_b) div 7").alias("most")).mapInArrow(close, "a long, b long")
+
+
+def _similar(df: DataFrame, pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) of nodes that are similar, by their shingles."""
+    pairs = common.staged(_close(pairs, sizes), "candidates")
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    held = common.staged(_shingles_of(df, nodes, sets), "shingles")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for p, q in zip(batch.column("sa"), batch.column("sb")):
+            for p, q in zip(batch.column("shingles_a"), batch.column("shingles_b")):
                 x, y = np.frombuffer(p.as_buffer(), _U), np.frombuffer(q.as_buffer(), _U)
-                common_n = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * common_n >= 75 * (len(x) + len(y) - common_n))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(ok, pa.bool_()))
 
-    near = sized.select("a", "b", "na", "ka", "nb", "kb").mapInArrow(close, "a long, b long")
-    return near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(similar, "a long, b long")
-
-
-def _round(df: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    pairs = common.staged(pairs, "candidates")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    held = common.staged(_shingles_of(df, nodes, sets), "shingles")
-    return common.staged(_verified(pairs, held), "verified")
+    a, b = (_side(held, s, "node", "shingles") for s in "ab")
+    met = pairs.join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
+    return common.staged(met.select("a", "b", "shingles_a", "shingles_b").mapInArrow(similar, "a long, b long"), "verified")
 
 
 def linked(df: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) between nodes that connect all similar sets, and (node, root) of their components."""
     total = sets.agg(F.sum("n_keys").alias("n")).first().n or 0
-    shared = common.staged(shared_parts(df, max(1, -(-int(total) // BUCKET))), "parts")
+    shared = common.staged(shared_parts(df, max(1, -(-int(total) // BUCKET)), frequent_shingles(sets)), "parts")
+    each = sets.groupBy("node").agg(F.any_value("n_shingles").cast("int").alias("n"), F.any_value("short").alias("short"), F.any_value("sketch").alias("sketch"))
+    sizes = common.staged(each.select("node", "n", "sketch", *[F.get("short", i).alias(w) for i, w in enumerate(_WORDS)]), "sizes")
+    short = sizes.select("node", "n", *_WORDS)
     stars = shared.where("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    links = _round(df, stars, sets)
+    a, b = (_side(short, s, *short.columns) for s in "ab")
+    stars = stars.join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b")).where(_MAY).select("a", "b")
+    links = _similar(df, stars, sets, sizes)
     roots = components(links)
     holds = shared.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("node"))
     holds = holds.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     open_keys = holds.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    sizes = sets.select("node", F.col("n_shingles").alias("n")).distinct()
-    between = common.staged(holds.join(open_keys, "key", "left_semi").join(sizes, "node"), "open-parts")
-    a, b = (between.select("key", *[F.col(c).alias(c + s) for c in ("node", "root", "n")]) for s in ("_a", "_b"))
-    pairs = a.join(b, "key").where("node_a < node_b and root_a <> root_b and 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = _round(df, pairs.join(stars, ["a", "b"], "left_anti"), sets)
+    between = common.staged(holds.join(open_keys, "key", "left_semi"), "open-parts").join(short, "node")
+    a, b = (_side(between, s, "key", "node", "root", "n", *_WORDS) for s in "ab")
+    pairs = a.join(b, F.expr(f"key_a = key_b and node_a < node_b and root_a <> root_b and {_MAY}")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    more = _similar(df, pairs, sets, sizes)
     if more.isEmpty():
         return links, roots
     links = links.unionAll(more)
