@@ -1,19 +1,363 @@
-"""The registered queries of the landing and projection engine, and their SQL."""
+"""The registered queries of the landing and projection engine, and their SQL.
+
+Loads and changes are told apart by what rows say (a status, an event's type),
+so that each query works on whole tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import mapping, redact
+from .operators import feeds, land, project, shape
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+
+
+MAPPING = {
+    "external_id": {"source": "event_id", "cast": "string"},
+    "occurred_at": {"source": "ts"},
+    "type": {"function": "upper", "args": [{"source": "event_type"}]},
+    "k": {"source": "props", "json_path": "k", "cast": "integer"},
+}
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a first load; clicks again, with their value doubled, as a second one that is merged in."""
+    events = _events(spark, sf_dir)
+    first = land.stamped(events, "b1", "r1", "000001")
+    again = land.stamped(events.where("event_type = 'click'").withColumn("value", F.col("value") * 2), "b1", "r2", "000002")
+    return land.merged(first, again, ["event_id"])
+
+
+@_query("""
+SELECT 'upsert' AS operation, CAST(event_id AS VARCHAR) AS external_id, upper(event_type) AS type,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events WHERE event_type IN ('click', 'view', 'purchase')
+""")
+def project_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = _two_loads(spark, sf_dir)
+    keep = mapping.all_of(landed, [{"field": "event_type", "op": "in", "value": ["click", "view", "purchase"]}])
+    rows = project.projected(landed, mapping.compile_mapping(landed, MAPPING), ["external_id"], ["occurred_at", "type"], keep)
+    return project.collapsed(rows, ["external_id"]).select("operation", "values.external_id", "values.type", "values.k")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return project_events(spark, sf_dir)
+
+
+@_query("""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderstatus = 'F' THEN '000002' ELSE '000001' END AS _load_id
+FROM orders
+""")
+def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    old = land.stamped(orders, "b1", "r1", "000001")
+    new = land.stamped(orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2), "b1", "r2", "000002")
+    return land.merged(old, new, ["o_orderkey"]).select("o_orderkey", "o_custkey", "o_totalprice", "_load_id")
+
+
+@_query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
+  CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice, o_orderstatus = 'P' AS _connector_deleted
+FROM orders
+""")
+def merge_tombstone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders")
+    old = land.stamped(orders.select("o_orderkey", "o_custkey", "o_totalprice"), "b1", "r1", "000001")
+    gone = land.stamped(orders.where("o_orderstatus = 'P'").select("o_orderkey", F.lit(True).alias(land.DELETED)), "b1", "r2", "000002")
+    return land.merged(old, gone, ["o_orderkey"]).select("o_orderkey", "o_custkey", "o_totalprice", land.DELETED)
+
+
+@_query("""
+SELECT event_id, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1
+""")
+def dedup_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    return land.newest(events, ["user_id"], [F.col("ts"), F.col("event_id")]).select("event_id", "user_id", "event_type", "value")
+
+
+@_query("""
+SELECT conv_id, turn, role, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM conversations) WHERE k = 1
+""")
+def last_turn_per_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return land.newest(_read(spark, sf_dir, "conversations"), ["conv_id"], [F.col("turn")]).select("conv_id", "turn", "role", "text")
+
+
+@_query("""
+SELECT user_id, CASE WHEN bool_or(event_type = 'error') THEN 'delete' ELSE 'upsert' END AS operation
+FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+""")
+def collapse_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = land.stamped(_events(spark, sf_dir).withColumn(land.DELETED, F.col("event_type") == "error"), "b1", "r1", "000001")
+    cells = mapping.compile_mapping(landed, {"user_id": {"source": "user_id"}, "value": {"source": "value"}})
+    return project.collapsed(project.projected(landed, cells, ["user_id"]), ["user_id"]).select("values.user_id", "operation")
+
+
+_STAGES = """
+WITH w AS (SELECT l_orderkey, l_linenumber, l_returnflag, nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax FROM lineitem),
+u AS (SELECT l_orderkey, l_linenumber, l_returnflag, 'l_discount' AS stage, l_discount AS value, l_tax AS other FROM w
+  UNION ALL SELECT l_orderkey, l_linenumber, l_returnflag, 'l_tax', l_tax, l_discount FROM w)
+"""
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _read(spark, sf_dir, "lineitem")
+    blank = lambda c: F.when(F.col(c) != 0, F.col(c).cast("string")).otherwise("").alias(c)
+    return lines.select("l_orderkey", "l_linenumber", "l_returnflag", blank("l_discount"), blank("l_tax"))
+
+
+@_query(_STAGES + "SELECT l_orderkey, l_linenumber, stage, value FROM u WHERE value IS NOT NULL OR other IS NULL")
+def unpivot_drop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = shape.unpivoted(_wide(spark, sf_dir), ["l_discount", "l_tax"], ["l_orderkey", "l_linenumber"])
+    return long.withColumn("value", F.col("value").cast("double"))
+
+
+@_query(_STAGES + "SELECT l_orderkey, l_linenumber, l_returnflag, stage, value FROM u")
+def unpivot_keep_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = shape.unpivoted(_wide(spark, sf_dir), ["l_discount", "l_tax"], ["l_orderkey", "l_linenumber", "l_returnflag"], drop_empty=False)
+    return long.withColumn("value", F.col("value").cast("double"))
+
+
+@_query("SELECT l_orderkey, l_linenumber, 'l_tax' AS stage, nullif(l_tax, 0) AS value FROM lineitem")
+def unpivot_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = _wide(spark, sf_dir)
+    return shape.unpivoted(wide, shape.columns_like(wide, "l_t*"), ["l_orderkey", "l_linenumber"]).withColumn("value", F.col("value").cast("double"))
+
+
+@_query("""
+SELECT event_id, user_id FROM events
+WHERE ts >= (SELECT max(ts) FROM events WHERE event_type = 'error') OR ts IS NULL
+""")
+def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _read(spark, sf_dir, "events")
+    last = events.where("event_type = 'error'").agg(F.max("ts")).first()[0]
+    return land.incremental(events, "ts", last).select("event_id", "user_id")
+
+
+@_query("SELECT 'events' AS resource, CAST(max(event_id) AS BIGINT) AS high, min(event_id) AS low, count(*) AS n FROM events")
+def cursor_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events").agg(F.max("event_id").alias("high"), F.min("event_id").alias("low"), F.count(F.lit(1)).alias("n")).select(F.lit("events").alias("resource"), "high", "low", "n")
+
+
+@_query("""
+SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS load_id FROM events
+EXCEPT SELECT strftime(ts, '%Y-%m-%d') FROM events WHERE event_type = 'error'
+""")
+def outstanding_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = _read(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("load_id"), "event_type")
+    return land.outstanding(loads, loads.where("event_type = 'error'"))
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def landed_reference_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _read(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return orders.join(known, orders["o_custkey"] == known["c_custkey"], "left_semi")
+
+
+@_query("""
+SELECT c_custkey, c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal
+FROM customer WHERE c_mktsegment <> 'MACHINERY'
+""")
+def writer_upsert_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = _read(spark, sf_dir, "customer")
+    target = customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    values = lambda balance: F.struct("c_custkey", "c_nationkey", balance.alias("c_acctbal")).alias("values")
+    up = customer.where("c_mktsegment = 'BUILDING'").select(F.lit("upsert").alias("operation"), values(F.col("c_acctbal") + 100))
+    gone = customer.where("c_mktsegment = 'MACHINERY'").select(F.lit("delete").alias("operation"), values(F.lit(None).cast("double")))
+    return project.written(target, up.unionByName(gone), ["c_nationkey", "c_custkey"])
+
+
+@_query("""
+SELECT 'c' || c_custkey AS id, 2 AS depth FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'
+UNION ALL SELECT 'n' || n_nationkey, 1 FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'
+UNION ALL SELECT 'r' || r_regionkey, 0 FROM region WHERE r_name = 'ASIA'
+""")
+def folder_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    node = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    region, nation, customer = (_read(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    tree = (
+        region.select(node("r", "r_regionkey").alias("id"), F.lit("top").alias("parent"))
+        .unionAll(nation.select(node("n", "n_nationkey"), node("r", "n_regionkey")))
+        .unionAll(customer.select(node("c", "c_custkey"), node("n", "c_nationkey")))
+    )
+    root = region.where("r_name = 'ASIA'").select(node("r", "r_regionkey")).first()
+    return feeds.subtree(spark, tree, root[0] if root else "")
+
+
+@_query("""
+SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, bool_or(event_type = 'error') AS deleted, count(*) AS changes
+FROM events GROUP BY user_id
+""")
+def history_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    out = feeds.folded(events, ["user_id"], F.col("event_type") == "error", [F.col("ts"), F.col("event_id")])
+    return out.select("user_id", F.col("last.event_type").alias("last_type"), "deleted", "changes")
+
+
+@_query("""
+SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, date_trunc('minute', ts) ORDER BY ts, event_id) <= 2 AS accepted FROM events
+""")
+def delivery_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return land.by_window(_read(spark, sf_dir, "events"), ["user_id"], "ts", "event_id", "1 minute", 2).select("event_id", "user_id", "accepted")
+
+
+_TEXTS = """
+WITH t AS (SELECT c_custkey, substr(c_name, length(c_name) - 3) AS tail, c_acctbal FROM customer)
+"""
+
+
+@_query(_TEXTS + """
+SELECT c_custkey, TRY_CAST(tail AS BIGINT) AS as_integer, CASE WHEN floor(c_acctbal) = c_acctbal THEN CAST(c_acctbal AS BIGINT) END AS whole,
+  CASE WHEN floor(c_acctbal) <> c_acctbal THEN true ELSE false END AS failed
+FROM t
+""")
+def cast_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _read(spark, sf_dir, "customer").select("c_custkey", F.expr("substring(c_name, length(c_name) - 3)").alias("tail"), "c_acctbal")
+    cells = mapping.compile_mapping(df, {"as_integer": {"source": "tail", "cast": "integer"}, "whole": {"source": "c_acctbal", "cast": "integer"}})
+    return df.select("c_custkey", cells["as_integer"].value.alias("as_integer"), cells["whole"].value.alias("whole"), cells["whole"].error.isNotNull().alias("failed"))
+
+
+@_query("""
+SELECT doc_id, quality = 1 AS good, toxic = 1 AS toxic FROM labels
+""")
+def cast_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _read(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "yes").when(F.col("quality") == 0, "No").alias("good"), F.col("toxic").alias("t"))
+    cells = mapping.compile_mapping(df, {"good": {"source": "good", "cast": "boolean"}, "toxic": {"source": "t", "cast": "boolean"}})
+    return df.select("doc_id", cells["good"].value.alias("good"), cells["toxic"].value.alias("toxic"))
+
+
+@_query("""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+""")
+def cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _read(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "d/M/yyyy").alias("d"))
+    day = mapping.compile_mapping(df, {"day": {"source": "d", "cast": "date", "format": "d/M/y"}})["day"]
+    return df.select("o_orderkey", day.value.cast("string").alias("day"))
+
+
+@_query("""
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus || ':' || lower(o_orderpriority) AS label, coalesce(nullif(o_orderstatus, 'O'), 'open') AS status FROM orders
+""")
+def map_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _read(spark, sf_dir, "orders").withColumn("known", F.nullif("o_orderstatus", F.lit("O")))
+    colon = {"constant": ":"}
+    cells = mapping.compile_mapping(df, {
+        "label": {"function": "concat", "args": [{"source": "o_orderkey"}, colon, {"source": "o_orderstatus"}, colon, {"function": "lower", "args": [{"source": "o_orderpriority"}]}]},
+        "status": {"function": "coalesce", "args": [{"source": "known"}, {"constant": "open"}]},
+    })
+    return df.select("o_orderkey", *[c.value.alias(k) for k, c in cells.items()])
+
+
+@_query("""
+SELECT event_type, count(*) AS seen, count(*) FILTER (CAST(json_extract_string(props, '$.k') AS BIGINT) IS NOT NULL) AS ok, count(*) FILTER (json_extract_string(props, '$.k') IS NULL) AS skipped
+FROM events GROUP BY event_type
+""")
+def skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = land.stamped(_events(spark, sf_dir), "b1", "r1", "000001")
+    cells = mapping.compile_mapping(landed, MAPPING | {"type": {"source": "event_type"}})
+    rows = project.projected(landed, cells, ["external_id"], ["k"])
+    return rows.groupBy(F.col("values.type").alias("event_type")).agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("skipped"))
+
+
+@_query("SELECT count(*) FILTER (c_mktsegment <> 'BUILDING') AS foreign_rows FROM customer")
+def tenant_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return land.foreign_rows(_read(spark, sf_dir, "customer").withColumn(land.BINDING, F.col("c_mktsegment")), "BUILDING")
+
+
+@_query("""
+WITH d AS (SELECT event_id, event_type, value, event_type = 'error' AS text FROM events)
+SELECT event_id, CASE WHEN NOT text THEN value END AS value, CASE WHEN text THEN 'n/a' END AS value__v_string FROM d
+""")
+def drift_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _read(spark, sf_dir, "events")
+    first = events.where("event_type <> 'error'").select("event_id", "value")
+    second = events.where("event_type = 'error'").select("event_id", F.lit("n/a").alias("value"))
+    old, new = land.evolved(first, second)
+    return old.unionByName(new)
+
+
+@_query("""
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, 'eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]*', '***', 'g'),
+  '(?i)\\b(bearer|basic) +[A-Za-z0-9._~+/=-]+', '\\1 ***', 'g'),
+  '(?i)\\b(""" + redact.NAMES + """)\\b([ ]*[=:][ ]*)("[^"]*"|[^ \\t\\n,;&]+)', '\\1\\2***', 'g') AS text FROM documents
+""")
+def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", redact.redacted(F.col("text")).alias("text"))
+
+
+@_query("""
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '://[^/?#@]*@', '://', 'g'), '([?&][^=&#]+=)[^&#]*', '\\1***', 'g'), '#.*$', '#***', 'g') AS url FROM pages
+""")
+def scrub_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "pages").select("page_id", redact.scrubbed_url(F.col("url")).alias("url"))
+
+
+@_query("""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS row_number FROM documents)
+SELECT doc_id, row_number, len(string_split(line, ' ')) AS width, nullif(trim(string_split(line, ' ')[1]), '') AS first_cell
+FROM l WHERE trim(line, ' ') <> ''
+""")
+def grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = shape.grid_rows(_read(spark, sf_dir, "documents"), "doc_id", "text")
+    return grid.select("doc_id", "row_number", F.size("cells").cast("long").alias("width"), F.get("cells", 0).alias("first_cell"))
+
+
+#: field, literal and SQL of each filter's query over ``orders``.
+_FILTERS = {
+    "eq": ("o_orderstatus", "F", "o_orderstatus = 'F'"), "ne": ("o_orderstatus", "F", "o_orderstatus <> 'F'"),
+    "gt": ("o_totalprice", 100000, "o_totalprice > 100000"), "lt": ("o_totalprice", 100000, "o_totalprice < 100000"),
+    "gte": ("o_custkey", 100, "o_custkey >= 100"), "lte": ("o_custkey", 100, "o_custkey <= 100"),
+    "in": ("o_orderstatus", ["F", "P"], "o_orderstatus IN ('F', 'P')"), "not_in": ("o_orderstatus", ["F", "P"], "o_orderstatus NOT IN ('F', 'P')"),
+    "contains": ("o_orderpriority", "IG", "contains(o_orderpriority, 'IG')"), "startswith": ("o_orderpriority", "1", "starts_with(o_orderpriority, '1')"),
+    "endswith": ("o_orderpriority", "M", "ends_with(o_orderpriority, 'M')"), "is_null": ("o_orderstatus", None, "o_orderstatus IS NULL"),
+    "is_not_null": ("o_orderstatus", None, "o_orderstatus IS NOT NULL"),
+}
+
+
+def _filter_query(op: str, field: str, literal: object) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        orders = _read(spark, sf_dir, "orders")
+        return orders.where(mapping.condition(orders, field, op, literal)).select("o_orderkey", field)
+
+    return run
+
+
+for _op, (_field, _literal, _where) in _FILTERS.items():
+    _QUERIES[f"filter_{_op}"] = _filter_query(_op, _field, _literal)
+    _SQL[f"filter_{_op}"] = f"SELECT o_orderkey, {_field} FROM orders WHERE {_where}"
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
