@@ -42,7 +42,7 @@ from .components import components
 
 WORDS = 5
 #: Bytes of text hashed at once; entries kept by a task before it hands them on; entries for each bucket.
-CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 1_500_000
+CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 500_000
 #: Ids of nodes that are broadcast at most; beyond that the join is left to Spark.
 BROADCAST_NODES = 1_000_000
 #: 64-bit words of the short bit sketch that goes with a set's parts.
@@ -314,6 +314,8 @@ def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Ite
     if not held:
         return
     key, node = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
+    if not len(key):
+        return
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])

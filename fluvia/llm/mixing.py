@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SEED, EPOCHS, TEMPERATURE, CHUNK = "mix-1", 1.0, 0.5, 32.0
+#: Rates of so many sources are broadcast at most; with more, the join is left to Spark.
+BROADCAST_SOURCES = 100_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -68,7 +70,9 @@ def poisson(rate: Column, key: Column, seed: str) -> Column:
 
 def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, epochs: float = EPOCHS, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
     """The rows of ``df`` (doc_id, text, source, ...), repeated, with ``copy`` (from 1) and ``shuffle_key``."""
-    rate = rates(df, weights, epochs, temperature).withColumnRenamed("source", "_source")
+    rate = common.staged(rates(df, weights, epochs, temperature).withColumnRenamed("source", "_source"), "rates")
+    if rate.count() <= BROADCAST_SOURCES:
+        rate = F.broadcast(rate)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     held = [c for c in df.columns if c not in ("copy", "shuffle_key", "_source", "rate")]
     counted = df.join(rate, F.col("source").eqNullSafe(F.col("_source"))).select(*held, poisson(F.col("rate"), key, seed).alias("_n"))

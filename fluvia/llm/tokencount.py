@@ -88,13 +88,13 @@ def scan_flat(spark: SparkSession, path: str, end: int = END, dtype: str = DTYPE
     stitched = found.select(
         "path", "first", "size", "ends",
         F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("base"),
-        F.coalesce(F.max(F.expr("ends[size(ends) - 1]")).over(before), F.lit(-1)).alias("previous"),
+        F.coalesce(F.max(F.expr("try_element_at(ends, -1)")).over(before), F.lit(-1)).alias("previous"),
         F.lead("block").over(Window.partitionBy("path").orderBy("block")).isNull().alias("last"),
     )
     file = F.element_at(F.split("path", "/"), -1).alias("file")
     # The last block of a file may leave ids behind its last end.
     ends = F.when(
-        F.col("last") & (F.expr("coalesce(ends[size(ends) - 1], previous)") < F.col("first") + F.col("size") - 1),
+        F.col("last") & (F.expr("coalesce(try_element_at(ends, -1), previous)") < F.col("first") + F.col("size") - 1),
         F.concat("ends", F.array(F.col("first") + F.col("size"))),
     ).otherwise(F.col("ends"))
     each = stitched.select(file, "base", "previous", "ends", (F.col("first") + F.col("size")).alias("stop"), F.posexplode(F.arrays_zip(ends.alias("at"), F.concat(F.array("previous"), ends).alias("from"))).alias("k", "pair"))
