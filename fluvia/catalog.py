@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import mapping, redact
-from .operators import feeds, land, project, shape
+from .functions import mapping, records, redact
+from .operators import checks, feeds, land, project, shape
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -330,6 +330,128 @@ def grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.select("doc_id", "row_number", F.size("cells").cast("long").alias("width"), F.get("cells", 0).alias("first_cell"))
 
 
+@_query("""
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_size < 10 AS is_folder, p_size < 20 AS is_native,
+  CASE WHEN p_size >= 10 THEN CAST(p_size AS BIGINT) END AS size, p_brand AS parent_id
+FROM part
+""")
+def flatten_drive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _read(spark, sf_dir, "part")
+    mime = F.when(F.col("p_size") < 10, records.FOLDER_MIME).when(F.col("p_size") < 20, records.NATIVE_PREFIX + "document").otherwise("text/plain")
+    size = F.when(F.col("p_size") >= 10, F.col("p_size").cast("string")).otherwise("-")
+    raw = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), mime.alias("mimeType"), size.alias("size"), F.array("p_brand", "p_type").alias("parents")))
+    return records.drive_files(part.select(raw.alias("raw"))).select("id", "name", "is_folder", "is_native", "size", "parent_id")
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as items of a drive: overdrawn ones are deleted, those of nation 0 are folders; every third has no user."""
+    name = F.struct(F.col("c_mktsegment").alias("displayName"))
+    who = F.struct(F.when(F.col("c_custkey") % 3 != 0, name).alias("user"), F.when(F.col("c_custkey") % 3 == 0, name).alias("device"))
+    parent = F.struct(F.col("c_nationkey").cast("string").alias("id"), F.concat(F.lit("/drive/root:/A%20+b/"), F.col("c_mktsegment")).alias("path"))
+    empty = F.struct(F.lit(None).cast("string").alias("state"))
+    raw = F.to_json(F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), parent.alias("parentReference"), who.alias("createdBy"),
+        F.when(F.col("c_nationkey") == 0, empty).alias("folder"), F.when(F.col("c_acctbal") < 0, empty).alias("deleted"),
+    ))
+    return records.drive_items(_read(spark, sf_dir, "customer").select(raw.alias("raw")), drive_id="d1")
+
+
+@_query("""
+SELECT CAST(c_custkey AS VARCHAR) AS id, '/A +b/' || c_mktsegment || '/' || c_name AS path, CAST(c_nationkey AS VARCHAR) AS parent_id,
+  'd1' AS drive_id, c_nationkey = 0 AS is_folder, c_mktsegment AS created_by, c_acctbal < 0 AS deleted
+FROM customer
+""")
+def flatten_drive_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _items(spark, sf_dir).select("id", "path", "parent_id", "drive_id", "is_folder", "created_by", "deleted")
+
+
+@_query("""
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_acctbal >= 0 THEN c_name END AS name, c_acctbal < 0 AS _connector_deleted
+FROM customer WHERE (c_acctbal < 0 OR c_nationkey <> 0) AND ends_with(c_name, '7')
+""")
+def delta_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.delta(_items(spark, sf_dir), glob="*7").select("id", "name", land.DELETED)
+
+
+@_query("""
+SELECT CAST(conv_id AS VARCHAR) || '-' || turn AS id, role AS subject, epoch_ms(turn * 1000) AS internal_date, left(text, 200) AS body_text
+FROM conversations WHERE text <> ''
+""")
+def flatten_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
+    data = F.regexp_replace(F.translate(F.regexp_replace(F.base64(F.col("text").cast("binary")), "\\s", ""), "+/", "-_"), "=+$", "")
+    part = F.struct(F.lit("text/plain").alias("mimeType"), F.struct(data.alias("data")).alias("body"))
+    payload = F.struct(
+        F.lit("multipart/mixed").alias("mimeType"), F.array(header("Subject", F.lit("old")), header("SUBJECT", F.col("role"))).alias("headers"),
+        F.array(F.struct(F.lit("text/html").alias("mimeType"), F.struct(F.lit("PGI+").alias("data")).alias("body"), F.array(part).alias("parts"))).alias("parts"),
+    )
+    raw = F.to_json(F.struct(F.concat_ws("-", "conv_id", "turn").alias("id"), (F.col("turn") * 1000).cast("string").alias("internalDate"), payload.alias("payload")))
+    mail = records.mail_messages(_read(spark, sf_dir, "conversations").where("text <> ''").select(raw.alias("raw")), body_chars=200)
+    return mail.select("id", "subject", F.col("internal_date").cast("timestamp_ntz").alias("internal_date"), "body_text")
+
+
+@_query("""
+SELECT o_orderkey AS "Id", CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS owner, o_orderdate AS "SystemModstamp", o_orderstatus = 'P' AS _connector_deleted FROM orders
+""")
+def clean_sobjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    envelope = F.struct(F.lit("Order").alias("type"))
+    owner = F.struct(envelope.alias("attributes"), F.col("o_custkey").alias("Id"))
+    orders = _read(spark, sf_dir, "orders").select(
+        envelope.alias("attributes"), F.col("o_orderkey").alias("Id"), owner.alias("Owner"), F.col("o_orderdate").alias("SystemModstamp"), (F.col("o_orderstatus") == "P").alias("IsDeleted")
+    )
+    return records.sobjects(orders, "SystemModstamp").select("Id", F.col("Owner.Id").alias("owner"), "SystemModstamp", land.DELETED)
+
+
+@_query("""
+WITH asia AS (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'),
+s AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal < 0 AS gone, c_nationkey IN (FROM asia) AS was,
+    c_nationkey IN (FROM asia) AND c_nationkey <> (SELECT max(n_nationkey) FROM asia) AS inside, c_acctbal < 0 OR c_mktsegment = 'BUILDING' AS changed
+  FROM customer)
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN inside AND NOT gone THEN c_name END AS name, NOT (inside AND NOT gone) AS _connector_deleted
+FROM s WHERE (inside AND NOT gone AND changed) OR (was AND NOT (inside AND NOT gone))
+""")
+def scoped_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers below ASIA are landed; its last nation moves to the top, overdrawn customers go, those of one segment change."""
+    region, nation, customer = (_read(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    of = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    asia = nation.join(F.broadcast(region.where("r_name = 'ASIA'")), F.col("n_regionkey") == F.col("r_regionkey"))
+    folders = region.select(of("r", "r_regionkey").alias("id"), F.lit("top").alias("parent")).unionAll(nation.select(of("n", "n_nationkey"), of("r", "n_regionkey")))
+    files = customer.select(F.col("c_custkey").cast("string").alias("id"), of("n", "c_nationkey").alias("parent"), F.col("c_name").alias("name"), "c_nationkey", "c_acctbal", "c_mktsegment")
+    landed = files.join(F.broadcast(asia), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("id", "parent", "name")
+    changed = files.where("c_acctbal < 0 or c_mktsegment = 'BUILDING'").select("id", "parent", "name", F.lit(False).alias("is_folder"), (F.col("c_acctbal") < 0).alias("gone"), F.lit(2).alias("seq"))
+    earlier = changed.withColumn("gone", ~F.col("gone")).withColumn("seq", F.lit(1))
+    moved = asia.agg(F.max("n_nationkey").alias("n")).select(of("n", "n").alias("id"), F.lit("top").alias("parent"), F.lit("moved").alias("name"), F.lit(True).alias("is_folder"), F.lit(False).alias("gone"), F.lit(1).alias("seq"))
+    root = region.where("r_name = 'ASIA'").select(of("r", "r_regionkey")).first()
+    return feeds.scoped(spark, folders, landed, changed.unionAll(earlier).unionAll(moved), root[0] if root else "").select("id", "name", land.DELETED)
+
+
+@_query("""
+SELECT event_id, CASE WHEN event_type NOT IN ('click', 'error') THEN 'filtered' WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN event_type = 'error' THEN 'day: not date: oops' END AS error
+FROM events
+""")
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir).withColumn("day", F.when(F.col("event_type") == "error", "oops").otherwise(F.left("ts", F.lit(10))))
+    landed = land.stamped(events, "b1", "r1", "000001")
+    cells = mapping.compile_mapping(landed, {"id": {"source": "event_id"}, "day": {"source": "day", "cast": "date"}})
+    keep = mapping.all_of(landed, [{"field": "event_type", "op": "in", "value": ["click", "error"]}])
+    return checks.preview(landed, cells, ["id"], filters=keep, limit=None).select("source.event_id", "status", "error")
+
+
+@_query("SELECT count(*) AS rows, count(*) FILTER (o_orderstatus = 'P') AS unstamped, count(*) FILTER (o_orderstatus = 'F') AS foreign_rows FROM orders")
+def landing_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = land.stamped(_read(spark, sf_dir, "orders"), "b1", "r1", "000001")
+    binding = F.when(F.col("o_orderstatus") == "F", "b2").when(F.col("o_orderstatus") != "P", "b1")
+    return checks.landing_counts(landed.withColumn(land.BINDING, binding), "b1")
+
+
+@_query("SELECT count(*) AS tombstones, count(*) FILTER (o_orderkey % 7 = 0) AS keyless, count(*) FILTER (o_orderpriority IS NOT NULL) AS with_values FROM orders WHERE o_orderstatus = 'P'")
+def tombstone_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders").select(F.expr("nullif(o_orderkey, if(o_orderkey % 7 = 0, o_orderkey, null))").alias("id"), "o_orderpriority", "o_orderdate", (F.col("o_orderstatus") == "P").alias(land.DELETED))
+    return checks.tombstone_counts(land.stamped(orders, "b1", "r1", "000001"), ["id"], "o_orderdate")
+
+
 #: field, literal and SQL of each filter's query over ``orders``.
 _FILTERS = {
     "eq": ("o_orderstatus", "F", "o_orderstatus = 'F'"), "ne": ("o_orderstatus", "F", "o_orderstatus <> 'F'"),

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .land import DELETED
+
 
 def folded(events: DataFrame, key: Sequence[str], deleted: Column, order: Sequence[Column]) -> DataFrame:
     """Changes of each key as one row: the last event, and whether any of them deletes."""
@@ -21,3 +23,54 @@ def subtree(spark, nodes: DataFrame, root: str) -> DataFrame:
         "select n.id, t.depth + 1 from _fluvia_tree n join t on n.parent = t.id) select id, depth from t",
         args={"root": root},
     )
+
+
+def glob_pattern(glob: str) -> str:
+    """An anchored regular expression for a glob: ``*`` and ``?`` stay within a folder, ``**/`` spans any number of them."""
+    out, i = "", 0
+    while i < len(glob):
+        if glob.startswith("**/", i):
+            out, i = out + "(?:.*/)?", i + 3
+        elif glob.startswith("**", i):
+            out, i = out + ".*", i + 2
+        else:
+            c = glob[i]
+            out, i = out + ("[^/]*" if c == "*" else "[^/]" if c == "?" else c if c.isalnum() or c in "_/" else "\\" + c), i + 1
+    return f"^{out}$"
+
+
+def delta(items: DataFrame, folders: bool = False, glob: str | None = None) -> DataFrame:
+    """A delta page of items (id, name, is_folder, is_root, deleted, ...) as rows to land.
+
+    Deleted entries become tombstones with their id alone, whatever their name; the root
+    goes, and so do folders unless they are asked for and names outside the glob.
+    """
+    fits = F.lit(True) if glob is None else F.coalesce(F.col("name").rlike(glob_pattern(glob)), F.lit(False))
+    gone = F.col("deleted")
+    if glob is not None:
+        # A deletion that still has its name is held against the glob.
+        fits = fits | (gone & F.col("name").isNull())
+    kept = items.where(~F.col("is_root") & fits & (gone | F.lit(folders) | ~F.col("is_folder")))
+    own = [c for c in items.columns if c not in ("id", "deleted", "is_root")]
+    return kept.select("id", *[F.when(~gone, F.col(c)).alias(c) for c in own], gone.alias(DELETED))
+
+
+def scoped(spark, folders: DataFrame, landed: DataFrame, changes: DataFrame, root: str, glob: str | None = None) -> DataFrame:
+    """Rows to land (id, parent, name, _connector_deleted) from a feed that knows no scope.
+
+    ``folders`` (id, parent) and ``landed`` (id, parent, name) say what was known; ``changes``
+    (id, parent, name, is_folder, gone, seq) what happened.  The last change of an id counts.
+    A changed file in scope is an upsert; a landed file that is gone, fell out of the scope or
+    the glob, or whose folder did, is a tombstone; a file never landed gives none.
+    """
+    last = changes.groupBy("id").agg(F.max_by(F.struct("parent", "name", "is_folder", "gone"), "seq").alias("c")).select("id", "c.*")
+    tree = folders.join(last, "id", "left_anti").select("id", "parent").unionByName(last.where("is_folder and not gone").select("id", "parent"))
+    inside = subtree(spark, tree, root).select(F.col("id").alias("parent"), F.lit(True).alias("inside"))
+    files = last.where("not is_folder").select("id", "parent", "name", "gone", F.lit(True).alias("changed"))
+    known = landed.join(files.select("id"), "id", "left_anti").select("id", "parent", "name", F.lit(False).alias("gone"), F.lit(False).alias("changed"))
+    had = landed.select("id", F.lit(True).alias("had"))
+    fits = F.lit(True) if glob is None else F.coalesce(F.col("name").rlike(glob_pattern(glob)), F.lit(False))
+    state = files.unionByName(known).join(inside, "parent", "left").join(had, "id", "left")
+    state = state.withColumn("_in", F.coalesce(F.col("inside"), F.lit(False)) & ~F.col("gone") & fits)
+    rows = state.where((F.col("_in") & F.col("changed")) | (~F.col("_in") & F.col("had")))
+    return rows.select("id", F.when(F.col("_in"), F.col("parent")).alias("parent"), F.when(F.col("_in"), F.col("name")).alias("name"), (~F.col("_in")).alias(DELETED))

@@ -11,11 +11,11 @@ from ..functions.mapping import Cell
 from .land import DELETED, LOAD, ROW
 
 
-def projected(df: DataFrame, cells: Mapping[str, Cell], identity: Sequence[str], required: Sequence[str] = (), filters: Column | None = None) -> DataFrame:
+def projected(df: DataFrame, cells: Mapping[str, Cell], identity: Sequence[str], required: Sequence[str] = (), filters: Column | None = None, carried: Sequence[str] = ()) -> DataFrame:
     """operation, values, error and load order of every row that the filters let through.
 
     A deleted row evaluates its identity alone.  The first failing check is the row's
-    error: casts in order, then a null identity, then a missing required value.
+    error: casts in order, then a null identity, then a missing required value.  ``carried``: columns of ``df`` that go along.
     """
     rows = df if filters is None else df.where(filters)
     deleted = F.coalesce(F.col(DELETED), F.lit(False))
@@ -23,7 +23,7 @@ def projected(df: DataFrame, cells: Mapping[str, Cell], identity: Sequence[str],
     checks = [F.when(~deleted | F.lit(name in identity), F.when(cell.error.isNotNull(), F.concat(F.lit(f"{name}: "), cell.error))) for name, cell in cells.items()]
     checks += [F.when(cells[name].value.isNull(), F.lit(f"{name}: identity is null")) for name in identity]
     checks += [F.when(~deleted & cells[name].value.isNull(), F.lit(f"{name}: required")) for name in required]
-    return rows.select(F.when(deleted, "delete").otherwise("upsert").alias("operation"), values.alias("values"), F.coalesce(*checks).alias("error"), LOAD, ROW)
+    return rows.select(F.when(deleted, "delete").otherwise("upsert").alias("operation"), values.alias("values"), F.coalesce(*checks).alias("error"), LOAD, ROW, *carried)
 
 
 def collapsed(df: DataFrame, identity: Sequence[str]) -> DataFrame:
