@@ -6,31 +6,15 @@ so that each query works on whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import mapping, records, redact
 from .operators import checks, feeds, land, project, shape
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def _query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from .plans import grids, scans, streams  # noqa: F401
+from .plans.registry import QUERIES, SQL, Query
+from .plans.registry import query as _query
+from .plans.registry import read as _read
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,13 +457,13 @@ def _filter_query(op: str, field: str, literal: object) -> Query:
 
 
 for _op, (_field, _literal, _where) in _FILTERS.items():
-    _QUERIES[f"filter_{_op}"] = _filter_query(_op, _field, _literal)
-    _SQL[f"filter_{_op}"] = f"SELECT o_orderkey, {_field} FROM orders WHERE {_where}"
+    QUERIES[f"filter_{_op}"] = _filter_query(_op, _field, _literal)
+    SQL[f"filter_{_op}"] = f"SELECT o_orderkey, {_field} FROM orders WHERE {_where}"
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)

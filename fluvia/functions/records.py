@@ -145,3 +145,10 @@ def chosen_fields(fields: Sequence[str], cursor: str | None = None, deletes: boo
     """The key, the cursor and the deletion flag, then the configured fields; a name counts once, in any case."""
     wanted = [key, *([cursor] if cursor else []), *([flag] if deletes else []), *fields]
     return [name for i, name in enumerate(wanted) if name.lower() not in {w.lower() for w in wanted[:i]}]
+
+
+def page_records(df: DataFrame, selector: str, schema: str, raw: str = "raw") -> DataFrame:
+    """The records of pages: the array, or the one object, that a dotted selector picks.  A page without it gives none."""
+    picked = F.get_json_object(F.col(raw), "$." + selector if selector else "$")
+    many = F.when(picked.startswith("["), picked).otherwise(F.concat(F.lit("["), picked, F.lit("]")))
+    return df.select(F.explode(F.from_json(many, f"array<struct<{schema}>>")).alias("_r")).select("_r.*")

@@ -74,3 +74,11 @@ def scoped(spark, folders: DataFrame, landed: DataFrame, changes: DataFrame, roo
     state = state.withColumn("_in", F.coalesce(F.col("inside"), F.lit(False)) & ~F.col("gone") & fits)
     rows = state.where((F.col("_in") & F.col("changed")) | (~F.col("_in") & F.col("had")))
     return rows.select("id", F.when(F.col("_in"), F.col("parent")).alias("parent"), F.when(F.col("_in"), F.col("name")).alias("name"), (~F.col("_in")).alias(DELETED))
+
+
+def resynced(landed: DataFrame, scanned: DataFrame, key: Sequence[str], tag: str) -> DataFrame:
+    """key and state (new, changed, same, gone) of a full scan against what is landed, by each row's tag."""
+    was = landed.select(*key, F.col(tag).alias("_was"), F.lit(True).alias("_had"))
+    now = scanned.select(*key, F.col(tag).alias("_now"), F.lit(True).alias("_has"))
+    state = F.when(F.col("_had").isNull(), "new").when(F.col("_has").isNull(), "gone").when(F.col("_was").eqNullSafe(F.col("_now")), "same").otherwise("changed")
+    return was.join(now, list(key), "full").select(*key, state.alias("state"))

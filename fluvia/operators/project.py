@@ -43,3 +43,19 @@ def written(target: DataFrame, records: DataFrame, identity: Sequence[str]) -> D
     """The target after the records: upserted rows replaced, deleted ones gone."""
     keys = records.select(*[F.col("values")[k].alias(k) for k in identity])
     return target.join(keys, list(identity), "left_anti").unionByName(records.where("operation = 'upsert'").select("values.*"))
+
+
+def replaced(target: DataFrame, records: DataFrame, owner: Sequence[str]) -> DataFrame:
+    """The target with all records of the owners in ``records`` replaced by those."""
+    owners = records.select(*[F.col("values")[k].alias(k) for k in owner]).distinct()
+    return target.join(owners, list(owner), "left_anti").unionByName(records.where("operation = 'upsert'").select("values.*"))
+
+
+def warnings(df: DataFrame, reason: str, row: str, most: int = 100) -> DataFrame:
+    """(reason, n, rows): every row is counted, the ``most`` lowest of each reason are shown.
+
+    Rows are folded into a short sorted list before the shuffle, so a common reason costs no more than another.
+    """
+    part = df.groupBy(reason, F.spark_partition_id().alias("_p"), (F.xxhash64(row) % 64).alias("_s"))
+    some = part.agg(F.count(F.lit(1)).alias("n"), F.slice(F.sort_array(F.collect_list(row)), 1, most).alias("rows"))
+    return some.groupBy(reason).agg(F.sum("n").alias("n"), F.slice(F.sort_array(F.flatten(F.collect_list("rows"))), 1, most).alias("rows"))
