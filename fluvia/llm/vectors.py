@@ -2,10 +2,10 @@
 
 Vectors are compared within a label.  Identical vectors are one node.  A label
 with more than ``SHARD`` nodes is cut into clusters (k-means on a bounded sample);
-every node goes to its ``OVERLAP`` nearest ones, and clusters beyond ``SHARD`` are
-dealt into sub-shards.  Each shard builds a robust-pruned neighbour graph; the
-adjacency lists of a node are united across shards; then each node is searched
-for in the graphs of its home cluster: greedily from the medoid with a beam of
+every node lives in its nearest one, and clusters beyond ``SHARD`` are dealt into
+sub-shards.  Each shard builds a robust-pruned neighbour graph; then each node is
+searched for in the graphs of every cluster that can hold a vector in range of it
+(``asked_cells``, without exception): greedily from the medoid with a beam of
 ``BEAM``, and from every hit on through all nodes in range.  Hits are verified by
 cosine in double precision.  ``audit`` measures recall against brute force for
 the vectors whose id is divisible by 100.
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,10 @@ from . import common
 from .components import components
 
 THRESHOLD = 0.93
-#: Nodes of a shard; clusters that a node goes to; vectors sampled for the clusters; degree, slack and beam of the graph.
-SHARD, OVERLAP, SAMPLE, DEGREE, ALPHA, BEAM = 2048, 3, 20_000, 24, 1.2, 32
+#: Nodes of a shard; vectors sampled for the clusters; degree, slack and beam of the graph.
+SHARD, SAMPLE, DEGREE, ALPHA, BEAM = 2048, 20_000, 24, 1.2, 32
+#: Nearest centres by which a cluster is ruled out.
+RIVALS = 8
 
 _KEY = ["label", "dim", "leaf", "sub"]
 
@@ -61,7 +64,7 @@ def _centres(nodes: DataFrame, shard: int) -> dict[tuple[str, int], np.ndarray]:
     for key, rows in groups.items():
         x = np.array([r.v for r in rows])
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        k = max(1, min(-(-2 * OVERLAP * rows[0]["count"] // shard), len(x) // 4))
+        k = max(1, min(-(-rows[0]["count"] // shard), len(x) // 4))
         centres = x[:k].copy()
         for _ in range(8):
             home = np.argmax(x @ centres.T, axis=1)
@@ -73,28 +76,51 @@ def _centres(nodes: DataFrame, shard: int) -> dict[tuple[str, int], np.ndarray]:
     return out
 
 
-def _placed(nodes: DataFrame, centres: dict[tuple[str, int], np.ndarray], shard: int) -> DataFrame:
-    """(label, dim, leaf, sub, subs, home, node, v): a row for each cluster of a node."""
-    schema = pa.schema([("node", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("v", pa.list_(pa.float64())), ("leaf", pa.int32()), ("home", pa.bool_())])
+def asked_cells(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home of each unit vector of ``x`` and, as a mask, the cells that can be home to a vector in range of it.
+
+    The border of cells c and r is a plane through the origin.  What is nearer to r
+    by more than the sine of the threshold's angle from it has nothing in range beyond.
+    """
+    near = x @ centres.T
+    home = near.argmax(1)
+    asked = np.ones(near.shape, bool)
+    if threshold > 0:
+        reach = np.sqrt(max(0.0, 1 - threshold * threshold))
+        square = (centres * centres).sum(1)
+        rivals = np.argsort(-near, axis=1, kind="stable")[:, :RIVALS]
+        for rival in rivals.T:
+            apart = np.sqrt(np.maximum(0, square[rival][:, None] + square - 2 * centres[rival] @ centres.T))
+            asked &= near[np.arange(len(x)), rival][:, None] - near <= reach * apart + 1e-6
+    asked[np.arange(len(x)), home] = True
+    return home, asked
+
+
+def _placed(nodes: DataFrame, centres: dict[tuple[str, int], np.ndarray], threshold: float) -> DataFrame:
+    """(node, label, dim, v, leaf, asks): the cluster of a node and those where it is searched for."""
+    schema = pa.schema([("node", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("v", pa.list_(pa.float64())), ("leaf", pa.int32()), ("asks", pa.list_(pa.int32()))])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
+                groups: dict[tuple[str, int], list] = {}
                 for row in batch.to_pylist():
-                    own = centres.get((row["label"], row["dim"]))
-                    if own is None:
-                        yield row["node"], row["label"], row["dim"], row["v"], 0, True
+                    groups.setdefault((row["label"], row["dim"]), []).append(row)
+                for key, members in groups.items():
+                    if key not in centres:
+                        yield from ((row["node"], *key, row["v"], 0, [0]) for row in members)
                         continue
-                    near = own @ (np.array(row["v"]) / np.linalg.norm(row["v"]))
-                    for rank, leaf in enumerate(np.argsort(-near, kind="stable")[:OVERLAP].tolist()):
-                        yield row["node"], row["label"], row["dim"], row["v"], leaf, rank == 0
+                    for a in range(0, len(members), 256):
+                        part = members[a : a + 256]
+                        x = np.array([row["v"] for row in part])
+                        home, asked = asked_cells(x / np.linalg.norm(x, axis=1, keepdims=True), centres[key], threshold)
+                        for row, leaf, asks in zip(part, home.tolist(), asked):
+                            yield row["node"], *key, row["v"], leaf, np.flatnonzero(asks).tolist()
 
         yield from common.record_batches(rows(), schema, 1024)
 
-    out = nodes.select("node", "label", "dim", "v").mapInArrow(place, "node long, label string, dim int, v array<double>, leaf int, home boolean")
-    placed = common.staged(out, "placed")
-    sizes = placed.groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("subs"))
-    return placed.join(sizes, ["label", "dim", "leaf"]).withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs").cast("long")).cast("int"))
+    out = nodes.select("node", "label", "dim", "v").mapInArrow(place, "node long, label string, dim int, v array<double>, leaf int, asks array<int>")
+    return common.staged(out, "placed")
 
 
 def robust_prune(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, block: int = 256) -> list[np.ndarray]:
@@ -182,7 +208,7 @@ def search(x: np.ndarray, ahead: np.ndarray, queries: np.ndarray, threshold: flo
 
 def _searched(threshold: float):
     def links(key: tuple, group: pa.Table) -> pa.Table:
-        graph, query = (group.filter(group.column(c)) for c in ("is_graph", "is_query"))
+        graph, query = group.filter(group.column("is_graph")), group.filter(pc.invert(group.column("is_graph")))
         if not graph.num_rows or not query.num_rows:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         node = graph.column("node").to_numpy()
@@ -204,16 +230,19 @@ def _searched(threshold: float):
 
 def node_links(nodes: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> DataFrame:
     """Links (a < b) between nodes, by the graph."""
-    placed = common.staged(_placed(nodes, _centres(nodes, shard), shard), "shards")
-    lists = placed.groupBy(*_KEY).applyInArrow(_graph, "node long, next array<long>")
-    union = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
-    members = placed.join(union, "node")
-    # A sub-shard's graph meets each block of its cluster's queries: (j, i) = (graph, queries).
-    spots = F.expr("""array_distinct(concat(
-        transform(sequence(0, subs - 1), i -> struct(sub as j, i as i, true as is_graph, home and i = sub as is_query)),
-        filter(transform(sequence(0, subs - 1), j -> struct(j as j, sub as i, j = sub as is_graph, home as is_query)), s -> not s.is_graph and s.is_query)))""")
-    met = members.withColumn("spot", F.explode(spots)).select("label", "dim", "leaf", "spot.*", "node", "v", "next")
-    return met.groupBy("label", "dim", "leaf", "j", "i").applyInArrow(_searched(threshold), "a long, b long").distinct()
+    placed = _placed(nodes, _centres(nodes, shard), threshold)
+    asking = placed.select("label", "dim", F.explode("asks").alias("leaf"), "node", "v")
+    sizes = placed.groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("subs"))
+    blocks = placed.select("label", "dim", F.explode("asks").alias("leaf")).groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("blocks"))
+    cells = common.staged(sizes.join(blocks, ["label", "dim", "leaf"]), "cells")
+    dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n).cast("long")).cast("int")
+    members = placed.select("label", "dim", "leaf", "node", "v").join(cells, ["label", "dim", "leaf"]).withColumn("sub", dealt("subs"))
+    lists = members.groupBy(*_KEY).applyInArrow(_graph, "node long, next array<long>")
+    # Each sub-shard's graph meets each block of its cluster's queries.
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    graphs = members.join(lists, "node").select(*_KEY, each("blocks").alias("block"), "node", "v", "next", F.lit(True).alias("is_graph"))
+    queries = asking.join(cells, ["label", "dim", "leaf"]).select("label", "dim", "leaf", each("subs").alias("sub"), dealt("blocks").alias("block"), "node", "v", F.lit(None).cast("array<long>").alias("next"), F.lit(False).alias("is_graph"))
+    return graphs.unionAll(queries).groupBy(*_KEY, "block").applyInArrow(_searched(threshold), "a long, b long").distinct()
 
 
 def deduplicated(df: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> DataFrame:

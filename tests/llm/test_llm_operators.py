@@ -115,6 +115,38 @@ def test_vectors(spark):
     assert vectors.deduplicated(df.limit(0)).count() == 0
 
 
+def _near(rng, centre, n, cosine):
+    """n unit vectors around ``centre`` with about this cosine between two of them."""
+    side = rng.normal(size=(n, len(centre)))
+    side -= np.outer(side @ centre, centre)
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return np.sqrt(cosine) * centre + np.sqrt(1 - cosine) * side
+
+
+def _unit(x):
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+
+def test_asked_cells_hold_every_vector_in_range():
+    rng = np.random.default_rng(5)
+    for dim in (2, 5, 64):
+        centres, x = _unit(rng.normal(size=(12, dim))), _unit(rng.normal(size=(300, dim)))
+        x = np.concatenate([x, _unit(x + 0.3 / np.sqrt(dim) * rng.normal(size=x.shape)), _unit(x[:100] + 0.35 * (centres[rng.integers(0, 12, 100)]))])
+        home, asked = vectors.asked_cells(x, centres, 0.93)
+        a, b = np.nonzero(x @ x.T >= 0.93)
+        assert len(a) > len(x) and asked[a, home[b]].all()
+
+
+def test_links_of_a_dense_group_beyond_a_shard(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([_near(rng, _unit(rng.normal(size=64)), 600, 0.96), _unit(rng.normal(size=(1000, 64)))])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    true = (x @ x.T >= 0.93).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in vectors.deduplicated(df, shard=64).collect()}
+    assert all(got[i] <= n for i, n in enumerate(true))
+    assert sum(got.values()) >= 0.99 * true.sum() > 300_000
+
+
 def test_mixing_odd_rows(odd_documents):
     got = mixing.mixed(odd_documents, weights={"a": 1.0, "b": 2.0, None: 1.0}, epochs=40.0)
     per = Counter((r.source, r.doc_id) for r in got.collect())
