@@ -5,9 +5,11 @@ with more than ``SHARD`` nodes is cut into clusters (k-means on a bounded sample
 every node lives in its nearest one, and clusters beyond ``SHARD`` are dealt into
 sub-shards.  Each shard builds a robust-pruned neighbour graph; then each node is
 searched for in the graphs of every cluster that can hold a vector in range of it
-(``asked_cells``, without exception): greedily from the medoid with a beam of
-``BEAM``, and from every hit on through all nodes in range.  Hits are verified by
-cosine in double precision.  ``audit`` measures recall against brute force for
+(``asked_cells``, without exception; of two shards one asks the other): greedily
+with a beam of ``BEAM``, and from every hit on through all nodes in range.  A
+search starts from the node itself where the graph has it, the medoid of each
+group of near copies, and nodes from which all others are reached (``starts``).
+Hits are verified by cosine in double precision.  ``audit`` measures recall against brute force for
 the vectors whose id is divisible by 100.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
@@ -167,20 +169,60 @@ def _unit(column) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def search(x: np.ndarray, ahead: np.ndarray, queries: np.ndarray, threshold: float, beam: int = BEAM, block: int = 128, wide: int = 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(query number, row of ``x``) of the rows in range found from the medoid on.
+def starts(x: np.ndarray, ahead: np.ndarray, threshold: float) -> np.ndarray:
+    """Rows of ``x`` to search from: the medoids of all and of each group joined by links in the graph, and what those don't reach."""
+    tail, column = np.nonzero(ahead >= 0)
+    head = ahead[tail, column]
+    link = np.einsum("ij,ij->i", x[tail], x[head]) >= threshold
+    group = np.arange(len(x))
+    while True:
+        low = group.copy()
+        np.minimum.at(low, tail[link], group[head[link]])
+        np.minimum.at(low, head[link], group[tail[link]])
+        low = low[low]
+        if (low == group).all():
+            break
+        group = low
+    centres = np.zeros_like(x)
+    np.add.at(centres, group, x)
+    order = np.lexsort((-np.einsum("ij,ij->i", x, centres[group]), group))
+    first = order[np.flatnonzero(np.r_[True, np.diff(group[order]) > 0])]
+    out = [int(np.argmax(x @ x.sum(0))), *first[np.bincount(group)[group[first]] > 1].tolist()]
+    reached = np.zeros(len(x), bool)
+
+    def reach(front: np.ndarray) -> None:
+        reached[front] = True
+        while len(front):
+            to = ahead[front]
+            to = np.unique(to[to >= 0])
+            front = to[~reached[to]]
+            reached[front] = True
+
+    reach(np.array(out))
+    while not reached.all():
+        out.append(int(np.argmin(reached)))
+        reach(np.array(out[-1:]))
+    return np.unique(out)
+
+
+def search(x: np.ndarray, ahead: np.ndarray, queries: np.ndarray, threshold: float, beam: int = BEAM, block: int = 128, wide: int = 4, own: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query number, row of ``x``) of the rows in range found from the ``starts`` on.
 
     ``ahead``: neighbours of each row, -1 where there are fewer.  Of each query the
     best nodes seen are expanded while they are in range or among the ``beam`` best.
+    ``own``: the row that is the query itself, -1 where there is none.
     """
-    centre = x.sum(0)
-    start = int(np.argmax(x @ centre))
+    first = starts(x, ahead, threshold)
     for a in range(0, len(queries), block):
         q = queries[a : a + block]
         rows = np.arange(len(q))
         near = np.full((len(q), len(x)), -2.0)
         waiting = np.full((len(q), len(x)), -2.0)  # nearness of what is seen and not expanded
-        near[:, start] = waiting[:, start] = q @ x[start]
+        near[:, first] = waiting[:, first] = q @ x[first].T
+        if own is not None:
+            known = np.flatnonzero(own[a : a + block] >= 0)
+            itself = own[a : a + block][known]
+            near[known, itself] = waiting[known, itself] = np.einsum("ij,ij->i", q[known], x[itself])
         size = min(beam, len(x)) - 1
         active = rows
         while len(active):
@@ -219,7 +261,8 @@ def _searched(threshold: float):
             row[: len(js)] = js
         asked = query.column("node").to_numpy()
         a, b = [], []
-        for hit, row in search(_unit(graph.column("v")), ahead, _unit(query.column("v")), threshold):
+        own = np.array([at.get(n, -1) for n in asked.tolist()])
+        for hit, row in search(_unit(graph.column("v")), ahead, _unit(query.column("v")), threshold, own=own):
             a.append(asked[hit])
             b.append(node[row])
         a, b = np.concatenate(a), np.concatenate(b)
@@ -231,7 +274,10 @@ def _searched(threshold: float):
 def node_links(nodes: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> DataFrame:
     """Links (a < b) between nodes, by the graph."""
     placed = _placed(nodes, _centres(nodes, shard), threshold)
-    asking = placed.select("label", "dim", F.explode("asks").alias("leaf"), "node", "v")
+    # Of two shards one asks the other: the lower the higher if their numbers add up to an even one, else the higher the lower.
+    turn = lambda a, b: f"({a} = {b} or ({a} < {b}) = (({a} + {b}) % 2 = 0))"
+    placed = placed.withColumn("asks", F.expr(f"filter(asks, c -> {turn('leaf', 'c')})"))
+    asking = placed.select("label", "dim", F.explode("asks").alias("leaf"), "node", "v", F.col("leaf").alias("home"))
     sizes = placed.groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("subs"))
     blocks = placed.select("label", "dim", F.explode("asks").alias("leaf")).groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("blocks"))
     cells = common.staged(sizes.join(blocks, ["label", "dim", "leaf"]), "cells")
@@ -241,7 +287,8 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, shard: int = SHAR
     # Each sub-shard's graph meets each block of its cluster's queries.
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     graphs = members.join(lists, "node").select(*_KEY, each("blocks").alias("block"), "node", "v", "next", F.lit(True).alias("is_graph"))
-    queries = asking.join(cells, ["label", "dim", "leaf"]).select("label", "dim", "leaf", each("subs").alias("sub"), dealt("blocks").alias("block"), "node", "v", F.lit(None).cast("array<long>").alias("next"), F.lit(False).alias("is_graph"))
+    queries = asking.join(cells, ["label", "dim", "leaf"]).withColumn("own", dealt("subs")).withColumn("sub", each("subs")).where(f"home <> leaf or {turn('own', 'sub')}")
+    queries = queries.select(*_KEY, dealt("blocks").alias("block"), "node", "v", F.lit(None).cast("array<long>").alias("next"), F.lit(False).alias("is_graph"))
     return graphs.unionAll(queries).groupBy(*_KEY, "block").applyInArrow(_searched(threshold), "a long, b long").distinct()
 
 

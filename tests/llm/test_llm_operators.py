@@ -147,6 +147,40 @@ def test_links_of_a_dense_group_beyond_a_shard(spark):
     assert sum(got.values()) >= 0.99 * true.sum() > 300_000
 
 
+def _graph_of(x):
+    import pyarrow as pa
+
+    made = vectors._graph((), pa.table({"node": np.arange(len(x)), "v": pa.array(x.tolist(), pa.list_(pa.float64()))}))
+    ahead = np.full((len(x), 2 * vectors.DEGREE + 1), -1)
+    for row, js in zip(ahead, made.column("next").to_pylist()):
+        row[: len(js)] = js
+    return ahead
+
+
+@pytest.mark.parametrize("sizes", [[120, 120], [150] * 10, [2] * 60 + [130, 500, 97]])
+def test_search_finds_groups_that_no_edge_joins(sizes):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([_near(rng, _unit(rng.normal(size=64)), n, 0.97) for n in sizes])
+    x = x[rng.permutation(len(x))]
+    ahead = _graph_of(x)
+    for more in ({}, {"own": np.arange(len(x))}):
+        got = sum(len(hit) for hit, _ in vectors.search(x, ahead, x, 0.93, **more))
+        assert got == (x @ x.T >= 0.93).sum()
+
+
+def test_links_of_groups_in_small_shards(spark):
+    rng = np.random.default_rng(8)
+    groups = [_near(rng, _unit(rng.normal(size=32)), n, 0.95) for n in (2, 3, 5, 20, 97, 150, 500)]
+    x = np.concatenate([*groups, _unit(rng.normal(size=(400, 32)))])
+    label = np.arange(len(x)) % 2
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label))], "vec_id long, embedding array<double>, label int")
+    true = ((x @ x.T >= 0.93) & (label[:, None] == label)).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in vectors.deduplicated(df, shard=128).collect()}
+    assert all(got[i] <= n for i, n in enumerate(true))
+    assert sum(got.values()) >= 0.99 * true.sum() > 100_000
+    assert vectors.audit(df, shard=128) >= 0.99
+
+
 def test_mixing_odd_rows(odd_documents):
     got = mixing.mixed(odd_documents, weights={"a": 1.0, "b": 2.0, None: 1.0}, epochs=40.0)
     per = Counter((r.source, r.doc_id) for r in got.collect())
