@@ -4,8 +4,10 @@
 equal payloads of at least ``REVISIT_BYTES`` the one with the smallest page_id is
 a response, the others are revisit records without a payload.  ``read_warc``
 cuts archives into byte ranges; a task looks for the gzip magic in its range,
-accepts a candidate once its first bytes decode to a WARC header, and owns the
-records that start inside, reading past the end of the range to finish the last.
+accepts a candidate once what it holds up to the first blank line is a WARC header,
+and owns the records that start inside, reading past the end of the range to finish
+the last.  ``archived`` compares the records read with those written and fails if
+they differ.
 
 A null payload is an empty one.  Rows that repeat a page_id and payload are the
 same page and share its record type.  A null page_id is written as such and read
@@ -28,7 +30,7 @@ from . import common
 REVISIT_BYTES, RANGE_BYTES, LEVEL = 100, 8 << 20, 6
 
 # Fixed values of the WARC 1.1 and gzip formats.
-MAGIC = b"\x1f\x8b\x08"
+MAGIC, HEAD = b"\x1f\x8b\x08", b"WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 NAME = "urn:x-page:"
@@ -88,26 +90,31 @@ class Archive:
     def __init__(self, file, start: int, end: int) -> None:
         self.file, self.size, self.start, self.end = file, file.size(), start, end
 
-    def member(self, at: int, limit: int = 0) -> tuple[bytes, int] | None:
-        """What the member at ``at`` holds and where it ends; None if none starts there.  limit: stop after so many bytes."""
-        decode, got, read = zlib.decompressobj(31), [], at
+    def member(self, at: int) -> tuple[bytes, int] | None:
+        """The WARC record of the member at ``at`` and where it ends; None if none starts there."""
+        decode, got, read, valid = zlib.decompressobj(31), bytearray(), at, False
         try:
             while not decode.eof:
                 chunk = self.file.read_at(min(1 << 16, self.size - read), read) if read < self.size else b""
                 if not chunk:
                     return None
                 read += len(chunk)
-                got.append(decode.decompress(chunk, limit))
-                if limit:
-                    return got[0], read
+                while chunk and not valid and not decode.eof:
+                    seen = len(got)
+                    got += decode.decompress(chunk, 1 << 14)
+                    chunk = decode.unconsumed_tail
+                    if not got.startswith(HEAD[: len(got)]):
+                        return None
+                    if (end := got.find(b"\r\n\r\n", max(0, seen - 3))) >= 0:
+                        head = got[: end + 2]
+                        if not (b"\r\nWARC-Type: " in head and b"\r\nContent-Length: " in head):
+                            return None
+                        valid = True
+                if chunk and not decode.eof:
+                    got += decode.decompress(chunk)
         except zlib.error:
             return None
-        return b"".join(got), read - len(decode.unused_data)
-
-    def valid(self, at: int) -> bool:
-        """A WARC record's header decodes there."""
-        found = self.member(at, 1 << 14)
-        return bool(found) and found[0].startswith(b"WARC/1.") and b"\r\nWARC-Type: " in found[0] and b"\r\nContent-Length: " in found[0]
+        return (bytes(got), read - len(decode.unused_data)) if valid else None
 
     def records(self) -> Iterator[tuple[int, bytes]]:
         window = self.file.read_at(min(self.end + len(MAGIC) - 1, self.size) - self.start, self.start)
@@ -117,7 +124,7 @@ class Archive:
             if k < 0 or self.start + k >= self.end:
                 return
             at = self.start + k
-            if self.valid(at) and (found := self.member(at)):
+            if found := self.member(at):
                 yield at, found[0]
                 at = found[1]
             else:
@@ -168,9 +175,13 @@ def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, pa
 
 
 def archived(pages: DataFrame, path: str | None = None, least: int = REVISIT_BYTES, payloads: bool = True) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) and read the archives back."""
+    """Write ``pages`` (page_id, url, html) and read the archives back; every record written must be read."""
     spark = pages.sparkSession
     path = path or common.scratch(spark, "warc")
-    if write_warc(pages, path, least).isEmpty():
+    written = write_warc(pages, path, least).agg(F.sum("records")).first()[0]
+    if not written:
         return spark.createDataFrame([], "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean" + ", payload binary" * payloads + ", file string, at long")
-    return read_warc(spark, path, payloads=payloads)
+    read = common.staged(read_warc(spark, path, payloads=payloads), "warc-records")
+    if (n := read.count()) != written:
+        raise RuntimeError(f"{path}: {n} records read, {written} written")
+    return read

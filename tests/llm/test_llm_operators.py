@@ -89,6 +89,21 @@ def test_warc_round_trip_in_small_ranges(spark, tmp_path):
     assert warc.archived(pages.limit(0)).count() == 0
 
 
+def test_warc_keeps_long_urls_and_counts_records(spark, monkeypatch, tmp_path):
+    noise = "".join(random.Random(9).choices("abcdefghijklmnopqrstuvwxyz0123456789", k=100_000))
+    rows = [(1, "u" * 100_000, "x" * 200), (2, noise, "x" * 200), (3, noise, "y"), (4, "u", "z" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.url, r.payload_bytes, r.intact) for r in warc.archived(pages).collect()}
+    assert got == {k: (u, len(h), True) for k, u, h in rows}
+    path = f"file://{tmp_path}/warc"
+    warc.write_warc(pages, path)
+    assert sorted(r.page_id for r in warc.read_warc(spark, path, range_bytes=1000).collect()) == [1, 2, 3, 4]
+    read = warc.read_warc
+    monkeypatch.setattr(warc, "read_warc", lambda *a, **k: read(*a, **k).where("page_id <> 3"))
+    with pytest.raises(RuntimeError, match="3 records read, 4 written"):
+        warc.archived(pages)
+
+
 def test_urls_without_a_host(spark):
     pages = spark.createDataFrame([(1, None), (2, "nohost"), (3, "http://EXAMPLE.com/en/7x?q"), (4, "http://a.ads.org/fr/")], "page_id long, url string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judged(pages).collect()}
