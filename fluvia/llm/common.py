@@ -2,7 +2,9 @@
 
 Intermediate tables that are read more than once are written as Parquet under
 the folder named in ``spark.checkpoint.dir``; they survive lost executors and
-cut the lineage.  A folder of our own is used only where that is unset.
+cut the lineage.  Where that is unset, a folder of our own is used in local mode,
+and anything else is refused.  ``clear_scratch`` deletes what this application wrote
+once its results are written.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch that goes to a Python worker.
@@ -27,12 +29,13 @@ def _own_root() -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    return (
-        spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        or spark.conf.get("spark.checkpoint.dir", None)
-        or _own_root()
-    )
+    """The folder that driver and executors share.  One of our own will do only where all run in one process."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_root()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -40,7 +43,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     root = shared_root(spark).rstrip("/")
     if "://" not in root and not root.startswith("file:"):
         root = "file://" + root
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{root}/fluvia-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; results that are not written yet can't be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch(spark, "x").rpartition("/")[0])
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -57,7 +66,17 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def text_of(name: str = "text"):
+def quoted(name: str) -> str:
+    """A column's name as ``F.col`` takes it, dots and dashes included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def row_of(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that columns made on the way clash with none; ``row.*`` gives them back."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def text_of(name: str = "text") -> Column:
     """A null text is an empty one."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -16,21 +16,31 @@ Equal parts are found by a join on band, part and value.
 Sets that share a part make candidates in two rounds.  The first verifies links
 to the smallest set of each part only, which settles groups of copies without
 their pairs.  The second takes, within parts that still join different components,
-the pairs between components.  In both, pairs whose bit sketches (element hash
-modulo a power of two, parity) are too far apart go, by a short sketch within the
-join and then by one of a bit for each element.  Candidates are verified on the shingles of the
-whole texts.  Identical sets are one node all along.
+the pairs between components.  Of parts held by the same sets one is looked at,
+pairs meet within bands of size (a factor of 4/3, or the next), and a pair that
+shares several parts is formed in the lowest of them as far as the lowest parts of
+either set, one for each of ``CLASSES`` residues, tell.  In both rounds pairs whose
+bit sketches (element hash modulo a power of two, parity) are too far apart go, by
+a short sketch within the join and then by one of a bit for each element.
+Candidates are verified on the shingles of the whole texts.  Identical sets are one
+node all along: documents meet their node's component in a join in which no node
+holds more than a ``HOT``-th of the rows; the nodes that do are fewer than ``HOT``
+and broadcast.
+
+A set is identified by 128 bits and goes by the first 64 of them; sets that differ
+and agree in those (``clashes``) go by others.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased.  With
 fewer than five words the whole sequence is the one shingle; a null or wordless
 text has no shingles and is linked with nothing.  Repeated rows share a component.
-A null doc_id never is a component's id unless it has no other.  (Node ids and
-shingles are 64-bit hashes of the whole set and of whole words.)
+A null doc_id never is a component's id unless it has no other.  An empty table
+gives no rows.  (Shingles are 64-bit hashes of whole words.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Set
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +55,10 @@ WORDS = 5
 CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 500_000
 #: Ids of nodes that are broadcast at most; beyond that the join is left to Spark.
 BROADCAST_NODES = 1_000_000
+#: Nodes with more than this share of the rows are broadcast with their components; there are fewer than so many.
+HOT = 1000
+#: Residues of parts for which a set's lowest part is known when pairs are formed.
+CLASSES = 8
 #: 64-bit words of the short bit sketch that goes with a set's parts.
 SKETCH_WORDS = 8
 #: Shingles that count as frequent at most, and how often one must be among ``HELD`` shingles of a task to be counted.
@@ -132,11 +146,16 @@ def _chunk(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             yield np.zeros(0, _U)
 
 
-def signature(shingles: np.ndarray) -> tuple[int, bytes]:
-    """A 64-bit node id and 128 bits that identify a set."""
+def signature(shingles: np.ndarray) -> bytes:
+    """128 bits that identify a set."""
     low, high = _mix(shingles ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U), _mix(shingles ^ _U(0x14057B7EF767814F)).sum(dtype=_U)
-    both = np.array([low, high ^ _U(len(shingles))], _U)
-    return int(both.view(np.int64)[0]), both.tobytes()
+    return np.array([low, high ^ _U(len(shingles))], _U).tobytes()
+
+
+def node_of(own: bytes, clashes: Set[bytes] = frozenset()) -> int:
+    """The 64-bit id that a set goes by."""
+    words = np.frombuffer(own, _U)
+    return int((_mix(words[1:]) if own in clashes else words[:1]).view(np.int64)[0])
 
 
 def most_different(n: int, m: int) -> int:
@@ -208,10 +227,10 @@ def _bodies(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
 
 
-def with_sets(df: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node, number of keys and sketches of every row; ``often``, on some rows: shingles often seen by a task and how often."""
+def with_sets(df: DataFrame, clashes: Set[bytes] = frozenset()) -> DataFrame:
+    """doc_id, n_shingles, node and its 128 bits, number of keys and sketches of every row; ``often``, on some rows: shingles often seen by a task and how often."""
     often = pa.list_(pa.struct([("shingle", pa.int64()), ("n", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("n_keys", pa.int64()), ("short", pa.list_(pa.int64())), ("sketch", pa.binary()), ("often", often)])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("own", pa.binary()), ("n_keys", pa.int64()), ("short", pa.list_(pa.int64())), ("sketch", pa.binary()), ("often", often)])
 
     def counted(held: list[np.ndarray]) -> list[dict]:
         value, n = np.unique(np.concatenate(held), return_counts=True)
@@ -227,7 +246,7 @@ def with_sets(df: DataFrame) -> DataFrame:
             if waiting:
                 yield pa.RecordBatch.from_arrays(waiting, schema=schema)
             each = list(shingle_sets(batch.column(1)))
-            rows = [(len(s), signature(s)[0], most_different(len(s), 4 * len(s) // 3) + 1, short_sketch(s), sketch(s)) for s in each]
+            rows = [(len(s), node_of(own := signature(s), clashes), own, most_different(len(s), 4 * len(s) // 3) + 1, short_sketch(s), sketch(s)) for s in each]
             waiting = [batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:])), pa.nulls(len(rows), often)]
             held += each
             n += sum(map(len, each))
@@ -239,7 +258,7 @@ def with_sets(df: DataFrame) -> DataFrame:
                 waiting[-1] = pa.array([counted(held) + (waiting[-1][0].as_py() or []), *[None] * (len(waiting[0]) - 1)], often)
             yield pa.RecordBatch.from_arrays(waiting, schema=schema)
 
-    return _bodies(df).mapInArrow(sets, "doc_id long, n_shingles long, node long, n_keys long, short array<long>, sketch binary, often array<struct<shingle: bigint, n: bigint>>")
+    return _bodies(df).mapInArrow(sets, "doc_id long, n_shingles long, node long, own binary, n_keys long, short array<long>, sketch binary, often array<struct<shingle: bigint, n: bigint>>")
 
 
 def frequent_shingles(sets: DataFrame, most: int = FREQUENT) -> np.ndarray:
@@ -252,7 +271,7 @@ def frequent_shingles(sets: DataFrame, most: int = FREQUENT) -> np.ndarray:
 _PACKED = np.dtype([("key", "<u8"), ("node", "<i8"), ("shared", "u1")])
 
 
-def shared_parts(df: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFrame:
+def shared_parts(df: DataFrame, n_buckets: int, frequent: np.ndarray, clashes: Set[bytes] = frozenset()) -> DataFrame:
     """(kind, x, y): kind 1, node y holds key x, which another node holds too; kind 2, nodes x < y share a key and x is the smallest known to hold it."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,12 +279,12 @@ def shared_parts(df: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFra
         n, seen = 0, set()
         for batch in batches:
             for shingles in shingle_sets(batch.column(1)):
-                node, own = signature(shingles)
+                own = signature(shingles)
                 if own in seen:
                     continue
                 seen.add(own)
                 key = part_keys(shingles, frequent)
-                held.append((key, np.full(len(key), node, np.int64)))
+                held.append((key, np.full(len(key), node_of(own, clashes), np.int64)))
                 n += len(key)
                 if n >= HELD:
                     yield from _handed_on(held, n_buckets)
@@ -343,37 +362,40 @@ def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Ite
     yield from common.record_batches(rows, schema, 64)
 
 
-def _shingles_of(df: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, shingles) of ``nodes``, from the whole texts of one document of each."""
-    chosen = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    chosen = common.staged(chosen.withColumnRenamed("doc_id", "_id"), "chosen")
+def _shingles_of(df: DataFrame, wanted: DataFrame, nodes: DataFrame, clashes: Set[bytes]) -> DataFrame:
+    """(node, shingles) of the ``wanted`` nodes, from the whole texts of one document of each."""
+    chosen = common.staged(nodes.join(wanted, "node", "left_semi").select(F.col("doc_id").alias("_id")).distinct(), "chosen")
     few = chosen.count() <= BROADCAST_NODES
-    wanted = _bodies(df)
-    wanted = wanted.join(F.broadcast(chosen) if few else chosen, wanted["doc_id"].eqNullSafe(chosen["_id"]), "left_semi")
+    texts = _bodies(df)
+    texts = texts.join(F.broadcast(chosen) if few else chosen, texts["doc_id"].eqNullSafe(chosen["_id"]), "left_semi")
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 for s in shingle_sets(batch.column(1)):
-                    yield signature(s)[0], s.tobytes()
+                    yield node_of(signature(s), clashes), s.tobytes()
 
         yield from common.record_batches(rows(), schema, 256)
 
-    each = wanted.mapInArrow(sets_of, "node long, shingles binary")
-    return each.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    each = texts.mapInArrow(sets_of, "node long, shingles binary")
+    return each.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-_WORDS = [f"w{i}" for i in range(SKETCH_WORDS)]
+_WORDS, _LOWS = [f"w{i}" for i in range(SKETCH_WORDS)], [f"low{i}" for i in range(CLASSES)]
 #: The sizes and the short sketches of two sets allow that they are similar.
 _MAY = f"4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and 7 * ({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in _WORDS)}) <= n_a + n_b"
+#: Sets of sizes within 4/3 stand in the same band or in neighbours, whatever the logarithm is rounded to.
+_BAND = 4 / 3 + 1e-4
+#: No lower part is known that both hold.
+_FIRST = " and ".join(f"not ({k}_a <=> {k}_b and coalesce({k}_a < key_a, false))" for k in _LOWS)
 
 
 def _side(df: DataFrame, side: str, *columns: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{side}") for c in columns])
 
 
-def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b) whose long sketches allow that they are similar."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -382,16 +404,16 @@ def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
             ok = [distance(p, q) <= most for p, q, most in zip(*(batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "most")))]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(ok, pa.bool_()))
 
-    a, b = (_side(sizes, s, "node", "n", "sketch") for s in "ab")
+    a, b = (_side(nodes, s, "node", "n", "sketch") for s in "ab")
     met = pairs.join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
     return met.select("a", "b", "sketch_a", "sketch_b", F.expr("(n_a + n_b) div 7").alias("most")).mapInArrow(close, "a long, b long")
 
 
-def _similar(df: DataFrame, pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+def _similar(df: DataFrame, pairs: DataFrame, nodes: DataFrame, clashes: Set[bytes]) -> DataFrame:
     """The ``pairs`` (a, b) of nodes that are similar, by their shingles."""
-    pairs = common.staged(_close(pairs, sizes), "candidates")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    held = common.staged(_shingles_of(df, nodes, sets), "shingles")
+    pairs = common.staged(_close(pairs, nodes), "candidates")
+    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    held = common.staged(_shingles_of(df, wanted, nodes, clashes), "shingles")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,53 +430,114 @@ def _similar(df: DataFrame, pairs: DataFrame, sets: DataFrame, sizes: DataFrame)
     return common.staged(met.select("a", "b", "shingles_a", "shingles_b").mapInArrow(similar, "a long, b long"), "verified")
 
 
-def linked(df: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def open_parts(holds: DataFrame) -> DataFrame:
+    """The (key, node, root) of ``holds`` whose key joins different roots; of keys with the same nodes, one."""
+    number = F.xxhash64("node", F.lit(1))
+    each = holds.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("total"), F.bit_xor(number).alias("parity"),
+    )
+    one = each.where("low <> high").groupBy("m", "total", "parity").agg(F.min("key").alias("key")).select("key")
+    return common.staged(holds.join(one, "key", "left_semi"), "open-parts")
+
+
+def _between(parts: DataFrame, short: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with different roots that share one of ``parts`` and may be similar."""
+    lows = parts.groupBy("node").agg(*[F.min(F.when(F.pmod("key", F.lit(CLASSES)) == i, F.col("key"))).alias(k) for i, k in enumerate(_LOWS)])
+    each = common.staged(parts.join(short, "node").join(lows, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(_BAND)).cast("int")), "between")
+    a = _side(each.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
+    b = _side(each, "b", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
+    met = a.join(b, F.expr(f"key_a = key_b and band_a = band_b and (n_a < n_b or n_a = n_b and node_a < node_b) and root_a <> root_b and {_MAY} and {_FIRST}"))
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def linked(df: DataFrame, sets: DataFrame, nodes: DataFrame, clashes: Set[bytes] = frozenset()) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) between nodes that connect all similar sets, and (node, root) of their components."""
     total = sets.agg(F.sum("n_keys").alias("n")).first().n or 0
-    shared = common.staged(shared_parts(df, max(1, -(-int(total) // BUCKET)), frequent_shingles(sets)), "parts")
-    each = sets.groupBy("node").agg(F.any_value("n_shingles").cast("int").alias("n"), F.any_value("short").alias("short"), F.any_value("sketch").alias("sketch"))
-    sizes = common.staged(each.select("node", "n", "sketch", *[F.get("short", i).alias(w) for i, w in enumerate(_WORDS)]), "sizes")
-    short = sizes.select("node", "n", *_WORDS)
+    shared = common.staged(shared_parts(df, max(1, -(-int(total) // BUCKET)), frequent_shingles(sets), clashes), "parts")
+    short = nodes.select("node", "n", *_WORDS)
     stars = shared.where("kind = 2").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     a, b = (_side(short, s, *short.columns) for s in "ab")
     stars = stars.join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b")).where(_MAY).select("a", "b")
-    links = _similar(df, stars, sets, sizes)
+    links = _similar(df, stars, nodes, clashes)
     roots = components(links)
-    holds = shared.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("node"))
+    holds = shared.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("node")).distinct()
     holds = holds.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_keys = holds.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    between = common.staged(holds.join(open_keys, "key", "left_semi"), "open-parts").join(short, "node")
-    a, b = (_side(between, s, "key", "node", "root", "n", *_WORDS) for s in "ab")
-    pairs = a.join(b, F.expr(f"key_a = key_b and node_a < node_b and root_a <> root_b and {_MAY}")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = _similar(df, pairs, sets, sizes)
+    more = _similar(df, _between(open_parts(holds), short), nodes, clashes)
     if more.isEmpty():
         return links, roots
     links = links.unionAll(more)
     return links, components(links)
 
 
+def _nodes(sets: DataFrame) -> DataFrame:
+    """One row for each node: its size, sketches, rows, lowest doc_id, and whether different sets go by its id."""
+    each = sets.groupBy("node").agg(
+        F.any_value("n_shingles").cast("int").alias("n"), F.any_value("short").alias("short"), F.any_value("sketch").alias("sketch"),
+        F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("doc_id"), (F.min("own") != F.max("own")).alias("clash"),
+    )
+    return each.select("node", "n", "sketch", "rows", "doc_id", "clash", *[F.get("short", i).alias(w) for i, w in enumerate(_WORDS)])
+
+
+def _identified(df: DataFrame) -> tuple[DataFrame, DataFrame, Set[bytes]]:
+    """The sets of all rows, their nodes, and the sets that don't go by their first 64 bits as another one does."""
+    clashes: Set[bytes] = frozenset()
+    while True:
+        sets = common.staged(with_sets(df, clashes), "sets")
+        nodes = common.staged(_nodes(sets.where("n_shingles > 0")), "nodes")
+        again = nodes.where("clash").select("node")
+        # So few that they are named: n sets have about n * n / 2 ** 65 of them.
+        own = sets.join(again, "node", "left_semi").select("own").distinct().collect() if not again.isEmpty() else []
+        if not own:
+            return sets, nodes, clashes
+        clashes |= {bytes(r.own) for r in own}
+
+
+def placed(df: DataFrame) -> tuple[DataFrame, Set[bytes]]:
+    """doc_id, n_shingles, node, root and component_id of every row of ``df`` (doc_id, text); and the ``clashes``."""
+    sets, nodes, clashes = _identified(df)
+    _, roots = linked(df, sets.where("n_shingles > 0"), nodes, clashes)
+    rooted = nodes.select("node", "rows", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("lowest"))
+    # A node of its own with one row needs no join.
+    where = common.staged(rooted.join(lowest, "root").where("rows > 1 or not lowest <=> doc_id or root <> node").select("node", "root", "lowest", "rows"), "components")
+    rows = sets.select("doc_id", "n_shingles", "node")
+    most = -(-rows.count() // HOT)
+    hot = F.broadcast(where.where(F.col("rows") > most).select("node", F.col("root").alias("hot_root"), F.col("lowest").alias("hot_lowest")))
+    near = rows.join(hot, "node", "left")
+    rest = near.where("hot_root is null").select("doc_id", "n_shingles", "node").join(where.where(F.col("rows") <= most).drop("rows"), "node", "left")
+    known = near.where("hot_root is not null").select("doc_id", "n_shingles", "node", F.col("hot_root").alias("root"), F.col("hot_lowest").alias("lowest"))
+    every = rest.select("doc_id", "n_shingles", "node", "root", "lowest").unionAll(known)
+    own = F.when(F.col("n_shingles") > 0, F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))).otherwise(F.col("doc_id"))
+    return every.select("doc_id", "n_shingles", "node", F.coalesce("root", "node").alias("root"), own.alias("component_id")), clashes
+
+
 def joined(df: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``df`` (doc_id, text)."""
-    sets = common.staged(with_sets(df), "sets")
-    _, roots = linked(df, sets.where("n_shingles > 0"))
-    placed = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = placed.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("lowest"))
-    lowest = common.staged(lowest, "lowest")
-    out = placed.join(lowest, "root", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"))
+    return placed(df)[0].select("doc_id", "n_shingles", "component_id")
 
 
 def kept_rows(df: DataFrame) -> DataFrame:
     """One row of ``df`` (doc_id, text, ...) for each component; wordless texts stay, but for repeated rows.
 
-    Rows without a doc_id go by a number hashed from their text, which stands behind every id.
+    The row with the smallest doc_id stays.  Rows without a doc_id go by a number
+    hashed from their text, which stands behind every id.  Where a doc_id stands on
+    several rows, each goes or stays by its own text.  Columns of any name pass.
     """
-    by_text = F.shiftrightunsigned(F.xxhash64(common.text_of()), 2).bitwiseOR(F.lit(1 << 62))
-    named = df.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), by_text))
-    found = common.staged(joined(named.select(F.col("_id").alias("doc_id"), "text")), "joined")
-    go = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    again = found.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
-    stay = named.join(go, "_id", "left_anti")
-    once = stay.join(again, "_id", "left_anti")
-    repeated = stay.join(again, "_id", "left_semi").dropDuplicates(["_id", "text"])
-    return once.unionByName(repeated).select(*df.columns)
+    row = df.select(common.row_of(df).alias("row"))
+    doc_id, text = F.col("row.doc_id").cast("long"), common.text_of("row.text")
+    by_text = F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62))
+    named = row.select("row", F.coalesce(doc_id, by_text).alias("id"), text.alias("text"))
+    found, clashes = placed(named.select(F.col("id").alias("doc_id"), "text"))
+    found = common.staged(found, "joined")
+    again = common.staged(found.groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id"), "repeated-ids")
+    out = found.where("doc_id <> component_id").select(F.col("doc_id").alias("id"))
+    once = named.join(out.unionAll(again).distinct(), "id", "left_anti").select("row")
+    # Of rows that share an id: those that are the first of their component.
+    twice = found.join(again.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").where("doc_id = component_id")
+    stay = twice.where("n_shingles > 0").groupBy("root", "doc_id").agg(F.min("node").alias("node")).select(F.col("doc_id").alias("id"), "node")
+    stay = stay.unionAll(twice.where("n_shingles = 0").select("doc_id", "node")).distinct()
+    repeated = named.join(again, "id", "left_semi").withColumn("tag", F.xxhash64("text"))
+    nodes = with_sets(repeated.select(F.col("tag").alias("doc_id"), "text").dropDuplicates(["doc_id"]), clashes).select(F.col("doc_id").alias("tag"), "node")
+    first = repeated.join(nodes, "tag").join(stay, ["id", "node"], "left_semi").dropDuplicates(["id", "node"])
+    return once.unionAll(first.select("row")).select("row.*")
