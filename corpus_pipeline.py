@@ -9,7 +9,6 @@ packed.  Stages are written as Parquet under the cluster's shared folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fluvia.llm import common, jaccard, mixing, packing, pii, rules
 
@@ -26,14 +25,13 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data masked; ``n_chars`` follows where it changed the text."""
-    masked = pii.redacted(docs.withColumn("_old", F.col("text")))
-    n_chars = F.when(F.col("text").eqNullSafe(F.col("_old")), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return masked.withColumn("n_chars", n_chars).select(*docs.columns)
+    return pii.redacted(docs, length="n_chars")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by Poisson counts and shuffled."""
-    return mixing.mixed(docs).select(*docs.columns)
+    number, key = common.free_names(docs, "copy", "shuffle_key")
+    return mixing.mixed(docs, number=number, key=key).drop(number, key)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,6 +76,16 @@ def row_of(df: DataFrame) -> Column:
     return F.struct(*[F.col(quoted(c)) for c in df.columns])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with as many underscores in front as it takes for ``df`` not to have them."""
+    known, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in known:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def text_of(name: str = "text") -> Column:
     """A null text is an empty one."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

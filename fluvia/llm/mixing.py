@@ -9,8 +9,10 @@ of equal parts with a number of their own each, so no mean underflows.
 
 Null sources form a source of their own; null texts have no characters; a source
 without characters gets the rate of an average one (``epochs``).  Rows that
-repeat a doc_id get equal counts.  A null doc_id hashes as the word null.  An
-empty table gives an empty result.
+repeat a doc_id get equal counts.  A null doc_id hashes as the word null.  Texts of
+any length are measured whole and pass unchanged.  An empty table gives an empty
+result.  Further columns of any name pass; the two that are added take names that
+the table hasn't, or it is refused.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def rates(df: DataFrame, weights: Mapping[str | None, float] | None = None, epoc
         share = F.lit(0.0)
         for source, weight in weights.items():
             share = F.when(F.col("source").eqNullSafe(F.lit(source)), F.lit(float(weight))).otherwise(share)
-    sizes = sizes.withColumn("share", share)
+    sizes = common.staged(sizes.withColumn("share", share), "sizes")
     # The totals of a few numbers for each source: one row.
     total = sizes.agg(F.sum("size").alias("all_size"), F.sum("share").alias("all_share")).first()
     rate = F.lit(epochs) * F.col("share") / F.lit(float(total.all_share or 1.0)) * F.lit(float(total.all_size or 0)) / F.col("size")
@@ -68,14 +70,16 @@ def poisson(rate: Column, key: Column, seed: str) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), parts), one), F.lit(0), lambda a, b: a + b)
 
 
-def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, epochs: float = EPOCHS, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
-    """The rows of ``df`` (doc_id, text, source, ...), repeated, with ``copy`` (from 1) and ``shuffle_key``."""
-    rate = common.staged(rates(df, weights, epochs, temperature).withColumnRenamed("source", "_source"), "rates")
+def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, epochs: float = EPOCHS, temperature: float = TEMPERATURE, seed: str = SEED, number: str = "copy", key: str = "shuffle_key") -> DataFrame:
+    """The rows of ``df`` (doc_id, text, source, ...), repeated, with the columns ``number`` (from 1) and ``key``."""
+    if taken := {number, key} & set(df.columns):
+        raise ValueError(f"the table has columns named {sorted(taken)}: give other names for number and key")
+    rate = common.staged(rates(df.select("source", "text"), weights, epochs, temperature), "rates")
     if rate.count() <= BROADCAST_SOURCES:
         rate = F.broadcast(rate)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    held = [c for c in df.columns if c not in ("copy", "shuffle_key", "_source", "rate")]
-    counted = df.join(rate, F.col("source").eqNullSafe(F.col("_source"))).select(*held, poisson(F.col("rate"), key, seed).alias("_n"))
-    copies = counted.where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", key, F.lit(seed), F.lit("copy"), F.col("copy").cast("string")).cast("binary")))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    rows = df.select(common.row_of(df).alias("row"), F.col("source").alias("of"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"))
+    counted = rows.join(rate, F.col("of").eqNullSafe(F.col("source"))).select("row", "id", poisson(F.col("rate"), F.col("id"), seed).alias("n"))
+    copies = counted.where("n > 0").select("row", "id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k"))
+    keyed = copies.withColumn("place", F.md5(F.concat_ws(":", "id", F.lit(seed), F.lit("copy"), F.col("k").cast("string")).cast("binary")))
+    dealt = keyed.repartition("place").sortWithinPartitions("place")
+    return dealt.select("row.*", F.col("k").alias(number), F.col("place").alias(key))

@@ -8,9 +8,11 @@ lengths: the longest piece left opens a sequence, a subset-sum dynamic programme
 over a bitset of reachable totals finds the fullest combination of the lengths
 that are left, and the combination is removed as often as the counts allow.
 
-Null texts are empty: one piece with the separator alone.  Repeated rows are
-packed each on its own; an empty table gives an empty result; further columns
-are ignored.
+Null texts are empty: one piece with the separator alone.  Texts of any length are
+tokenized whole and cut into as many pieces as it takes.  Repeated rows are packed
+each on its own; an empty table gives an empty result; further columns are ignored.
+Of pieces of equal length any may go first; of combinations of equal totals the one
+with the longest pieces does.
 """
 
 from __future__ import annotations

@@ -205,11 +205,13 @@ def digests(spans: DataFrame) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
-def redacted(df: DataFrame, column: str = "text", mark: Sequence[str] = tuple(f"<{k}>" for k in KINDS)) -> DataFrame:
-    """The rows of ``df`` with every span of ``column`` replaced by its kind's mark; null texts stay null."""
-    names = df.columns
-    model = trained(_labels(df.select(common.text_of(column).alias("_t"))).select("_base", "_more"))
-    rows = df.select(F.struct(*[F.col(c) for c in names]).alias("_row"), common.text_of(column).alias("_t"))
+def redacted(df: DataFrame, column: str = "text", mark: Sequence[str] = tuple(f"<{k}>" for k in KINDS), length: str | None = None) -> DataFrame:
+    """The rows of ``df`` with every span of ``column`` replaced by its kind's mark; null texts stay null.
+
+    ``length`` names a column that follows where the text changed.  Other columns, of any name, pass untouched.
+    """
+    model = trained(_labels(df.select(common.text_of(common.quoted(column)).alias("_t"))).select("_base", "_more"))
+    rows = df.select(common.row_of(df).alias("_row"), common.text_of(common.quoted(column)).alias("_t"))
     spans = _classified(_labels(rows), model)
     marks = F.array(*[F.lit(m) for m in mark])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
@@ -222,5 +224,15 @@ def redacted(df: DataFrame, column: str = "text", mark: Sequence[str] = tuple(f"
 
     by_start = F.array_sort("spans", lambda a, b: F.when(a["s"] < b["s"], -1).when(a["s"] > b["s"], 1).otherwise(0))
     rest = lambda acc: F.concat(acc["out"], F.call_function("substring", F.col("_t"), (acc["at"] + 1).cast("int")))
-    new = F.when(F.size("spans") > 0, F.aggregate(by_start, start, step, rest)).otherwise(F.col("_row")[column])
-    return spans.select(*[new.alias(c) if c == column else F.col("_row")[c].alias(c) for c in names])
+    new = F.when(F.size("spans") > 0, F.aggregate(by_start, start, step, rest))
+    out = spans.select("_row", new.alias("new"))
+
+    def value(name: str) -> Column:
+        old = F.col("_row")[name]
+        if name == column:
+            return F.coalesce("new", old).alias(name)
+        if name == length:
+            return F.when(F.col("new").isNull() | (F.col("new") == F.col("_row")[column]), old).otherwise(F.length("new").cast(df.schema[name].dataType)).alias(name)
+        return old.alias(name)
+
+    return out.select(*map(value, df.columns))

@@ -46,8 +46,8 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.scored(common.read_table(spark, sf_dir, "documents"))
-    counts = [F.col("_c")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    return judged.select("doc_id", *counts, F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_p").alias("p_good"))
+    counts = [F.col("counts")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "p_good")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

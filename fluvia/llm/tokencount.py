@@ -4,11 +4,14 @@
 end-of-document id follows each document.  ``scan_flat`` cuts the files into
 byte ranges, finds the end ids of each block with one vectorised comparison,
 and stitches documents that cross blocks by a prefix scan over the blocks of a
-file (how many ends came before, and where the last one was).
+file (how many ends came before, and where the last one was).  The scan carries
+three numbers a block; the ends themselves stay where they were found.  Counts and
+the manifest (file, ordinal, doc_id) meet in a join that is dealt by file and ordinal.
 
-An empty or null text has no tokens and one end id.  Ids behind the last end of
+An empty or null text has no tokens and one end id; a text of any length is one
+document, in as many blocks as it takes.  Ids behind the last end of
 a file are reported as a document with ``ended`` false.  Empty tables give no
-files and no rows; repeated rows are counted each on its own.
+files and no rows; repeated rows are counted each on its own; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ def write_flat(df: DataFrame, path: str, end: int = END, dtype: str = DTYPE, ran
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, encode = TaskContext.get(), tokens.codec(ranks).encode
+        task, encode = TaskContext.get(), tokens.codec(ranks, specials=False).encode
         name = f"part-{task.partitionId():06d}.bin"
         fs, root = common.file_system(path)
         fs.create_dir(root, recursive=True)
@@ -84,27 +87,24 @@ def scan_flat(spark: SparkSession, path: str, end: int = END, dtype: str = DTYPE
         yield from common.record_batches(rows(), schema, 1)
 
     found = blocks.select("path", "block").repartition(n_blocks, "path", "block").mapInArrow(scan, "path string, block long, first long, size long, ends array<long>")
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    found = common.staged(found.withColumns({"n_ends": F.size("ends").cast("long"), "last_end": F.expr("try_element_at(ends, -1)")}), "ends")
+    # A few numbers for each block of a file.
+    by_file = Window.partitionBy("path").orderBy("block")
+    before = by_file.rowsBetween(Window.unboundedPreceding, -1)
     stitched = found.select(
-        "path", "first", "size", "ends",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("base"),
-        F.coalesce(F.max(F.expr("try_element_at(ends, -1)")).over(before), F.lit(-1)).alias("previous"),
-        F.lead("block").over(Window.partitionBy("path").orderBy("block")).isNull().alias("last"),
-    )
+        "path", "block",
+        F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("base"),
+        F.coalesce(F.max("last_end").over(before), F.lit(-1)).alias("previous"),
+        F.lead("block").over(by_file).isNull().alias("last"),
+    )
+    found = found.join(stitched, ["path", "block"])
     file = F.element_at(F.split("path", "/"), -1).alias("file")
+    stop = F.col("first") + F.col("size")
     # The last block of a file may leave ids behind its last end.
-    ends = F.when(
-        F.col("last") & (F.expr("coalesce(try_element_at(ends, -1), previous)") < F.col("first") + F.col("size") - 1),
-        F.concat("ends", F.array(F.col("first") + F.col("size"))),
-    ).otherwise(F.col("ends"))
-    each = stitched.select(file, "base", "previous", "ends", (F.col("first") + F.col("size")).alias("stop"), F.posexplode(F.arrays_zip(ends.alias("at"), F.concat(F.array("previous"), ends).alias("from"))).alias("k", "pair"))
-    return each.where("pair.at is not null").select(
-        "file",
-        (F.col("base") + F.col("k")).alias("ordinal"),
-        (F.col("pair.from") + 1).alias("start"),
-        (F.col("pair.at") - F.col("pair.from") - 1).alias("n_tokens"),
-        (F.col("pair.at") < F.col("stop")).alias("ended"),
-    )
+    ends = F.when(F.col("last") & (F.coalesce("last_end", "previous") < stop - 1), F.concat("ends", F.array(stop))).otherwise(F.col("ends"))
+    each = found.select(file, "base", "previous", stop.alias("stop"), ends.alias("ends")).select("*", F.posexplode("ends").alias("k", "at"))
+    start = F.when(F.col("k") == 0, F.col("previous")).otherwise(F.get("ends", F.col("k") - 1)) + 1
+    return each.select("file", (F.col("base") + F.col("k")).alias("ordinal"), start.alias("start"), (F.col("at") - start).alias("n_tokens"), (F.col("at") < F.col("stop")).alias("ended"))
 
 
 def count_tokens(df: DataFrame, path: str | None = None, end: int = END, dtype: str = DTYPE, ranks: str | None = None, block: int = BLOCK_BYTES) -> DataFrame:
@@ -114,4 +114,4 @@ def count_tokens(df: DataFrame, path: str | None = None, end: int = END, dtype:
     names = write_flat(df, path, end, dtype, ranks)
     if names.isEmpty():
         return spark.createDataFrame([], "doc_id long, file string, ordinal long, start long, n_tokens long")
-    return scan_flat(spark, path, end, dtype, block).join(names, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")
+    return scan_flat(spark, path, end, dtype, block).join(names.hint("shuffle_hash"), ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")

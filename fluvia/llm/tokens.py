@@ -4,6 +4,9 @@ The vocabulary file is a parameter and is never copied.  Texts are cut at single
 spaces that stand between two other characters: there the vocabulary's
 pre-tokenizer always cuts, so the ids of each chunk don't depend on what
 surrounds it and can be kept in a bounded table.
+
+The vocabulary's special token is cut out before anything else and becomes its one
+id, as the tokenizer file says; ``specials=False`` takes it for ordinary text.
 """
 
 from __future__ import annotations
@@ -13,6 +16,11 @@ import sys
 from array import array
 from functools import cache
 
+import numpy as np
+
+# The vocabulary's special tokens and their ids.
+SPECIALS = {"<|endoftext|>": 50_256}
+
 #: Chunks kept by a worker, and the longest chunk that is kept.
 KEPT_CHUNKS, KEPT_CHARS = 400_000, 48
 
@@ -60,7 +68,7 @@ class _Chunks(dict):
 class Codec:
     """Texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, ranks: str) -> None:
+    def __init__(self, ranks: str, specials: bool = True) -> None:
         import public_tokenizers
         import tiktoken
 
@@ -69,6 +77,7 @@ class Codec:
         bpe = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self._ids = bpe.encode_ordinary
         self._chunks = _Chunks(self._whole, " ", _Chunks(self._whole, ""))
+        self._specials = {mark: np.array([i], "<u4").tobytes() for mark, i in SPECIALS.items()} if specials else {}
 
     def _whole(self, text: str) -> bytes:
         ids = array("I", self._ids(text))
@@ -77,6 +86,11 @@ class Codec:
         return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
+        for mark, ids in self._specials.items():
+            if mark in text:
+                return ids.join(map(self.encode, text.split(mark)))
+        if not text:
+            return b""
         first, *rest = text.split(" ")
         try:
             return self._chunks.after_line[first] + b"".join(map(self._chunks.__getitem__, rest))
@@ -85,6 +99,6 @@ class Codec:
 
 
 @cache
-def codec(ranks: str) -> Codec:
+def codec(ranks: str, specials: bool = True) -> Codec:
     """One for each worker process."""
-    return Codec(ranks)
+    return Codec(ranks, specials)

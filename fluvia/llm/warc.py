@@ -11,7 +11,8 @@ they differ.
 
 A null payload is an empty one.  Rows that repeat a page_id and payload are the
 same page and share its record type.  A null page_id is written as such and read
-back as null.  Payloads are UTF-8 text, which can't hold the gzip magic, so a
+back as null.  Payloads and urls of any length are written and read whole.  An empty
+table gives no rows; further columns are ignored.  Payloads are UTF-8 text, which can't hold the gzip magic, so a
 stored block can't pose as a member.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-REVISIT_BYTES, RANGE_BYTES, LEVEL = 100, 8 << 20, 6
+REVISIT_BYTES, RANGE_BYTES, LEVEL, HOT = 100, 8 << 20, 6, 1000
 
 # Fixed values of the WARC 1.1 and gzip formats.
 MAGIC, HEAD = b"\x1f\x8b\x08", b"WARC/1."
@@ -38,13 +39,16 @@ NAME = "urn:x-page:"
 
 def with_roles(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     """page_id, url, payload, digest and, for a revisit, the page that it refers to."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), common.text_of("html").alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    first = (
-        pages.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").drop("n")
-    )
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), common.text_of("html").alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    first = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = common.staged(first, "repeated-payloads")
+    # Payloads on more than a thousandth of the rows, fewer than a thousand of them, are looked up in a broadcast table, the others by a join; no digest is dealt to one task whole.
+    most = -(-pages.count() // HOT)
+    often = F.broadcast(first.where(F.col("n") > most).select("digest", F.col("first").alias("often")))
+    rows = rows.join(often, "digest", "left").withColumn("key", F.when(F.col("often").isNull(), F.col("digest")).otherwise(F.concat_ws(":", "digest", F.xxhash64("page_id", "url").cast("string"))))
+    rows = rows.join(first.where(F.col("n") <= most).select(F.col("digest").alias("key"), "first"), "key", "left").withColumn("first", F.coalesce("often", "first"))
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return pages.join(first, "digest", "left").withColumn("refers_to", refers).drop("first")
+    return rows.withColumn("refers_to", refers).select("page_id", "url", "payload", "digest", "refers_to")
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -80,7 +84,7 @@ def write_warc(pages: DataFrame, path: str, least: int = REVISIT_BYTES) -> DataF
         yield pa.RecordBatch.from_pydict({"file": [name], "records": pa.array([n], pa.int64())})
 
     common.small_batches(pages.sparkSession)
-    rows = with_roles(pages, least).select("page_id", "url", "payload", "digest", "refers_to")
+    rows = with_roles(pages, least)
     return common.staged(rows.mapInArrow(write, "file string, records long"), "warc-manifest")
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -25,9 +26,7 @@ def _tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_the_tokenizers(docs):
@@ -40,11 +39,20 @@ def test_ids_are_the_tokenizers(docs):
 
 
 def test_packing(spark, docs, odd_documents):
-    for df in (docs, odd_documents, docs.limit(0)):
+    special = spark.createDataFrame([(1, "a<|endoftext|> b"), (2, "<|endoftext|>"), (3, "<|endoftext|><|endoftext|>\n" * 900)], "doc_id long, text string")
+    for df in (docs, odd_documents, special, docs.limit(0)):
         rows = packing.pack_documents(df).collect()
+        known = [(r.doc_id, r.text or "") for r in df.collect()]
+        want = Counter()
+        for (doc_id, _), ids in zip(known, _tokenizer().encode_batch([t for _, t in known], add_special_tokens=False)):
+            ids, at, k = [*ids.ids, 0], 0, 0
+            while at < len(ids):
+                n = (len(ids) - 1) % 2048 + 1 if not k else 2048
+                want[(doc_id, k, at, n, zlib.crc32(np.array(ids[at : at + n], "<u4").tobytes()))] += 1
+                at, k = at + n, k + 1
+        assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
         spans = defaultdict(list)
         for r in rows:
-            assert 1 <= r.length <= packing.CAPACITY and (r.piece == 0 or r.length == packing.CAPACITY)
             spans[r.sequence_id].append((r.offset, r.length))
         for places in spans.values():
             end = 0
@@ -73,7 +81,9 @@ def test_token_counts(spark, docs, odd_documents):
     for df, block in ((docs, 1000), (odd_documents, 64)):
         got = Counter((r.doc_id, r.n_tokens) for r in tokencount.count_tokens(df, block=block).collect())
         rows = df.collect()
-        ids = _tokenizer().encode_batch([r.text or "" for r in rows], add_special_tokens=False)
+        plain = _tokenizer()
+        plain.encode_special_tokens = True  # the end id stands between documents only
+        ids = plain.encode_batch([r.text or "" for r in rows], add_special_tokens=False)
         assert got == Counter((r.doc_id, len(i.ids)) for r, i in zip(rows, ids))
     assert tokencount.count_tokens(docs.limit(0)).count() == 0
 
@@ -301,13 +311,13 @@ def test_rules_equal_brute_force(spark, docs, odd_documents):
             lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
             known[(r.doc_id, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again))] += 1
         got = rules.scored(df).collect()
-        assert known == Counter((r.doc_id, *[r._c[c] for c in rules.COUNTS[:5]]) for r in got)
-        assert not any(r._kept for r in got if r._failed)
+        assert known == Counter((r.doc_id, *[r.counts[c] for c in rules.COUNTS[:5]]) for r in got)
+        assert not any(r.kept for r in got if r.base_failed)
     assert rules.scored(docs.limit(0)).count() == 0
 
 
 def test_rules_follow_the_labels(spark):
     where = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in rules.scored(spark.read.parquet(f"{where}/documents.parquet")).collect()}
-    labels = [r for r in spark.read.parquet(f"{where}/labels.parquet").collect() if not got[r.doc_id]._failed]
-    assert np.mean([got[r.doc_id]._kept == bool(r.quality) for r in labels]) > 0.98
+    labels = [r for r in spark.read.parquet(f"{where}/labels.parquet").collect() if not got[r.doc_id].base_failed]
+    assert np.mean([got[r.doc_id].kept == bool(r.quality) for r in labels]) > 0.98
