@@ -333,6 +333,7 @@ def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Ite
     if not held:
         return
     key, node = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
+    held.clear()
     if not len(key):
         return
     order = np.lexsort((node, key))
@@ -493,21 +494,30 @@ def _identified(df: DataFrame) -> tuple[DataFrame, DataFrame, Set[bytes]]:
         clashes |= {bytes(r.own) for r in own}
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """``rows`` with the other columns of ``table`` (a row for each ``key``, ``n`` of the rows have it), null where it has none.
+
+    Keys of more than a ``HOT``-th of the ``total`` rows are fewer than ``HOT`` and are
+    broadcast; the join deals the others, of which none fills a task.
+    """
+    values, most = [c for c in table.columns if c not in (key, n)], -(-total // HOT)
+    hot = F.broadcast(table.where(F.col(n) > most).select(key, F.struct(*values).alias("hot")))
+    near = rows.join(hot, key, "left")
+    rest = near.where("hot is null").drop("hot").join(table.where(F.col(n) <= most).drop(n), key, "left")
+    return rest.select(*rows.columns, *values).unionAll(near.where("hot is not null").select(*rows.columns, "hot.*"))
+
+
 def placed(df: DataFrame) -> tuple[DataFrame, Set[bytes]]:
     """doc_id, n_shingles, node, root and component_id of every row of ``df`` (doc_id, text); and the ``clashes``."""
     sets, nodes, clashes = _identified(df)
     _, roots = linked(df, sets.where("n_shingles > 0"), nodes, clashes)
     rooted = nodes.select("node", "rows", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("lowest"))
+    lowest = common.staged(rooted.groupBy("root").agg(F.min("doc_id").alias("lowest"), F.count(F.lit(1)).alias("members")), "lowest")
+    met = looked_up(rooted, lowest, "root", "members", nodes.count())
     # A node of its own with one row needs no join.
-    where = common.staged(rooted.join(lowest, "root").where("rows > 1 or not lowest <=> doc_id or root <> node").select("node", "root", "lowest", "rows"), "components")
+    where = common.staged(met.where("rows > 1 or not lowest <=> doc_id or root <> node").select("node", "root", "lowest", "rows"), "components")
     rows = sets.select("doc_id", "n_shingles", "node")
-    most = -(-rows.count() // HOT)
-    hot = F.broadcast(where.where(F.col("rows") > most).select("node", F.col("root").alias("hot_root"), F.col("lowest").alias("hot_lowest")))
-    near = rows.join(hot, "node", "left")
-    rest = near.where("hot_root is null").select("doc_id", "n_shingles", "node").join(where.where(F.col("rows") <= most).drop("rows"), "node", "left")
-    known = near.where("hot_root is not null").select("doc_id", "n_shingles", "node", F.col("hot_root").alias("root"), F.col("hot_lowest").alias("lowest"))
-    every = rest.select("doc_id", "n_shingles", "node", "root", "lowest").unionAll(known)
+    every = looked_up(rows, where, "node", "rows", rows.count())
     own = F.when(F.col("n_shingles") > 0, F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))).otherwise(F.col("doc_id"))
     return every.select("doc_id", "n_shingles", "node", F.coalesce("root", "node").alias("root"), own.alias("component_id")), clashes
 
