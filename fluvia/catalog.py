@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import mapping, records, redact
-from .operators import checks, feeds, land, project, shape
-from .plans import grids, scans, streams  # noqa: F401
+from .operators import checks, feeds, land, ledger, project, shape
+from .plans import casting, grids, runs, scans, streams  # noqa: F401
 from .plans.registry import QUERIES, SQL, Query
 from .plans.registry import query as _query
 from .plans.registry import read as _read
@@ -147,23 +147,22 @@ def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT 'events' AS resource, CAST(max(event_id) AS BIGINT) AS high, min(event_id) AS low, count(*) AS n FROM events")
 def cursor_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").agg(F.max("event_id").alias("high"), F.min("event_id").alias("low"), F.count(F.lit(1)).alias("n")).select(F.lit("events").alias("resource"), "high", "low", "n")
+    return ledger.high_water(_read(spark, sf_dir, "events"), "events", "event_id")
 
 
 @_query("""
-SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS load_id FROM events
-EXCEPT SELECT strftime(ts, '%Y-%m-%d') FROM events WHERE event_type = 'error'
+SELECT DISTINCT strftime(ts, '%Y-%m-%d %H:%M') AS load_id FROM events
+EXCEPT SELECT strftime(ts, '%Y-%m-%d %H:%M') FROM events WHERE event_type = 'error'
 """)
 def outstanding_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loads = _read(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("load_id"), "event_type")
+    loads = _read(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd HH:mm").alias("load_id"), "event_type")
     return land.outstanding(loads, loads.where("event_type = 'error'"))
 
 
 @_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def landed_reference_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = _read(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.join(known, orders["o_custkey"] == known["c_custkey"], "left_semi")
+    return land.landed_references(_read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), known, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
 
 
 @_query("""
@@ -243,7 +242,7 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
 """)
 def cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _read(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "d/M/yyyy").alias("d"))
-    day = mapping.compile_mapping(df, {"day": {"source": "d", "cast": "date", "format": "d/M/y"}})["day"]
+    day = mapping.compile_mapping(df, {"day": {"source": "d", "cast": "date", "format": "%d/%m/%Y"}})["day"]
     return df.select("o_orderkey", day.value.cast("string").alias("day"))
 
 
@@ -288,18 +287,47 @@ def drift_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.unionByName(new)
 
 
-@_query("""
-SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, 'eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]*', '***', 'g'),
-  '(?i)\\b(bearer|basic) +[A-Za-z0-9._~+/=-]+', '\\1 ***', 'g'),
-  '(?i)\\b(""" + redact.NAMES + """)\\b([ ]*[=:][ ]*)("[^"]*"|[^ \\t\\n,;&]+)', '\\1\\2***', 'g') AS text FROM documents
-""")
+#: The secrets' names once more, apart from the code that is checked.
+_SECRETS = "((access|refresh|id|bearer|session|sas)?[_-]?token|secret|password|passwd|pwd|api[_-]?key|client[_-]?secret|private[_-]?key|credential|assertion|authorization|auth|tempauth|signature|sig|passphrase|connection[_-]?string|dsn)"
+
+
+def _masked_sql(text: str) -> str:
+    """Values in double quotes, in single ones, and without, one after the other; what is masked masks again to itself."""
+    out = f"regexp_replace(regexp_replace({text}, '\\beyJ[A-Za-z0-9_-]{{4,}}\\.[A-Za-z0-9_-]{{4,}}\\.[A-Za-z0-9_-]*', '***', 'g'), '(?i)\\b(bearer|basic|token|apikey)\\s+[A-Za-z0-9._~+/=-]+', '\\1 ***', 'g')"
+    for quote in ('"', "''"):
+        out = f"regexp_replace({out}, '(?i)([\"'']?\\b{_SECRETS}\\b[\"'']?[ \\t]*[=:][ \\t]*){quote}[^{quote}\\n]*[ \\t][^{quote}\\n]*{quote}', '\\1***', 'g')"
+    for quote in ('"', "''", ""):
+        out = f"regexp_replace({out}, '(?i)([\"'']?\\b{_SECRETS}\\b[\"'']?[ \\t]*[=:][ \\t]*){quote}[^\\s,;&)\\]}}''\"]+{quote}', '\\1{quote}***{quote}', 'g')"
+    return out
+
+
+@_query(f"SELECT doc_id, {_masked_sql('text')} AS text FROM documents")
 def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", redact.redacted(F.col("text")).alias("text"))
 
 
-@_query("""
-SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '://[^/?#@]*@', '://', 'g'), '([?&][^=&#]+=)[^&#]*', '\\1***', 'g'), '#.*$', '#***', 'g') AS url FROM pages
-""")
+@_query(f"SELECT conv_id, turn, {_masked_sql(chr(39) + '{{' + chr(34) + 'refresh_token' + chr(34) + ': ' + chr(34) + chr(39) + ' || conv_id || ' + chr(39) + chr(34) + ', Token ' + chr(39) + ' || turn || ' + chr(39) + ', pwd=' + chr(39) + ' || role || ' + chr(39) + '}} ' + chr(39) + ' || text')} AS text FROM conversations")
+def redact_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Credentials put before every turn: a quoted name, a scheme, a bare pair."""
+    turns = _read(spark, sf_dir, "conversations")
+    text = F.concat(F.lit('{{"refresh_token": "'), F.col("conv_id").cast("string"), F.lit('", Token '), F.col("turn").cast("string"), F.lit(", pwd="), F.col("role"), F.lit("}} "), F.col("text"))
+    return turns.select("conv_id", "turn", redact.redacted(text).alias("text"))
+
+
+_URL_SQL = """
+WITH u AS (SELECT page_id, regexp_replace(url, '[.,;:)\\]}>''"]+$', '') AS bare, coalesce(regexp_extract(url, '[.,;:)\\]}>''"]+$'), '') AS behind FROM pages WHERE url IS NOT NULL),
+h AS (SELECT *, split_part(bare, '#', 1) AS whole FROM u),
+q AS (SELECT *, split_part(whole, '?', 1) AS head, CASE WHEN contains(whole, '?') THEN substr(whole, length(split_part(whole, '?', 1)) + 2) ELSE '' END AS query FROM h),
+p AS (SELECT *, list_filter(string_split(query, '&'), lambda x: x <> '') AS pieces FROM q)
+SELECT page_id, regexp_replace(head, '^([^/]*//)[^/]*@', '\\1')
+  || CASE WHEN len(pieces) > 0 THEN '?' || array_to_string(list_transform(pieces, lambda x: CASE
+       WHEN lower(split_part(x, '=', 1)) NOT IN (SAFE) THEN split_part(x, '=', 1) || '=%2A%2A%2A' WHEN contains(x, '=') THEN x ELSE x || '=' END), '&') ELSE '' END
+  || CASE WHEN length(bare) > length(whole) + 1 THEN '#***' ELSE '' END || behind AS url
+FROM p UNION ALL SELECT page_id, NULL FROM pages WHERE url IS NULL
+""".replace("SAFE", ", ".join(f"'{n}'" for n in redact.SAFE))
+
+
+@_query(_URL_SQL)
 def scrub_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "pages").select("page_id", redact.scrubbed_url(F.col("url")).alias("url"))
 
@@ -443,14 +471,13 @@ _FILTERS = {
     "gte": ("o_custkey", 100, "o_custkey >= 100"), "lte": ("o_custkey", 100, "o_custkey <= 100"),
     "in": ("o_orderstatus", ["F", "P"], "o_orderstatus IN ('F', 'P')"), "not_in": ("o_orderstatus", ["F", "P"], "o_orderstatus NOT IN ('F', 'P')"),
     "contains": ("o_orderpriority", "IG", "contains(o_orderpriority, 'IG')"), "startswith": ("o_orderpriority", "1", "starts_with(o_orderpriority, '1')"),
-    "endswith": ("o_orderpriority", "M", "ends_with(o_orderpriority, 'M')"), "is_null": ("o_orderstatus", None, "o_orderstatus IS NULL"),
-    "is_not_null": ("o_orderstatus", None, "o_orderstatus IS NOT NULL"),
+    "endswith": ("o_orderpriority", "M", "ends_with(o_orderpriority, 'M')"), "is_null": ("known", None, "known IS NULL"), "is_not_null": ("known", None, "known IS NOT NULL"),
 }
 
 
 def _filter_query(op: str, field: str, literal: object) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        orders = _read(spark, sf_dir, "orders")
+        orders = _read(spark, sf_dir, "orders").withColumn("known", F.nullif("o_orderstatus", F.lit("O")))
         return orders.where(mapping.condition(orders, field, op, literal)).select("o_orderkey", field)
 
     return run
@@ -458,7 +485,7 @@ def _filter_query(op: str, field: str, literal: object) -> Query:
 
 for _op, (_field, _literal, _where) in _FILTERS.items():
     QUERIES[f"filter_{_op}"] = _filter_query(_op, _field, _literal)
-    SQL[f"filter_{_op}"] = f"SELECT o_orderkey, {_field} FROM orders WHERE {_where}"
+    SQL[f"filter_{_op}"] = f"SELECT o_orderkey, {_field} FROM (SELECT *, nullif(o_orderstatus, 'O') AS known FROM orders) WHERE {_where}"
 
 
 def queries() -> dict[str, Query]:

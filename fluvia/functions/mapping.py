@@ -15,13 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Texts that are truth values.
-TRUE, FALSE = ("true", "t", "yes", "y", "1", "on"), ("false", "f", "no", "n", "0", "off", "")
-
-
-class MappingError(ValueError):
-    """A mapping or filter that can't be compiled; never skipped."""
-
+from . import casts
+from .casts import MappingError, as_text
 
 @dataclass(frozen=True)
 class Cell:
@@ -34,66 +29,45 @@ class Cell:
         return cls(value, F.lit(None).cast("string"), kind)
 
 
-def as_text(value: Column, kind: T.DataType) -> Column:
-    """A value as the mapping language writes it."""
-    if isinstance(kind, T.BooleanType):
-        return F.when(value, "True").when(~value, "False")
-    if isinstance(kind, T.TimestampType):
-        return F.when(F.date_format(value, "SSSSSS") == "000000", F.date_format(value, "yyyy-MM-dd HH:mm:ss'+00:00'")).otherwise(F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'"))
-    return value.cast("string")
-
-
-def cast(cell: Cell, name: str, strip: str = "", decimal_separator: str = ".", format: str | None = None) -> Cell:  # noqa: A002
-    """``cell`` as string, integer, decimal, float, boolean, datetime, date or json; null stays null."""
-    text, is_text = cell.value.cast("string"), isinstance(cell.kind, T.StringType)
-    number = F.trim(text)
-    if is_text and strip:
-        number = F.trim(F.translate(number, strip, ""))
-    if is_text and decimal_separator != ".":
-        number = F.replace(number, F.lit(decimal_separator), F.lit("."))
-    if name == "string":
-        out, kind = as_text(cell.value, cell.kind), T.StringType()
-    elif name == "integer":
-        kind = T.LongType()
-        if isinstance(cell.kind, (T.DoubleType, T.FloatType)):
-            out = F.when(cell.value == F.floor(cell.value), cell.value.try_cast("bigint"))
-        elif is_text:
-            out = F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint"))
-        else:
-            out = cell.value.try_cast("bigint")
-    elif name == "decimal":
-        kind = T.DecimalType(38, 18)
-        plain = number.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
-        out = F.lit(None) if isinstance(cell.kind, T.BooleanType) else F.when(plain, number.try_cast("decimal(38,18)")) if is_text else cell.value.try_cast("decimal(38,18)")
-    elif name == "float":
-        kind = T.DoubleType()
-        out = F.when(number.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), number.try_cast("double")) if is_text else cell.value.try_cast("double")
-    elif name == "boolean":
-        kind, low = T.BooleanType(), F.lower(F.trim(text))
-        out = F.when(low.isin(*TRUE), True).when(low.isin(*FALSE), False) if is_text else cell.value.cast("boolean")
-    elif name == "datetime":
-        kind = T.TimestampType()
-        iso = text.rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\s*$")
-        out = (F.try_to_timestamp(F.trim(text), F.lit(format)) if format else F.when(iso, text.try_cast("timestamp"))) if is_text else F.timestamp_seconds(cell.value) if isinstance(cell.kind, (T.LongType, T.IntegerType, T.DoubleType)) else cell.value.cast("timestamp")
-    elif name == "date":
-        kind = T.DateType()
-        out = (F.try_to_timestamp(F.trim(text), F.lit(format)).cast("date") if format else F.when(text.rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$"), text.try_cast("date"))) if is_text else cell.value.cast("date")
-    elif name == "json":
-        kind, out = T.StringType(), F.when(F.try_parse_json(text).isNotNull(), text)
-    else:
-        raise MappingError(f"unknown cast {name!r}")
+def cast(cell: Cell, name: str, **options: Any) -> Cell:
+    """``cell`` as string, integer, decimal, float, boolean, datetime, date or json; null stays null.
+
+    ``strip`` and ``decimal_separator`` apply to texts of numbers, ``format`` (a strptime
+    pattern) and ``timezone`` to texts of times, ``max_length`` to strings.
+    """
+    casts.checked(name, options)
+    out, kind = casts.value_of(cell.value, cell.kind, name, **options)
     out = out.cast(kind)
-    failed = F.when(cell.value.isNotNull() & out.isNull(), F.concat(F.lit(f"not {name}: "), text))
+    shown = F.to_json(cell.value) if isinstance(cell.kind, (T.StructType, T.ArrayType, T.MapType)) else cell.value.cast("string")
+    failed = F.when(cell.value.isNotNull() & out.isNull(), F.concat(F.lit(f"not {name}: "), shown))
     return Cell(out, F.coalesce(cell.error, failed), kind)
 
 
 def _path(value: Column, path: str) -> Column:
-    """A dotted path into JSON text; a number is an index or a key."""
-    for part in [p for p in path.split(".") if p]:
-        key = part.replace("'", "\\'")
-        by_key = F.get_json_object(value, f"$['{key}']")
-        value = F.coalesce(F.get_json_object(value, f"$[{part}]"), by_key) if re.fullmatch(r"[0-9]+", part) else by_key
-    return value
+    """A dotted path into JSON text: keys, or indices of lists, which count from the end where they are negative.
+
+    The text is parsed once: a value that is itself JSON text isn't gone into.
+    """
+    parts = [p for p in path.split(".") if p]
+    if not parts:
+        return value
+    found = F.try_parse_json(value)
+    # A path of keys that are no numbers is one look-up; a number may be an index or a key, so each is a step.
+    for part in parts:
+        key = part.replace("\\", "\\\\").replace("'", "\\'")
+        by_key = F.try_variant_get(found, f"$['{key}']", "variant")
+        if re.fullmatch(r"-[0-9]+", part):
+            items = F.try_variant_get(found, "$", "array<variant>")
+            found = F.coalesce(F.when(F.size(items) >= -int(part), F.get(items, F.size(items) + int(part))), by_key)
+        elif re.fullmatch(r"[0-9]+", part):
+            found = F.coalesce(F.try_variant_get(found, f"$[{part}]", "variant"), by_key)
+        else:
+            found = by_key
+    return F.try_variant_get(found, "$", "string")
+
+
+#: What each form of a node may hold besides its name.
+_KEYS = {"source": {"json_path", "default", "cast"}, "constant": set(), "object": set(), "function": {"args", "cast"}}
 
 
 def compile_node(df: DataFrame, node: Mapping[str, Any], depth: int = 0) -> Cell:
@@ -101,10 +75,14 @@ def compile_node(df: DataFrame, node: Mapping[str, Any], depth: int = 0) -> Cell
     if depth > 32:
         raise MappingError("mapping is nested too deeply")
     kinds = {f.name: f.dataType for f in df.schema}
-    options = {k: v for k, v in node.items() if k in ("strip", "decimal_separator", "format")}
-    forms = [k for k in ("source", "constant", "object", "function") if k in node]
+    if not isinstance(node, Mapping):
+        raise MappingError(f"a node is a mapping, not {node!r}")
+    forms = [k for k in _KEYS if k in node]
     if len(forms) != 1:
         raise MappingError("a node has one of source, constant, object, function")
+    options = {k: v for k, v in node.items() if k != forms[0] and k not in _KEYS[forms[0]]}
+    if options and not ("cast" in node and "cast" in _KEYS[forms[0]]):
+        raise MappingError(f"a {forms[0]} takes no {', '.join(sorted(options))}")
     if "constant" in node:
         value = node["constant"]
         if isinstance(value, (dict, list)):
@@ -135,6 +113,8 @@ def compile_node(df: DataFrame, node: Mapping[str, Any], depth: int = 0) -> Cell
         return cell
     args = [compile_node(df, a, depth + 1) for a in node.get("args", ())]
     name = node["function"]
+    if name in ("coalesce", "concat") and not args:
+        raise MappingError(f"{name} takes arguments")
     if name == "coalesce":
         # Lazy: an argument's error counts only where all before it are null.
         value, error = F.lit(None).cast(args[0].kind), F.lit(None).cast("string")
@@ -164,6 +144,25 @@ def compile_mapping(df: DataFrame, mapping: Mapping[str, Mapping[str, Any]]) ->
     return cells
 
 
+def source_columns(node: Mapping[str, Any]) -> set[str]:
+    """The columns that a node, or all nodes of a mapping, read."""
+    if "source" in node:
+        return {node["source"]}
+    inner = node["object"].values() if "object" in node else node.get("args", ()) if "function" in node else () if "constant" in node else node.values()
+    return set().union(*map(source_columns, inner))
+
+
+def coerced(cells: Mapping[str, Cell], fields: Mapping[str, Mapping[str, Any]]) -> dict[str, Cell]:
+    """Cells as the target's ``fields`` (name to type and its options) take them, after their own casts."""
+    if unknown := [n for n in cells if n not in fields]:
+        raise MappingError(f"the target has no field {', '.join(map(repr, unknown))}")
+    out = {}
+    for name, cell in cells.items():
+        field = {k: v for k, v in fields[name].items() if k not in ("required", "help_text")}
+        out[name] = cast(cell, field.pop("type"), **field)
+    return out
+
+
 def _numeric(kind: T.DataType) -> bool:
     return isinstance(kind, (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.FloatType, T.DoubleType))
 

@@ -18,6 +18,16 @@ def identifier(name: str) -> str:
     return f"_{low}" if low[:1].isdigit() else low
 
 
+def table_name(source: str, resource: str, key: str, most: int = 63) -> str:
+    """The landing table of a source's resource; a name that ``identifier`` would change, or a longer one, is refused."""
+    name = identifier("_".join((source, resource, key)))
+    if not name or identifier(name) != name:
+        raise ValueError(f"{name!r} is no identifier")
+    if len(name) > most:
+        raise ValueError(f"{name!r} has more than {most} characters")
+    return name
+
+
 def fingerprint(df: DataFrame) -> str:
     """A hash of the columns' names and types, whatever their order; reads the schema alone."""
     return hashlib.sha256(json.dumps(sorted((f.name, f.dataType.simpleString()) for f in df.schema)).encode()).hexdigest()[:32]

@@ -72,6 +72,12 @@ def records(grid: DataFrame, header_row: int | None = 1, skip_rows: int = 0, tri
     return rows.select("sheet", F.col("row_number").alias(ROW_NUMBER), F.map_from_arrays("_names", cells).alias("record"))
 
 
+def with_provenance(rows: DataFrame, file_id: Column, name: Column, path: Column, modified_at: Column) -> DataFrame:
+    """Where each row comes from, written last: these columns win over those of the sheet."""
+    values = (file_id, name, path, modified_at, F.col("sheet"), F.col(ROW_NUMBER))
+    return rows.withColumns(dict(zip(PROVENANCE, values, strict=True)))
+
+
 def keyed(rows: DataFrame, key: str, missing: str = "error", shown: int = 20) -> DataFrame:
     """Rows whose record has the key; ``missing`` is skip, or error, which names the first rows without it."""
     has = F.col("record")[key].isNotNull()

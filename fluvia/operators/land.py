@@ -37,10 +37,16 @@ def newest(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFr
     return best.unionByName(df.where(~known))
 
 
+def merge_key(key: Sequence[str], *tables: DataFrame) -> list[str]:
+    """``key`` behind the tenant, where the tables have one: equal ids of two tenants are two rows."""
+    return [BINDING, *[k for k in key if k != BINDING]] if all(BINDING in t.columns for t in tables) else list(key)
+
+
 def merged(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Delete the rows whose key is in ``new``, insert ``new``.  A null key matches nothing."""
-    keys = new.select(*key).distinct()
-    return old.join(keys, list(key), "left_anti").unionByName(new, allowMissingColumns=True)
+    """Delete the rows whose key is in ``new``, insert ``new``.  The tenant leads every key.  A null key matches nothing."""
+    whole = merge_key(key, old, new)
+    keys = new.select(*whole).distinct()
+    return old.join(keys, whole, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def incremental(df: DataFrame, cursor: str, last: object) -> DataFrame:
@@ -49,7 +55,7 @@ def incremental(df: DataFrame, cursor: str, last: object) -> DataFrame:
 
 
 def evolved(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both with one schema.  Where a column's type changed, values that don't cast go to ``column__v_type``."""
+    """Both with one schema.  Where a column's type changed, values that the old one can't hold as they are go to ``column__v_type``."""
     types = {f.name: f.dataType for f in old.schema}
     columns: list[Column] = []
     for field in new.schema:
@@ -57,7 +63,9 @@ def evolved(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
         if was is None or was == field.dataType:
             columns.append(F.col(field.name))
             continue
-        kept = F.col(field.name).try_cast(was)
+        cast = F.col(field.name).try_cast(was)
+        # 1.7 doesn't go into a whole number: what is cast must come back the same.  A text is refused or read by the cast itself.
+        kept = cast if isinstance(field.dataType, T.StringType) else F.when(cast.try_cast(field.dataType) == F.col(field.name), cast)
         columns += [kept.alias(field.name), F.when(kept.isNull(), F.col(field.name)).alias(f"{field.name}__v_{field.dataType.simpleString()}")]
     shaped = new.select(*columns)
     names = [*old.columns, *[c for c in shaped.columns if c not in old.columns]]
@@ -80,6 +88,17 @@ def outstanding(landed: DataFrame, done: DataFrame) -> DataFrame:
     return landed.select("load_id").distinct().join(done.select("load_id").distinct(), "load_id", "left_anti")
 
 
+def landed_references(rows: DataFrame, landed: DataFrame, column: str, key: str) -> DataFrame:
+    """The rows whose ``column`` names a landed row; Spark picks a broadcast or a shuffle by the sizes."""
+    return rows.join(landed.select(F.col(key).alias(column)).distinct(), column, "left_semi")
+
+
+def landing_schema(df: DataFrame, resource: str) -> list[dict]:
+    """name, type, nullable and variant_of of each column of a landed table, from its schema alone."""
+    known = set(df.columns)
+    return [{"resource": resource, "name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable, "variant_of": base if (base := f.name.split("__v_")[0]) != f.name and base in known else None, "internal": f.name in STAMPS} for f in df.schema]
+
+
 def foreign_rows(df: DataFrame, binding: str) -> DataFrame:
     """How many rows belong to another tenant (a null is allowed)."""
     return df.agg(F.count_if(F.col(BINDING) != binding).alias("foreign_rows"))

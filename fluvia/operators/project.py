@@ -11,6 +11,10 @@ from ..functions.mapping import Cell
 from .land import DELETED, LOAD, ROW
 
 
+class InvalidRecord(ValueError):
+    """A row that can't be projected, under the policy that lets none be skipped."""
+
+
 def projected(df: DataFrame, cells: Mapping[str, Cell], identity: Sequence[str], required: Sequence[str] = (), filters: Column | None = None, carried: Sequence[str] = ()) -> DataFrame:
     """operation, values, error and load order of every row that the filters let through.
 
@@ -45,10 +49,25 @@ def written(target: DataFrame, records: DataFrame, identity: Sequence[str]) -> D
     return target.join(keys, list(identity), "left_anti").unionByName(records.where("operation = 'upsert'").select("values.*"))
 
 
-def replaced(target: DataFrame, records: DataFrame, owner: Sequence[str]) -> DataFrame:
-    """The target with all records of the owners in ``records`` replaced by those."""
-    owners = records.select(*[F.col("values")[k].alias(k) for k in owner]).distinct()
-    return target.join(owners, list(owner), "left_anti").unionByName(records.where("operation = 'upsert'").select("values.*"))
+def replaced(target: DataFrame, records: DataFrame, owner: Sequence[str], owners: DataFrame | None = None) -> DataFrame:
+    """The target with all records of the replayed owners replaced by ``records``.
+
+    ``owners`` names those that were replayed; one whose replay is empty keeps nothing.
+    Without it they are the owners in ``records``.
+    """
+    gone = (owners.select(*owner) if owners is not None else records.select(*[F.col("values")[k].alias(k) for k in owner])).distinct()
+    return target.join(gone, list(owner), "left_anti").unionByName(records.where("operation = 'upsert'").select("values.*"))
+
+
+def enforced(df: DataFrame, policy: str = "skip") -> DataFrame:
+    """The good rows of a projection.  ``fail``: the first bad row, in load order, stops the run before anything is written."""
+    if policy not in ("fail", "skip"):
+        raise ValueError(f"no policy {policy!r}")
+    if policy == "fail":
+        first = df.where("error is not null").select(F.struct(LOAD, ROW, "error").alias("x")).agg(F.min("x")).first()[0]
+        if first is not None:
+            raise InvalidRecord(f"load {first[LOAD]}, row {first[ROW]}: {first['error']}")
+    return df.where("error is null")
 
 
 def warnings(df: DataFrame, reason: str, row: str, most: int = 100) -> DataFrame:

@@ -135,10 +135,10 @@ def grid_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, regexp_matches(url, '/[^/?#]+\\.[A-Za-z0-9]+$') AND NOT regexp_matches(url, '\\.[0-9]+$') AS is_file FROM pages WHERE url IS NOT NULL
+SELECT page_id, regexp_matches(url, '/[^/?#]+\\.[A-Za-z0-9]+$') AND NOT regexp_matches(url, '\\.[0-9]+$') AS is_file FROM pages
 """)
 def file_name_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").where("url is not null")
+    pages = read(spark, sf_dir, "pages")
     return pages.select("page_id", names.is_file(F.col("url")).alias("is_file"))
 
 

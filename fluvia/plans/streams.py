@@ -15,21 +15,32 @@ from .registry import query, read
 WHOLE = "3650 days"
 
 
-def _stream(spark: SparkSession, df: DataFrame, name: str, files: int = 4, per_trigger: int = 2) -> tuple[DataFrame, str]:
+#: Micro-batches that a table comes in.
+BATCHES = 2
+
+
+def _stream(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The table as files, one for each task or partition at least, read in ``BATCHES`` triggers: a trigger has as many tasks as it has files."""
     path = tables.scratch(spark, name)
+    files = max(BATCHES, spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
     df.repartition(files).write.parquet(f"{path}/in")
-    return landing.files(spark, f"{path}/in", df.schema, per_trigger), path
+    return landing.files(spark, f"{path}/in", df.schema, -(-files // BATCHES)), path
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select(F.col("user_id").alias("subscription"), F.lit("").alias("delivery_id"), F.col("event_type").alias("body"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    """Events as deliveries; errors have neither id nor body."""
+    body = F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type"))
+    return read(spark, sf_dir, "events").select(F.col("user_id").alias("subscription"), F.lit("").alias("delivery_id"), body.alias("body"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
 
 
-@query("SELECT DISTINCT user_id AS subscription, event_type AS body FROM events WHERE user_id IS NOT NULL AND event_type <> ''")
+@query("""
+SELECT DISTINCT user_id AS subscription, event_type AS body FROM events WHERE event_type <> 'error' AND event_type <> ''
+UNION ALL SELECT user_id, coalesce(nullif(event_type, 'error'), '') FROM events WHERE event_type IN ('error', '') OR event_type IS NULL
+""")
 def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _deliveries(spark, sf_dir).where("subscription is not null and length(body) > 0")
-    stream, path = _stream(spark, rows, "once")
-    return landing.drained(deliveries.once(deliveries.fingerprinted(stream), WHOLE), path).select("subscription", "body")
+    """A body is accepted once; deliveries without id and body all are."""
+    stream, path = _stream(spark, _deliveries(spark, sf_dir), "once")
+    return landing.drained(deliveries.once(deliveries.fingerprinted(stream), WHOLE), path).select("subscription", F.coalesce("body", F.lit("")).alias("body"))
 
 
 @query("SELECT user_id AS subscription, date_trunc('minute', ts) AS minute, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2")
@@ -42,11 +53,11 @@ def stream_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT user_id, event_id, event_type FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS k FROM events WHERE user_id IS NOT NULL) WHERE k = 1
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS k FROM events) WHERE k = 1 OR user_id IS NULL
 """)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest event of each user, whichever micro-batch brought it."""
-    events = read(spark, sf_dir, "events").where("user_id is not null").select("user_id", "event_id", "event_type", "ts")
+    events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
     stream, path = _stream(spark, events, "landing")
     order = [F.col("ts"), F.col("event_id")]
     rows = landing.drained(stream, path, lambda b: land.stamped(land.newest(b, ["user_id"], order), "b1", "r1", "000001"))

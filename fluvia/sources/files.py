@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +12,19 @@ from ..operators.feeds import glob_pattern
 # Formats and the readers and options that they go to.
 FORMATS = {"jsonl": ("json", {}), "csv": ("csv", {"header": "true"}), "parquet": ("parquet", {})}
 
+#: A file's name: an extension that is no number.
+FILE = re.compile(r"^[^?#/]+\.(?![0-9]+$)[A-Za-z0-9]+$")
+
 
 def located(path: str) -> tuple[str, str]:
     """The folder that a path starts from and the glob of the files below it."""
     if "://" not in path and not path.startswith("/"):
         raise ValueError(f"a path is absolute or has a scheme: {path!r}")
     parts = path.rstrip("/").split("/")
-    wild = next((i for i, p in enumerate(parts) if any(c in p for c in "*?")), None)
+    wild = next((i for i, p in enumerate(parts) if any(c in p for c in "*?[")), None)
     if wild is not None:
         return "/".join(parts[:wild]) or "/", "/".join(parts[wild:])
-    return ("/".join(parts[:-1]) or "/", parts[-1]) if "." in parts[-1] else ("/".join(parts), "*")
+    return ("/".join(parts[:-1]) or "/", parts[-1]) if FILE.match(parts[-1]) else ("/".join(parts) or "/", "*")
 
 
 def _below(path: str, base: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -13,15 +13,20 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 DEDUPE, WINDOW_S, PER_MINUTE = "10 minutes", 30, 120
 
 
-def fingerprinted(df: DataFrame) -> DataFrame:
-    """The delivery's id, else the hash of its body; a delivery with neither is never a repeat."""
+def fingerprinted(df: DataFrame, delivery_id: Column | None = None) -> DataFrame:
+    """The delivery's id, else the hash of its body; a delivery with neither has none and is never a repeat.
+
+    ``delivery_id``: where a provider's deliveries hold their id; the column of that name otherwise.
+    """
+    given = F.col("delivery_id") if delivery_id is None else delivery_id
     body = F.when(F.length("body") > 0, F.concat(F.lit("b:"), F.sha2("body", 256)))
-    return df.withColumn("fingerprint", F.coalesce(F.when(F.length("delivery_id") > 0, F.concat(F.lit("d:"), F.sha2("delivery_id", 256))), body))
+    return df.withColumn("fingerprint", F.coalesce(F.when(F.length(given) > 0, F.concat(F.lit("d:"), F.sha2(given, 256))), body))
 
 
 def once(df: DataFrame, within: str = DEDUPE) -> DataFrame:
-    """A stream (subscription, fingerprint, ts) without repeats; state is kept as long as the watermark asks."""
-    return df.withWatermark("ts", within).dropDuplicatesWithinWatermark(["subscription", "fingerprint"])
+    """A stream (subscription, fingerprint, ts) without repeats; state is kept as long as the watermark asks.  Rows without a fingerprint all pass, beside it."""
+    timed = df.withWatermark("ts", within)
+    return timed.where("fingerprint is not null").dropDuplicatesWithinWatermark(["subscription", "fingerprint"]).unionByName(timed.where("fingerprint is null"))
 
 
 def per_minute(df: DataFrame, within: str = "1 minute") -> DataFrame:

@@ -32,7 +32,7 @@ def test_all_empty_row_gives_every_stage(spark):
 def test_casts_give_errors_as_values(spark):
     df = spark.createDataFrame([("£1,234.56", "3/4/2024", "1.0"), ("x", "2024", "7")], "d string, t string, i string")
     cells = mapping.compile_mapping(df, {
-        "d": {"source": "d", "cast": "decimal", "strip": "£,"}, "t": {"source": "t", "cast": "date", "format": "d/M/y"}, "i": {"source": "i", "cast": "integer"},
+        "d": {"source": "d", "cast": "decimal", "strip": "£,"}, "t": {"source": "t", "cast": "date", "format": "%d/%m/%Y"}, "i": {"source": "i", "cast": "integer"},
     })
     rows = df.select(*[c.value.cast("string").alias(k) for k, c in cells.items()], *[c.error.isNull().alias(f"{k}_ok") for k, c in cells.items()]).collect()
     assert (float(rows[0].d), rows[0].t, rows[0].i, rows[0].i_ok) == (1234.56, "2024-04-03", None, False)
