@@ -201,7 +201,12 @@ def _listed(spans: str) -> Column:
 
 def digests(spans: DataFrame) -> DataFrame:
     """Counts of base spans, the digest of their list, and the list of all spans."""
-    counts = [F.size(F.filter("base", lambda m, k=k: m["k"] == k + 1)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
+
+    def count(kind: int, name: str) -> Column:
+        # A second parameter of the function would be the place in the array.
+        return F.size(F.filter("base", lambda m: m["k"] == kind)).cast("long").alias(f"n_{name}")
+
+    counts = [count(k + 1, name) for k, name in enumerate(KINDS[:4])]
     return spans.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
