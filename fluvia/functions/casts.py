@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import zoneinfo
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column
@@ -139,21 +139,34 @@ def iso_timestamp(text: Column, zone: str | None) -> Column:
     return F.when(text.rlike(_ISO), full).try_cast("timestamp")
 
 
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often it stands there."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def _double_text(value: Column) -> Column:
     """A double as Python writes it: the fewest digits that read back the same, no exponent from 1e-4 up to 1e16."""
-    written = [F.format_string(f"%.{n}e", value) for n in (14, 15, 16)]
-    text = F.coalesce(*[F.when(w.try_cast("double") == value, w) for w in written[:2]], written[2])
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    bare = F.regexp_replace(text, "^-", "")
-    power = F.substring_index(bare, "e", -1).try_cast("int")
-    digits = F.regexp_replace(F.regexp_replace(F.substring_index(bare, "e", 1), r"\.", ""), "(?<=.)0+$", "")
-    n = F.length(digits)
-    cut = lambda at: F.concat(F.call_function("substring", digits, F.lit(1), at), F.lit("."), F.call_function("substring", digits, at + 1))
-    plain = F.when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)).when(n <= power + 1, F.concat(F.rpad(digits, 17, "0").substr(F.lit(1), power + 1), F.lit(".0"))).otherwise(cut(power + 1))
-    short = F.when(n == 1, digits).otherwise(cut(F.lit(1)))
-    far = F.concat(short, F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) > 99, F.abs(power).cast("string")).otherwise(F.lpad(F.abs(power).cast("string"), 2, "0")))
+
+    def shortest(v: Column) -> Column:
+        short = [F.format_string(f"%.{n}e", v) for n in (14, 15)]
+        return _bound(short[0], lambda t: F.when(t.try_cast("double") == v, t).otherwise(_bound(short[1], lambda u: F.when(u.try_cast("double") == v, u).otherwise(F.format_string("%.16e", v)))))
+
+    def parts(text: Column) -> Column:
+        bare = F.regexp_replace(text, "^-", "")
+        digits = F.regexp_replace(F.translate(F.substring_index(bare, "e", 1), ".", ""), "(?<=.)0+$", "")
+        return F.struct(F.when(text.startswith("-"), "-").otherwise("").alias("sign"), F.substring_index(bare, "e", -1).try_cast("int").alias("power"), digits.alias("digits"), F.length(digits).alias("n"))
+
+    def written(x: Column) -> Column:
+        power, digits, n = x["power"], x["digits"], x["n"]
+        cut = lambda at: F.concat(F.call_function("substring", digits, F.lit(1), at), F.lit("."), F.call_function("substring", digits, at + 1))
+        plain = F.when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)).when(n <= power + 1, F.concat(F.rpad(digits, 17, "0").substr(F.lit(1), power + 1), F.lit(".0"))).otherwise(cut(power + 1))
+        size = F.abs(power).cast("string")
+        far = F.concat(F.when(n == 1, digits).otherwise(cut(F.lit(1))), F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size))
+        return F.concat(x["sign"], F.when(power.between(-4, 15), plain).otherwise(far))
+
     infinite = F.when(value > 0, "inf").otherwise("-inf")
-    return F.when(F.isnan(value), "nan").when(F.abs(value) == float("inf"), infinite).otherwise(F.concat(sign, F.when(power.between(-4, 15), plain).otherwise(far)))
+    number = _bound(value, lambda v: _bound(shortest(v), lambda t: _bound(parts(t), written)))
+    return F.when(F.isnan(value), "nan").when(F.abs(value) == float("inf"), infinite).otherwise(number)
 
 
 def _clock(text: Column) -> Column:
