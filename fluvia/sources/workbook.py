@@ -8,7 +8,7 @@ from __future__ import annotations
 import io
 import posixpath
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
@@ -50,13 +50,21 @@ def _cell(c: ElementTree.Element, shared: list[str]) -> str | None:
     return shared[int(v.text)] if kind == "s" else ("TRUE" if v.text == "1" else "FALSE") if kind == "b" else v.text
 
 
-def sheets(data: bytes) -> Iterator[tuple[str, bool, int | None, list | None, str | None]]:
-    """(sheet, hidden, row number, cells, None) of each row and (sheet, hidden, None, None, region) of each merged region."""
+def sheets(data: bytes, chosen: Sequence[str] | None = None) -> Iterator[tuple[str, bool, int | None, list | None, str | None]]:
+    """(sheet, hidden, row number, cells, None) of each row and (sheet, hidden, None, None, region) of each merged region.
+
+    ``chosen``: the sheets that are read; one that the workbook lacks is an error.
+    """
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         shared = [_text(s) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{MAIN}si")] if "xl/sharedStrings.xml" in z.namelist() else []
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{MAIN}sheet"):
+        listed = [s for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{MAIN}sheet")]
+        if chosen and (missing := set(chosen) - {s.get("name") for s in listed}):
+            raise ValueError(f"no worksheet named {sorted(missing)}; there are {[s.get('name') for s in listed]}")
+        for s in listed:
             name, hidden = s.get("name"), s.get("state", "visible") != "visible"
+            if chosen and name not in chosen:
+                continue
             n, at = 0, 0
             with z.open(posixpath.normpath(posixpath.join("/xl", targets[s.get(LINK)]))[1:]) as part:
                 for _, node in ElementTree.iterparse(part):
@@ -75,31 +83,38 @@ def sheets(data: bytes) -> Iterator[tuple[str, bool, int | None, list | None, st
                         yield name, hidden, None, None, node.get("ref")
 
 
-def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _reader(chosen: Sequence[str] | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     columns = [c.split()[0] for c in _ROWS.split(", ")]
-    for frame in frames:
-        for path, modified_at, content in zip(frame["path"], frame["modificationTime"], frame["content"]):
-            rows: list[tuple] = []
-            for row in sheets(content):
-                rows.append((path, modified_at, *row))
-                if len(rows) == 4096:
-                    yield pd.DataFrame(rows, columns=columns).astype({"row_number": "Int32"})
-                    rows = []
-            yield pd.DataFrame(rows, columns=columns).astype({"row_number": "Int32"})
-
-
-def scan(spark: SparkSession, folder: str, hidden: bool = False) -> DataFrame:
-    """Rows and merged regions of the workbooks in a folder and below it; lock files are left out.  One row tells one file's row or region."""
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, modified_at, content in zip(frame["path"], frame["modificationTime"], frame["content"]):
+                rows: list[tuple] = []
+                for row in sheets(content, chosen):
+                    rows.append((path, modified_at, *row))
+                    if len(rows) == 4096:
+                        yield pd.DataFrame(rows, columns=columns).astype({"row_number": "Int32"})
+                        rows = []
+                yield pd.DataFrame(rows, columns=columns).astype({"row_number": "Int32"})
+
+    return read
+
+
+def scan(spark: SparkSession, folder: str, hidden: bool = False, chosen: Sequence[str] | None = None) -> DataFrame:
+    """Rows and merged regions of the workbooks in a folder and below it; lock files are left out.  One row tells one file's row or region.
+
+    ``chosen``: names of the sheets that are read, hidden or not; without them all visible ones are, and with ``hidden`` all.
+    """
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where((name.endswith(ENDINGS[0]) | name.endswith(ENDINGS[1])) & ~name.startswith(LOCK))
-    return from_bytes(files.select("path", "modificationTime", "content"), hidden)
+    return from_bytes(files.select("path", "modificationTime", "content"), hidden, chosen)
 
 
-def from_bytes(files: DataFrame, hidden: bool = False) -> DataFrame:
+def from_bytes(files: DataFrame, hidden: bool = False, chosen: Sequence[str] | None = None) -> DataFrame:
     """The same of workbooks that are in a table (path, modificationTime, content)."""
     files.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    rows = files.mapInPandas(_read, _ROWS)
-    return rows if hidden else rows.where(~F.col("hidden"))
+    rows = files.mapInPandas(_reader(chosen), _ROWS)
+    return rows if hidden or chosen else rows.where(~F.col("hidden"))
 
 
 def grid(rows: DataFrame) -> DataFrame:

@@ -42,6 +42,9 @@ def test_workbook(spark, tmp_path):
     (tmp_path / "~$a.xlsx").write_bytes(b"lock")
     (tmp_path / "a.txt").write_bytes(b"text")
     assert {r.sheet for r in workbook.scan(spark, f"file://{tmp_path}", hidden=True).collect()} == {"Data", "Scratch"}
+    assert {r.sheet for r in workbook.scan(spark, f"file://{tmp_path}", chosen=["Scratch"]).collect()} == {"Scratch"}
+    with pytest.raises(Exception, match="no worksheet named"):
+        workbook.scan(spark, f"file://{tmp_path}", chosen=["Data", "Gone"]).collect()
     rows = workbook.scan(spark, f"file://{tmp_path}")
     (region,) = workbook.regions(rows).collect()
     assert tuple(region)[1:] == (2, 1, 3, 2)
