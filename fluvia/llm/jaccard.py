@@ -329,7 +329,10 @@ def _groups(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Iterator[pa.RecordBatch]:
-    """Entries by bucket.  Of a key that several of them hold, one goes on and the others are told at once, so that a key has an entry for each task at most."""
+    """Entries by bucket.  Of a key that several of them hold, one goes on and the others are told at once, so that a key has an entry for each task at most.
+
+    What is told meets nothing more and is dealt by its node, so that a key of very many nodes fills no bucket.
+    """
     if not held:
         return
     key, node = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
@@ -350,8 +353,8 @@ def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Ite
     rows: list[tuple[int, int, bytes]] = []
     for kind, parts, bucket in (
         (0, entries, entries["key"] % _U(n_buckets)),
-        (1, np.column_stack(told), told[0] % _U(n_buckets)),
-        (2, pairs.view("<u8"), pairs[:, 0].view("<u8") % _U(n_buckets)),
+        (1, np.column_stack(told), told[1] % _U(n_buckets)),
+        (2, pairs.view("<u8"), pairs[:, 1].view("<u8") % _U(n_buckets)),
     ):
         order = np.argsort(bucket, kind="stable")
         parts, bucket = parts[order], bucket[order]
