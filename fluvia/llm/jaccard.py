@@ -16,10 +16,11 @@ Equal parts are found by a join on band, part and value.
 Sets that share a part make candidates in two rounds.  The first verifies links
 to the smallest set of each part only, which settles groups of copies without
 their pairs.  The second takes, within parts that still join different components,
-the pairs between components.  Of parts held by the same sets one is looked at,
-pairs meet within bands of size (a factor of 4/3, or the next), and a pair that
-shares several parts is formed in the lowest of them as far as the lowest parts of
-either set, one for each of ``CLASSES`` residues, tell.  In both rounds pairs whose
+the pairs between components, sought by the sets outside the component that holds
+most of the part.  Of parts held by the same sets one is looked at, pairs meet
+within bands of size (a factor of 4/3, or the next), and a pair that shares several
+parts is formed in the lowest of them as far as the lowest parts of either set, one
+for each of ``CLASSES`` residues, tell.  In both rounds pairs whose
 bit sketches (element hash modulo a power of two, parity) are too far apart go, by
 a short sketch within the join and then by one of a bit for each element.
 Candidates are verified on the shingles of the whole texts.  Identical sets are one
@@ -446,12 +447,21 @@ def open_parts(holds: DataFrame) -> DataFrame:
 
 
 def _between(parts: DataFrame, short: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes with different roots that share one of ``parts`` and may be similar."""
+    """Pairs (a, b) of nodes with different roots that share one of ``parts`` and may be similar.
+
+    Of two nodes with different roots one at least isn't of the root that holds most of
+    the part, so only such nodes look for partners: a large group's nodes never meet each other.
+    """
+    held = parts.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+    held = common.staged(held.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("m")), "mains")
+    parts = looked_up(parts, held, "key", "m", parts.count()).withColumn("main", F.col("root") == F.col("main"))
     lows = parts.groupBy("node").agg(*[F.min(F.when(F.pmod("key", F.lit(CLASSES)) == i, F.col("key"))).alias(k) for i, k in enumerate(_LOWS)])
     each = common.staged(parts.join(short, "node").join(lows, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(_BAND)).cast("int")), "between")
-    a = _side(each.withColumn("band", F.explode(F.array("band", F.col("band") + 1))), "a", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
-    b = _side(each, "b", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
-    met = a.join(b, F.expr(f"key_a = key_b and band_a = band_b and (n_a < n_b or n_a = n_b and node_a < node_b) and root_a <> root_b and {_MAY} and {_FIRST}"))
+    near = F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))
+    a = _side(each.where("not main").withColumn("band", near), "a", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
+    b = _side(each, "b", "key", "band", "node", "root", "main", "n", *_WORDS, *_LOWS)
+    once = "(main_b or n_a < n_b or n_a = n_b and node_a < node_b)"
+    met = a.join(b, F.expr(f"key_a = key_b and band_a = band_b and {once} and root_a <> root_b and {_MAY} and {_FIRST}"))
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 

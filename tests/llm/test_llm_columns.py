@@ -1,5 +1,7 @@
 """Columns whose names clash with those made on the way, and odd rows, for every operator that passes rows on."""
 
+import itertools
+import random
 from collections import Counter
 
 import pytest
@@ -73,6 +75,22 @@ def docs_small(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
 
 
+def test_pairs_between_components_of_shared_parts(spark):
+    rng = random.Random(5)
+    node = {k: (rng.choice([0, 0, 0, *range(1, 9)]), rng.randint(60, 140), [rng.getrandbits(2) for _ in range(jaccard.SKETCH_WORDS)]) for k in range(1, 121)}
+    held = {(key, k) for key in range(-6, 20) for k in rng.sample(sorted(node), rng.choice([2, 8, 60]))}
+    parts = spark.createDataFrame([(key, k, node[k][0]) for key, k in sorted(held)], "key long, node long, root long")
+    short = spark.createDataFrame([(k, n, *words) for k, (_, n, words) in node.items()], ", ".join(["node long, n int", *[f"w{i} long" for i in range(jaccard.SKETCH_WORDS)]]))
+    want = set()
+    for a, b in itertools.combinations(sorted(node), 2):
+        (ra, na, wa), (rb, nb, wb) = node[a], node[b]
+        apart = sum((x ^ y).bit_count() for x, y in zip(wa, wb))
+        if ra != rb and 4 * min(na, nb) >= 3 * max(na, nb) and 7 * apart <= na + nb and any((k, a) in held and (k, b) in held for k in range(-6, 20)):
+            want.add((a, b))
+    got = jaccard._between(parts, short).collect()
+    assert len(got) == len(want) > 500 and {tuple(r) for r in got} == want
+
+
 def test_a_group_of_two_thousand_near_copies(spark):
     import random
 
