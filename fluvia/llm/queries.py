@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, jaccard, mixing, packing, pii, quality, rules, tokencount, urls, vectors, warc
+from . import common, jaccard, merkle, mixing, packing, pii, quality, rules, tokencount, topk, trie, urls, vectors, warc
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,12 +54,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(common.read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.manifest(common.read_table(spark, sf_dir, "documents"))
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(common.read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(common.read_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (
         op1_best_fit_packing, op2_url_filter, op3_warc, op4_embedding_near_dedup, op5_mixing,
         op6_pii, op7_quality_classifier, op8_ngram_jaccard_join, op9_quality_rules, op10_token_counts,
+        op11_merkle_manifest, op12_exact_topk, op13_conversation_trie,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
@@ -67,7 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    sql = {"op2_url_filter": _urls_sql(), "op3_warc": _WARC, "op5_mixing": _mixing_sql()}
+    sql = {"op2_url_filter": _urls_sql(), "op3_warc": _WARC, "op5_mixing": _mixing_sql(), "op11_merkle_manifest": merkle.sql(), "op12_exact_topk": topk.SQL, "op13_conversation_trie": trie.sql()}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
