@@ -192,6 +192,22 @@ def as_text(value: Column, kind: T.DataType) -> Column:
     return F.to_json(value) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else value.cast("string")
 
 
+def _fits(number: Column) -> Column:
+    """Whether a number's text has no digit but zeros behind its 18th decimal."""
+    low = F.lower(number)
+    mantissa, power = F.substring_index(low, "e", 1), F.when(F.contains(low, F.lit("e")), F.substring_index(low, "e", -1).try_cast("int")).otherwise(0)
+    digits = F.regexp_replace(mantissa, r"(\.[0-9]*?)0+$", "$1")
+    behind = F.length(F.regexp_extract(digits, r"\.([0-9]*)$", 1))
+    before = F.length(F.regexp_extract(mantissa, r"^[^.]*?(0*)\.?0*$", 1))
+    return (F.when(behind > 0, behind).otherwise(-before) - power <= 18) | ~mantissa.rlike("[1-9]")
+
+
+def _kept(value: Column, kind: T.DecimalType) -> Column:
+    """A decimal with 18 decimals, null where one behind them would go."""
+    out = value.try_cast("decimal(38,18)")
+    return out if kind.scale <= 18 else F.when(out.try_cast(kind) == value, out)
+
+
 def value_of(value: Column, kind: T.DataType, name: str, strip: str = "", decimal_separator: str = ".", format: str | None = None, timezone: str | None = None, max_length: int | None = None) -> tuple[Column, T.DataType]:  # noqa: A002
     """(value, type) of a cast; null where it fails."""
     is_text, whole = isinstance(kind, T.StringType), isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
@@ -211,7 +227,9 @@ def value_of(value: Column, kind: T.DataType, name: str, strip: str = "", decima
             return F.when(value == F.floor(value), value.try_cast("bigint")), T.LongType()
         return (F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint")) if is_text else value.try_cast("bigint") if whole or flag else nothing), T.LongType()
     if name == "decimal":
-        out = F.when(number.rlike(NUMBER), number.try_cast("decimal(38,18)")) if is_text else text.try_cast("decimal(38,18)") if near else value.try_cast("decimal(38,18)") if whole or exact else nothing
+        if exact:
+            return _kept(value, kind), T.DecimalType(38, 18)
+        out = F.when(number.rlike(NUMBER) & _fits(number), number.try_cast("decimal(38,18)")) if is_text else F.when(_fits(text), text.try_cast("decimal(38,18)")) if near else value.try_cast("decimal(38,18)") if whole else nothing
         return out, T.DecimalType(38, 18)
     if name == "float":
         return (F.when(number.rlike(NUMBER), number.try_cast("double")) if is_text else value.try_cast("double") if whole or near or exact or flag else nothing), T.DoubleType()

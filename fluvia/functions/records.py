@@ -6,8 +6,10 @@ its rows.  A null or malformed text gives nulls; an empty table no rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from ..operators.land import DELETED
 FOLDER_MIME, NATIVE_PREFIX = "application/vnd.google-apps.folder", "application/vnd.google-apps."
 # Lifted mail headers and the columns that they go to.
 HEADERS = {"subject": "subject", "from": "from_address", "to": "to_addresses", "cc": "cc_addresses", "date": "sent_at_header", "message-id": "rfc822_message_id"}
-#: Levels of nested message parts that are searched for a text.
+#: Levels of nested message parts that Spark's own expressions look through; what lies deeper is walked by a function.
 PART_DEPTH = 6
 
 _DRIVE = "id string, name string, mimeType string, size string, md5Checksum string, parents array<string>, driveId string, version string, webViewLink string, createdTime string, modifiedTime string"
@@ -77,8 +79,9 @@ def drive_items(df: DataFrame, raw: str = "raw", drive_id: str | None = None) ->
 
 
 def _part_schema(depth: int) -> str:
-    below = f", parts: array<{_part_schema(depth - 1)}>" if depth > 1 else ""
-    return f"struct<mimeType: string, body: struct<data: string>{below}>"
+    """The lowest level's parts stay JSON."""
+    below = f"array<{_part_schema(depth - 1)}>" if depth > 1 else "string"
+    return f"struct<mimeType: string, body: struct<data: string>, parts: {below}>"
 
 
 def _decoded(data: Column) -> Column:
@@ -89,14 +92,45 @@ def _decoded(data: Column) -> Column:
 
 
 def _plain_texts(part: Column, depth: int) -> Column:
-    """The plain texts of a part and of those below it, depth first."""
-    own = F.array(F.when(part["mimeType"] == "text/plain", _decoded(part["body"]["data"])))
+    """(text, deeper) of a part and of those below it, depth first: its plain text, and whether it has parts that are still JSON."""
+    text = F.when(part["mimeType"] == "text/plain", _decoded(part["body"]["data"]))
+    deeper = part["parts"].isNotNull() if depth == 1 else F.lit(False)
+    own = F.array(F.struct(text.alias("text"), F.coalesce(deeper, F.lit(False)).alias("deeper")))
     if depth == 1:
         return own
     below = F.flatten(F.transform(F.coalesce(part["parts"], F.array().cast(f"array<{_part_schema(depth - 1)}>")), lambda p: _plain_texts(p, depth - 1)))
     return F.concat(own, below)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _plain_data(raw: pd.Series) -> pd.Series:
+    """The coded plain texts of a message of any depth, depth first; null for a null."""
+
+    def found(text: str | None) -> list[str] | None:
+        if text is None:
+            return None
+        out, waiting = [], [json.loads(text).get("payload")]
+        while waiting:
+            part = waiting.pop()
+            if not isinstance(part, dict):
+                continue
+            body, parts = part.get("body"), part.get("parts")
+            if part.get("mimeType") == "text/plain" and isinstance(body, dict) and isinstance(body.get("data"), str):
+                out.append(body["data"])
+            waiting += reversed(parts) if isinstance(parts, list) else []
+        return out
+
+    return raw.map(found)
+
+
+def _body_text(raw: str) -> Column:
+    """The first plain text of a message.  Messages with nothing before their deep parts go to the function, the others' JSON does not."""
+    part = F.from_json(F.col(raw), f"payload {_part_schema(PART_DEPTH)}")["payload"]
+    first = F.get(F.filter(_plain_texts(part, PART_DEPTH), lambda t: t["text"].isNotNull() | t["deeper"]), 0)
+    deep = F.filter(F.transform(_plain_data(F.when(first["deeper"] & first["text"].isNull(), F.col(raw))), _decoded), lambda t: t.isNotNull())
+    return F.coalesce(first["text"], F.get(deep, 0))
+
+
 def mail_messages(df: DataFrame, raw: str = "raw", body_chars: int | None = None) -> DataFrame:
     """A message's columns; of headers of one name (in any case) the last counts.  ``body_chars``: adds the first plain text, cut there."""
     head = "id string, threadId string, historyId string, labelIds array<string>, snippet string, sizeEstimate bigint, internalDate string, payload struct<headers: array<struct<name: string, value: string>>>"
@@ -112,9 +146,7 @@ def mail_messages(df: DataFrame, raw: str = "raw", body_chars: int | None = None
         *[F.col("_headers")[h].alias(c) for h, c in HEADERS.items()], F.col("_headers").alias("headers"),
     ]
     if body_chars is not None:
-        part = F.from_json(F.col(raw), f"payload {_part_schema(PART_DEPTH)}")["payload"]
-        texts = F.filter(_plain_texts(part, PART_DEPTH), lambda t: t.isNotNull())
-        columns.append(F.left(F.get(texts, 0), F.lit(body_chars)).alias("body_text"))
+        columns.append(F.left(_body_text(raw), F.lit(body_chars)).alias("body_text"))
     return rows.select(*columns)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranks
 from .land import LOAD, ROW, STAMPS
 
 #: Rows of a sample or page at most, rows of a batch.
@@ -31,9 +32,10 @@ def page(items: DataFrame, order: Sequence[str | Column], cursor: str | None = N
     """
     start = int(cursor) if cursor and cursor.isdigit() else 0
     size = max(1, min(limit, MOST))
-    rows = items.orderBy(*order).offset(start).limit(size)
-    more = not items.orderBy(*order).offset(start + size).limit(1).isEmpty()
-    return rows, str(start + size) if more else None
+    # One row more than a page has tells whether there is another page.
+    found = items.orderBy(*order).offset(start).limit(size + 1)
+    more = found.count() > size
+    return found.limit(size), str(start + size) if more else None
 
 
 def one_level(files: DataFrame, folder: str, contains: str | None = None) -> DataFrame:
@@ -52,17 +54,8 @@ def one_level(files: DataFrame, folder: str, contains: str | None = None) -> Dat
 
 
 def batched(df: DataFrame, size: int = BATCH) -> DataFrame:
-    """``df`` with ``batch_index``: rows in load order, ``size`` to a batch.
-
-    Rows are dealt by ranges; how many rows the partitions before one hold is a count
-    for each partition, the place inside it a window over that partition alone.
-    """
-    dealt = in_load_order(df).withColumn("_part", F.spark_partition_id())
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One number for each partition, not for each row.
-    starts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(LOAD, ROW))
-    return dealt.withColumn("_place", place).join(starts, "_part").withColumn("batch_index", F.floor((F.col("_start") + F.col("_place") - 1) / size)).drop("_part", "_place", "_start")
+    """``df`` with ``batch_index``: rows in load order, ``size`` to a batch."""
+    return ranks.ranked(df, [LOAD, ROW], "_place").withColumn("batch_index", F.expr(f"_place div {int(size)}")).drop("_place")
 
 
 def within_budget(rows: DataFrame, order: Sequence[str], entry: Column, most_bytes: int, most_rows: int = MOST) -> DataFrame:

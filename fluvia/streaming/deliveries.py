@@ -1,16 +1,9 @@
-"""Delivery streams as Structured Streaming transformations."""
+"""What tells deliveries apart, and how many there are; ``keyed`` accepts them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-# Defaults of the delivery path.
-DEDUPE, WINDOW_S, PER_MINUTE = "10 minutes", 30, 120
 
 
 def fingerprinted(df: DataFrame, delivery_id: Column | None = None) -> DataFrame:
@@ -23,37 +16,6 @@ def fingerprinted(df: DataFrame, delivery_id: Column | None = None) -> DataFrame
     return df.withColumn("fingerprint", F.coalesce(F.when(F.length(given) > 0, F.concat(F.lit("d:"), F.sha2(given, 256))), body))
 
 
-def once(df: DataFrame, within: str = DEDUPE) -> DataFrame:
-    """A stream (subscription, fingerprint, ts) without repeats; state is kept as long as the watermark asks.  Rows without a fingerprint all pass, beside it."""
-    timed = df.withWatermark("ts", within)
-    return timed.where("fingerprint is not null").dropDuplicatesWithinWatermark(["subscription", "fingerprint"]).unionByName(timed.where("fingerprint is null"))
-
-
 def per_minute(df: DataFrame, within: str = "1 minute") -> DataFrame:
     """Deliveries of each subscription and minute."""
     return df.withWatermark("ts", within).groupBy("subscription", F.window("ts", "1 minute")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def debounced(df: DataFrame, seconds: int = WINDOW_S) -> DataFrame:
-    """(key, opened, runs_at, dirty): the first delivery opens a window, the others in it only mark it dirty."""
-
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        opened, dirty = state.get if state.exists else (None, False)
-        out = []
-        for ts in sorted(t for f in frames for t in f["ts"]):
-            at = pd.Timestamp(ts).value // 1_000_000
-            if opened is not None and at < opened + 1000 * seconds:
-                dirty = True
-                continue
-            if opened is not None:
-                out.append((key[0], pd.Timestamp(opened, unit="ms"), pd.Timestamp(opened + 1000 * seconds, unit="ms"), dirty))
-            opened, dirty = at, False
-        if opened is not None and state.hasTimedOut:
-            out.append((key[0], pd.Timestamp(opened, unit="ms"), pd.Timestamp(opened + 1000 * seconds, unit="ms"), dirty))
-            state.remove()
-        elif opened is not None:
-            state.update((opened, dirty))
-            state.setTimeoutTimestamp(max(opened + 1000 * seconds, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["key", "opened", "runs_at", "dirty"])
-
-    return df.groupBy("key").applyInPandasWithState(fold, "key string, opened timestamp, runs_at timestamp, dirty boolean", "opened long, dirty boolean", "append", GroupStateTimeout.EventTimeTimeout)

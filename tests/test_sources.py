@@ -1,6 +1,4 @@
-import datetime as dt
 import io
-import random
 import uuid
 import zipfile
 
@@ -10,7 +8,7 @@ from pyspark.sql import functions as F
 from fluvia.functions import names
 from fluvia.operators import grid, land
 from fluvia.sources import files, jdbc, tables, workbook
-from fluvia.streaming import deliveries, landing
+from fluvia.streaming import landing
 
 
 def test_listing_and_globs(spark, tmp_path):
@@ -102,37 +100,6 @@ def test_names(spark):
     assert [r[0] for r in df.select(names.cursor_literal(F.col("t"))).collect()] == ["2024-03-01T10:00:00Z", "2024-03-01T10:00:00Z", None]
 
 
-def _at(seconds):
-    return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
-
-
-def test_debounce_equals_brute_force(spark, tmp_path):
-    random.seed(5)
-    times = {key: sorted(random.sample(range(3000), 40)) for key in "abc"}
-    rows = [(k, _at(t)) for k, ts in times.items() for t in ts] + [("end", _at(100_000))]
-    spark.createDataFrame(rows, "key string, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/in")
-    stream = landing.files(spark, f"{tmp_path}/in", "key string, ts timestamp").withWatermark("ts", "1 minute")
-    want = set()
-    for key, ts in times.items():
-        opened, dirty = None, False
-        for t in [*ts, 10**9]:
-            if opened is None or t >= opened + 30:
-                want |= {(key, _at(opened), _at(opened + 30), dirty)} if opened is not None else set()
-                opened, dirty = t, False
-            else:
-                dirty = True
-    got = landing.drained(deliveries.debounced(stream), f"file://{tmp_path}/out").where("key <> 'end'").collect()
-    assert {(r.key, r.opened, r.runs_at, r.dirty) for r in got} == want
-
-
-def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
-    rows = [("s", "d1", "x", _at(0)), ("s", "d1", "y", _at(5)), ("t", "d1", "x", _at(0)), ("s", "", "x", _at(1)), ("s", None, "x", _at(9))]
-    spark.createDataFrame(rows, "subscription string, delivery_id string, body string, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/in")
-    stream = landing.files(spark, f"{tmp_path}/in", "subscription string, delivery_id string, body string, ts timestamp")
-    got = landing.drained(deliveries.once(deliveries.fingerprinted(stream)), f"file://{tmp_path}/out").collect()
-    assert sorted((r.subscription, r.fingerprint[:2]) for r in got) == [("s", "b:"), ("s", "d:"), ("t", "d:")]
-
-
 def test_landing_stream_goes_on_where_it_stopped(spark, tmp_path):
     schema, run = "id string, at int, v string", lambda n: landing.landed(landing.files(spark, f"{tmp_path}/in", schema), f"file://{tmp_path}/out", ["id"], [F.col("at")], "b1", n)
     land_more = lambda *rows: spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
