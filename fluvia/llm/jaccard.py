@@ -15,12 +15,11 @@ Equal parts are found by a join on band, part and value.
 
 Sets that share a part make candidates in two rounds.  The first verifies links
 to the smallest set of each part only, which settles groups of copies without
-their pairs.  The second takes, within parts that still join different components,
-the pairs between components, sought by the sets outside the component that holds
-most of the part.  Of parts held by the same sets one is looked at, pairs meet
-within bands of size (a factor of 4/3, or the next), and a pair that shares several
-parts is formed in the lowest of them as far as the lowest parts of either set, one
-for each of ``CLASSES`` residues, tell.  In both rounds pairs whose
+their pairs.  The second takes the sets of parts that still join different
+components.  A part may be a passage that very many dissimilar sets hold, so they
+don't meet by it: they meet by their rarest shingles (``rarest``, without
+exception; rareness comes from counts on a table of fixed size, and any order gives all links), sought by the
+sets outside the component that most holders of a shingle are of.  In both rounds pairs whose
 bit sketches (element hash modulo a power of two, parity) are too far apart go, by
 a short sketch within the join and then by one of a bit for each element.
 Candidates are verified on the shingles of the whole texts.  Identical sets are one
@@ -40,7 +39,6 @@ gives no rows.  (Shingles are 64-bit hashes of whole words.)
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Set
 
 import numpy as np
@@ -58,8 +56,8 @@ CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 500_000
 BROADCAST_NODES = 1_000_000
 #: Nodes with more than this share of the rows are broadcast with their components; there are fewer than so many.
 HOT = 1000
-#: Residues of parts for which a set's lowest part is known when pairs are formed.
-CLASSES = 8
+#: Shingles of sets that share parts with others are counted on two to the power of so many slots.
+SLOTS = 20
 #: 64-bit words of the short bit sketch that goes with a set's parts.
 SKETCH_WORDS = 8
 #: Shingles that count as frequent at most, and how often one must be among ``HELD`` shingles of a task to be counted.
@@ -387,13 +385,9 @@ def _shingles_of(df: DataFrame, wanted: DataFrame, nodes: DataFrame, clashes: Se
     return each.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-_WORDS, _LOWS = [f"w{i}" for i in range(SKETCH_WORDS)], [f"low{i}" for i in range(CLASSES)]
+_WORDS = [f"w{i}" for i in range(SKETCH_WORDS)]
 #: The sizes and the short sketches of two sets allow that they are similar.
 _MAY = f"4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and 7 * ({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in _WORDS)}) <= n_a + n_b"
-#: Sets of sizes within 4/3 stand in the same band or in neighbours, whatever the logarithm is rounded to.
-_BAND = 4 / 3 + 1e-4
-#: No lower part is known that both hold.
-_FIRST = " and ".join(f"not ({k}_a <=> {k}_b and coalesce({k}_a < key_a, false))" for k in _LOWS)
 
 
 def _side(df: DataFrame, side: str, *columns: str) -> DataFrame:
@@ -414,11 +408,12 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.select("a", "b", "sketch_a", "sketch_b", F.expr("(n_a + n_b) div 7").alias("most")).mapInArrow(close, "a long, b long")
 
 
-def _similar(df: DataFrame, pairs: DataFrame, nodes: DataFrame, clashes: Set[bytes]) -> DataFrame:
-    """The ``pairs`` (a, b) of nodes that are similar, by their shingles."""
+def _similar(df: DataFrame, pairs: DataFrame, nodes: DataFrame, clashes: Set[bytes], held: DataFrame | None = None) -> DataFrame:
+    """The ``pairs`` (a, b) of nodes that are similar, by their shingles (those ``held``, or read again)."""
     pairs = common.staged(_close(pairs, nodes), "candidates")
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    held = common.staged(_shingles_of(df, wanted, nodes, clashes), "shingles")
+    if held is None:
+        wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+        held = common.staged(_shingles_of(df, wanted, nodes, clashes), "shingles")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,22 +441,73 @@ def open_parts(holds: DataFrame) -> DataFrame:
     return common.staged(holds.join(one, "key", "left_semi"), "open-parts")
 
 
-def _between(parts: DataFrame, short: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes with different roots that share one of ``parts`` and may be similar.
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (_mix(shingles ^ _U(0x2545F4914F6CDD1D)) >> _U(64 - SLOTS)).astype(np.int64)
 
-    Of two nodes with different roots one at least isn't of the root that holds most of
-    the part, so only such nodes look for partners: a large group's nodes never meet each other.
+
+def slot_counts(held: DataFrame) -> np.ndarray:
+    """How many shingles of all sets (node, shingles) fall on each of 2 ** ``SLOTS`` slots."""
+    schema = pa.schema([("slot", pa.int32()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOTS, np.int64)
+        for batch in batches:
+            for s in batch.column("shingles"):
+                slots, n = np.unique(_slot(np.frombuffer(s.as_buffer(), _U)), return_counts=True)
+                total[slots] += n
+        used = np.flatnonzero(total)
+        for at in range(0, len(used), 65_536):
+            some = used[at : at + 65_536]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], schema=schema)
+
+    rows = held.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << SLOTS, np.int64)
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return np.minimum(out, np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The shingles of a set, rarest first, by which a similar set is found, and how many of them a set must show to one that is no smaller.
+
+    Of similar sets of n <= m shingles the first lacks at most n / 7 of the second's, the second at most m / 4 of the first's.
+    In one order of all shingles they therefore share one of the first n // 7 + 1 of the first and the first m // 4 + 1 of the second.
     """
-    held = parts.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    held = common.staged(held.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("m")), "mains")
-    parts = looked_up(parts, held, "key", "m", parts.count()).withColumn("main", F.col("root") == F.col("main"))
-    lows = parts.groupBy("node").agg(*[F.min(F.when(F.pmod("key", F.lit(CLASSES)) == i, F.col("key"))).alias(k) for i, k in enumerate(_LOWS)])
-    each = common.staged(parts.join(short, "node").join(lows, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(_BAND)).cast("int")), "between")
-    near = F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))
-    a = _side(each.where("not main").withColumn("band", near), "a", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
-    b = _side(each, "b", "key", "band", "node", "root", "main", "n", *_WORDS, *_LOWS)
-    once = "(main_b or n_a < n_b or n_a = n_b and node_a < node_b)"
-    met = a.join(b, F.expr(f"key_a = key_b and band_a = band_b and {once} and root_a <> root_b and {_MAY} and {_FIRST}"))
+    n = len(shingles)
+    order = np.lexsort((shingles, counts[_slot(shingles)]))
+    return shingles[order[: n // 4 + 1]], n // 7 + 1
+
+
+def _between(held: DataFrame, crowd: DataFrame, short: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the ``crowd`` (node, root) with different roots that may be similar, of sets ``held`` (node, shingles).
+
+    Sets that share a part need not be alike: where a passage stands in very many of them,
+    all hold its parts.  They meet by their rarest shingles: sets that are too different for a link have as many rare ones of their own.
+    Of two sets with different roots one at least isn't of the root that most holders of a shingle
+    have, so only such sets look for partners: a large group's sets never meet each other.
+    """
+    counts = held.sparkSession.sparkContext.broadcast(slot_counts(held))
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("shown", pa.bool_())])
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [rarest(np.frombuffer(s.as_buffer(), _U), counts.value) for s in batch.column("shingles")]
+            if each:
+                size = [len(few) for few, _ in each]
+                key, node = np.concatenate([few for few, _ in each]).view(np.int64), np.repeat(batch.column("node").to_numpy(), size)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(np.concatenate([np.arange(n) < shown for n, (_, shown) in zip(size, each)]))], schema=schema)
+
+    rows = common.staged(held.mapInArrow(tokens, "key long, node long, shown boolean").join(crowd, "node"), "rare-shingles")
+    # A shingle of one component joins nothing.
+    several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high").select("key")
+    rows = common.staged(rows.join(several, "key", "left_semi"), "shared-shingles")
+    mains = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("m"))
+    rows = looked_up(rows, common.staged(mains, "mains"), "key", "m", rows.count()).withColumn("main", F.col("root") == F.col("main"))
+    each = common.staged(rows.join(short, "node"), "between")
+    a = _side(each.where("not main"), "a", "key", "node", "root", "shown", "n", *_WORDS)
+    b = _side(each, "b", "key", "node", "root", "shown", "main", "n", *_WORDS)
+    once = "(main_b or node_a < node_b)"
+    seen = "(n_a >= n_b and shown_b or n_b >= n_a and shown_a)"
+    met = a.join(b, F.expr(f"key_a = key_b and {once} and root_a <> root_b and {seen} and {_MAY}"))
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
@@ -477,7 +523,9 @@ def linked(df: DataFrame, sets: DataFrame, nodes: DataFrame, clashes: Set[bytes]
     roots = components(links)
     holds = shared.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("node")).distinct()
     holds = holds.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    more = _similar(df, _between(open_parts(holds), short), nodes, clashes)
+    crowd = common.staged(open_parts(holds).select("node", "root").distinct(), "crowd")
+    held = common.staged(_shingles_of(df, crowd.select("node"), nodes, clashes), "crowd-shingles")
+    more = _similar(df, _between(held, crowd, short), nodes, clashes, held)
     if more.isEmpty():
         return links, roots
     links = links.unionAll(more)
