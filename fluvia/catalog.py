@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions import mapping, records, redact
 from .operators import checks, feeds, land, ledger, project, shape
-from .plans import casting, grids, runs, scans, stores, streams  # noqa: F401
+from .plans import casting, grids, reads, runs, scans, stores, streams  # noqa: F401
 from .plans.registry import QUERIES, SQL, Query
 from .plans.registry import query as _query
 from .plans.registry import read as _read
@@ -386,8 +386,8 @@ def delta_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT CAST(conv_id AS VARCHAR) || '-' || turn AS id, role AS subject, epoch_ms(turn * 1000) AS internal_date, left(text, 200) AS body_text
-FROM conversations WHERE text <> ''
+SELECT CAST(conv_id AS VARCHAR) || '-' || turn AS id, role AS subject, epoch_ms(turn * 1000) AS internal_date, nullif(left(text, 200), '') AS body_text
+FROM conversations
 """)
 def flatten_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
@@ -398,7 +398,7 @@ def flatten_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.lit("text/html").alias("mimeType"), F.struct(F.lit("PGI+").alias("data")).alias("body"), F.array(part).alias("parts"))).alias("parts"),
     )
     raw = F.to_json(F.struct(F.concat_ws("-", "conv_id", "turn").alias("id"), (F.col("turn") * 1000).cast("string").alias("internalDate"), payload.alias("payload")))
-    mail = records.mail_messages(_read(spark, sf_dir, "conversations").where("text <> ''").select(raw.alias("raw")), body_chars=200)
+    mail = records.mail_messages(_read(spark, sf_dir, "conversations").select(raw.alias("raw")), body_chars=200)
     return mail.select("id", "subject", F.col("internal_date").cast("timestamp_ntz").alias("internal_date"), "body_text")
 
 

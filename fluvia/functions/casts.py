@@ -192,6 +192,15 @@ def as_text(value: Column, kind: T.DataType) -> Column:
     return F.to_json(value) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else value.cast("string")
 
 
+def is_json(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing else; Spark's parser alone stops behind the first value.
+
+    As the one element of an array it can't go on with a comma or a brace, as a field's value not with a bracket.
+    """
+    one = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.coalesce((F.size(one) == 1) & F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull(), F.lit(False))
+
+
 def _fits(number: Column) -> Column:
     """Whether a number's text has no digit but zeros behind its 18th decimal."""
     low = F.lower(number)
@@ -247,5 +256,5 @@ def value_of(value: Column, kind: T.DataType, name: str, strip: str = "", decima
             return (by_format(F.trim(text), format, None)[0] if format else F.when(F.trim(text).rlike(rf"^{_ISO_DATE}$"), F.trim(text).try_cast("date"))), T.DateType()
         return (utc(value).cast("date") if isinstance(kind, T.TimestampType) else value.cast("date") if isinstance(kind, (T.DateType, T.TimestampNTZType)) else nothing), T.DateType()
     if is_text:
-        return F.when(F.try_parse_json(text).isNotNull(), text), T.StringType()
+        return F.when(is_json(text), text), T.StringType()
     return (text if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else nothing), T.StringType()

@@ -10,26 +10,44 @@ from pyspark.sql import functions as F
 
 from ..functions import mapping
 from ..functions.mapping import Cell
-from .land import BINDING, DELETED, STAMPS
+from . import pages
+from .land import BINDING, DELETED, LOAD, ROW, STAMPS
 from .project import projected
 
 # The ways in which a resource is written.
 DISPOSITIONS = ("merge", "append", "replace")
 
 
-def preview(df: DataFrame, cells: Mapping[str, Cell], identity: Sequence[str], required: Sequence[str] = (), filters: Column | None = None, limit: int | None = 100) -> DataFrame:
-    """status (ok, filtered or error), source without internal columns, deleted, record and error of the first rows; nothing is written.
+#: Bytes of a preview's entries.
+PREVIEW_BYTES = 1 << 20
 
-    ``limit``: how many rows a preview shows; None shows all.
+
+def preview(
+    df: DataFrame, cells: Mapping[str, Cell], identity: Sequence[str], required: Sequence[str] = (), filters: Column | None = None, limit: int | None = pages.MOST, most_bytes: int = PREVIEW_BYTES
+) -> DataFrame:
+    """status (ok, filtered or error), source without internal columns, deleted, record, error and truncated of the first rows in load order; nothing is written.
+
+    ``limit``: how many rows a preview shows, of so many bytes that its budget is used up at the last of them, which
+    then is marked as truncated.  None shows all, in no order.
     """
-    rows = df if limit is None else df.limit(limit)
+    rows = df if limit is None else pages.in_load_order(df).limit(max(0, min(limit, pages.MOST)))
     source = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in STAMPS])
     passes = F.lit(True) if filters is None else F.coalesce(filters, F.lit(False))
     kept = rows.withColumn("_source", source).withColumn("_passes", passes)
     out = projected(kept, cells, identity, required, carried=("_source", "_passes", DELETED))
     status = F.when(~F.col("_passes"), "filtered").when(F.col("error").isNotNull(), "error").otherwise("ok")
     record = F.when(status == "ok", F.struct("operation", "values"))
-    return out.select(status.alias("status"), F.col("_source").alias("source"), F.coalesce(F.col(DELETED), F.lit(False)).alias("deleted"), record.alias("record"), F.when(status == "error", F.col("error")).alias("error"))
+    told = out.select(LOAD, ROW, status.alias("status"), F.col("_source").alias("source"), F.coalesce(F.col(DELETED), F.lit(False)).alias("deleted"), record.alias("record"), F.when(status == "error", F.col("error")).alias("error"))
+    if limit is None:
+        return told.drop(LOAD, ROW).withColumn("truncated", F.lit(False))
+    entry = F.to_json(F.struct("status", "source", "deleted", "record", "error"))
+    return pages.within_budget(told, [LOAD, ROW], entry, most_bytes).drop(LOAD, ROW)
+
+
+def preview_counts(previewed: DataFrame) -> dict:
+    """How many rows a preview shows, and how many of each status."""
+    row = previewed.agg(F.count(F.lit(1)).alias("row_count"), *[F.count_if(F.col("status") == s).alias(f"{s}_count") for s in ("ok", "filtered", "error")]).first()
+    return row.asDict()
 
 
 def landing_counts(df: DataFrame, binding: str) -> DataFrame:
@@ -62,9 +80,10 @@ def resource_problems(disposition: str, key: Sequence[str] = (), cursor: str | N
 
 
 def projection_problems(
-    df: DataFrame, nodes: Mapping[str, Mapping[str, Any]], fields: Mapping[str, str], identity: Sequence[str], required: Sequence[str] = (), key: Sequence[str] = (), tombstones: bool = False
-) -> tuple[list[str], list[str]]:
-    """Errors and warnings of a mapping against a target's ``fields`` (name to type); reads the schema alone."""
+    df: DataFrame, nodes: Mapping[str, Mapping[str, Any]], fields: Mapping[str, str], identity: Sequence[str], required: Sequence[str] = (), key: Sequence[str] = (), tombstones: bool = False,
+    filters: Sequence[Mapping[str, Any]] = (),
+) -> tuple[list[str], list[str]]:
+    """Errors and warnings of a mapping and its filters against a target's ``fields`` (name to type); reads the schema alone."""
     errors = [f"the target has no field {n!r}" for n in nodes if n not in fields]
     errors += [f"{n!r} is required and not mapped" for n in dict.fromkeys((*identity, *required)) if n not in nodes]
     warnings: list[str] = []
@@ -79,9 +98,34 @@ def projection_problems(
             errors.append(f"{name}: an identity is one value")
         if name in fields and kind != fields[name]:
             warnings.append(f"{name}: {kind} goes into {fields[name]}")
+    for one in filters:
+        try:
+            mapping.condition(df, one.get("field"), one.get("op"), one.get("value"))
+        except (mapping.MappingError, TypeError) as problem:
+            errors.append(f"filter on {one.get('field')!r}: {problem}")
+    used = set().union(*[mapping.source_columns(n) for n in nodes.values() if isinstance(n, Mapping)], {f.get("field") for f in filters})
+    for name in sorted(c for c in used if c):
+        variants = [c for c in df.columns if c.startswith(f"{name}__v_")]
+        if variants:
+            warnings.append(f"{name}: some of its values are in {', '.join(variants)}")
     if tombstones and key:
         sources = {n: nodes[n].get("source") for n in identity if n in nodes}
         errors += [f"{n}: a deleted row has no {s!r}, which is outside the merge key" for n, s in sources.items() if s not in key]
         if set(sources.values()) < set(key):
             warnings.append("the identity is coarser than the merge key: several rows may be one record")
     return errors, warnings
+
+
+def graded(problems: tuple[list[str], list[str]], before: str = "active") -> str:
+    """The status of a projection with these errors and warnings: invalid, needs_review, or active (again); a draft stays one."""
+    errors, warned = problems
+    return "draft" if before == "draft" else "invalid" if errors else "needs_review" if warned else "active"
+
+
+def regraded(df: DataFrame, projections: Mapping[str, Mapping[str, Any]]) -> dict[str, tuple[str, list[str]]]:
+    """Status and messages of every projection (name to status, nodes, filters, fields, identity, required) of a resource after its table's schema has changed."""
+    out = {}
+    for name, p in projections.items():
+        problems = projection_problems(df, p["nodes"], p["fields"], p["identity"], p.get("required", ()), filters=p.get("filters", ()))
+        out[name] = (graded(problems, p.get("status", "active")), [*problems[0], *problems[1]])
+    return out

@@ -16,6 +16,22 @@ def folded(events: DataFrame, key: Sequence[str], deleted: Column, order: Sequen
     return events.groupBy(*key).agg(F.max_by(F.struct(*[c for c in events.columns if c not in key]), F.struct(*order)).alias("last"), F.bool_or(deleted).alias("deleted"), F.count(F.lit(1)).alias("changes"))
 
 
+def fetched_changes(changes: DataFrame, fetched: DataFrame, key: str, deleted: Column) -> DataFrame:
+    """Rows to land of a history (``key`` and what ``deleted`` reads) and of what was ``fetched`` for it (``key`` and columns), one for each changed id.
+
+    An id with any deletion is a tombstone, and so is one that was gone when it was
+    fetched; what was fetched and isn't in the history is left out.  One aggregate, in
+    which a much-changed id is one row for each task.
+    """
+    columns = [c for c in fetched.columns if c != key]
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    told = changes.where(F.col(key).isNotNull()).select(F.col(key), F.lit(True).alias("_told"), deleted.alias("_gone"), F.lit(None).cast(fetched.select(row.alias("r")).schema["r"].dataType).alias("_row"))
+    found = fetched.select(F.col(key), F.lit(False).alias("_told"), F.lit(False).alias("_gone"), row.alias("_row"))
+    one = told.unionAll(found).groupBy(key).agg(F.bool_or("_told").alias("_told"), F.bool_or(F.coalesce("_gone", F.lit(False))).alias("_gone"), F.max_by("_row", F.col("_row").isNotNull()).alias("_row"))
+    gone = F.col("_gone") | F.col("_row").isNull()
+    return one.where("_told").select(key, *[F.when(~gone, F.col("_row")[c]).alias(c) for c in columns], gone.alias(DELETED))
+
+
 def subtree(spark: SparkSession, nodes: DataFrame, root: str) -> DataFrame:
     """(id, depth) of everything at or below ``root`` in ``nodes`` (id, parent); what hangs in a cycle is below nothing.
 

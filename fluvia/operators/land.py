@@ -8,14 +8,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import casts
+
 BINDING, RUN, DELETED, LOAD, ROW = "_connector_binding_id", "_connector_run_id", "_connector_deleted", "_load_id", "_row_id"
 STAMPS = (BINDING, RUN, DELETED, LOAD, ROW)
 
 
+_JSON = "json_of"
+
+
 def nested_to_json(df: DataFrame) -> DataFrame:
-    """Structs, arrays and maps land as JSON text."""
+    """Structs, arrays and maps land as JSON text; the column's metadata keeps the type, by which ``decoded`` reads it back."""
     nested = (T.StructType, T.ArrayType, T.MapType)
-    return df.select(*[F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema])
+    return df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name, metadata={_JSON: f.dataType.simpleString()}) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema])
+
+
+def decoded(df: DataFrame) -> DataFrame:
+    """Columns that landed as JSON in their type again; a text that doesn't parse is kept beside them, in ``column__v_string``."""
+    columns: list[Column] = []
+    for f in df.schema:
+        value = F.col(f"`{f.name}`")
+        if _JSON not in f.metadata or not isinstance(f.dataType, T.StringType):
+            columns.append(value)
+            continue
+        parsed = F.from_json(value, f.metadata[_JSON], {"mode": "PERMISSIVE"})
+        whole = casts.is_json(value)
+        columns += [F.when(whole, parsed).alias(f.name), F.when(value.isNotNull() & ~whole, value).alias(f"{f.name}__v_string")]
+    return df.select(*columns)
+
+
+def enforced(df: DataFrame) -> DataFrame:
+    """``df`` as it is; a row without one of the stamps it should have stops the job that writes it, before anything is committed."""
+
+    def sure(name: str) -> Column:
+        problem = F.raise_error(F.concat(F.lit("a row of load "), F.coalesce(F.col(LOAD).cast("string") if LOAD in df.columns else F.lit(None), F.lit("?")), F.lit(f" has no {name}")))
+        return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(problem.cast(df.schema[name].dataType)).alias(name)
+
+    return df.select(*[sure(c) if c in STAMPS else F.col(f"`{c}`") for c in df.columns])
 
 
 def stamped(df: DataFrame, binding: str, run: str, load: str) -> DataFrame:

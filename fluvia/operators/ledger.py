@@ -26,9 +26,13 @@ def selected(resources: Mapping[str, DataFrame], names: Sequence[str] | None) ->
 
 
 def outstanding(landed: DataFrame, runs: DataFrame, since: Column | None = None) -> DataFrame:
-    """(load_id) of landed loads, from ``since`` on, that no run holds: neither taken nor about to be."""
+    """(load_id) of landed loads, from ``since`` on, that no run holds: neither taken nor about to be.
+
+    ``runs`` has a row for each run and load (status, load_id), or one for each run (status, load_ids).
+    """
     recent = landed if since is None else landed.where(F.col("created_at") >= since)
-    held = runs.where(F.col("status").isin(*HOLDING)).select(F.explode("load_ids").alias("load_id"))
+    load = F.col("load_id") if "load_id" in runs.columns else F.explode("load_ids")
+    held = runs.where(F.col("status").isin(*HOLDING)).select(load.alias("load_id"))
     return recent.select("load_id").distinct().join(held.distinct(), "load_id", "left_anti")
 
 

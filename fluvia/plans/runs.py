@@ -37,7 +37,7 @@ WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 1 YEAR FROM orders) AND
 def pending_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads of the last year that no run has taken; failed runs hold nothing."""
     loads = _loads(spark, sf_dir)
-    runs = loads.groupBy("status", "o_orderpriority").agg(F.collect_list("load_id").alias("load_ids")).where("status <> 'pending'")
+    runs = loads.where("status <> 'pending'").select("status", "load_id")
     newest = loads.agg(F.max("created_at")).first()[0]
     return ledger.outstanding(loads, runs, F.add_months(F.lit(newest), -12).cast("timestamp") if newest else None)
 
@@ -124,13 +124,13 @@ def list_one_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, octet_length(encode(html)) AS length, CASE WHEN octet_length(encode(html)) <= 3000 THEN 'ok' ELSE 'too_large' END AS state,
-  CASE WHEN octet_length(encode(html)) <= 3000 THEN md5(html) END AS content
-FROM pages WHERE html IS NOT NULL AND contains(url, '/en/')
+SELECT page_id, octet_length(encode(coalesce(html, ''))) AS length, CASE WHEN octet_length(encode(coalesce(html, ''))) <= 3000 THEN 'ok' ELSE 'too_large' END AS state,
+  CASE WHEN octet_length(encode(coalesce(html, ''))) <= 3000 THEN md5(coalesce(html, '')) END AS content
+FROM pages WHERE contains(url, '/en/')
 """)
 def fetch_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contents of landed pages (those of one language), up to a ceiling; others are asked for in vain."""
-    every = read(spark, sf_dir, "pages").where("html is not null")
+    every = read(spark, sf_dir, "pages").withColumn("html", F.coalesce("html", F.lit("")))
     contents = every.select("page_id", F.octet_length("html").cast("long").alias("length"), F.col("html").alias("content"))
     landed = every.where(F.contains(F.col("url"), F.lit("/en/"))).select("page_id")
     got = content.fetched(contents, landed, every.select("page_id"), ["page_id"], 3000)

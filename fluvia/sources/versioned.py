@@ -106,8 +106,16 @@ def create(spark: SparkSession, root: str, key: Sequence[str], buckets: int = BU
     return first
 
 
+def exists(spark: SparkSession, root: str) -> bool:
+    return bool(_numbers(spark, root))
+
+
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    return [int(name[:-5]) for name, _ in _names(spark, f"{root}/log") if name.endswith(".json") and name[0] != "."]
+
+
 def current(spark: SparkSession, root: str) -> Version:
-    numbers = [int(name[:-5]) for name, _ in _names(spark, f"{root}/log") if name.endswith(".json") and name[0] != "."]
+    numbers = _numbers(spark, root)
     if not numbers:
         raise ValueError(f"no table at {root}")
     return _read(spark, root, max(numbers))
@@ -162,7 +170,8 @@ def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: s
 
     ``cursor``: a column whose highest value is noted.  ``gone``: a boolean column; rows that
     have it remove their key and are not added.  ``whole``: the table becomes ``df``.  ``entry``: what else is noted; loads
-    that it has ``taken`` and that another commit took before are an error.  Rows, deletions
+    that it has ``taken`` and that another commit took before are an error.  A stamp that a row lacks
+    is an error before anything is committed.  Rows, deletions
     and the cursor are observed as the load is written, not counted again.
     """
     spark = df.sparkSession
@@ -178,7 +187,7 @@ def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: s
     flag = F.coalesce(F.col(land.DELETED), F.lit(False)) if land.DELETED in df.columns and not gone else removed
     high = F.max(F.col(cursor).cast("string") if cursor else F.lit(None).cast("string"))
     shown = Observation()
-    counted = df.observe(shown, F.count(F.lit(1)).alias("rows"), F.count_if(flag).alias("tombstones"), high.alias("high"))
+    counted = land.enforced(df).observe(shown, F.count(F.lit(1)).alias("rows"), F.count_if(flag).alias("tombstones"), high.alias("high"))
     incoming = _written(counted.withColumn(_GONE, removed).select(*[c for c in df.columns if c != gone], _GONE), keyed, base.buckets, root)
     seen = observed(shown)
     columns = T.StructType([f for f in df.schema if f.name != gone])

@@ -1,8 +1,8 @@
 """Landing and projection as streams of files.
 
 Each micro-batch is written under its own number, so one that runs again after a
-failure replaces what it wrote before; the current rows are read from all of them.
-No batch reads the table that it adds to.
+failure replaces what it wrote before.  ``drained`` reads what all batches wrote;
+``landed`` merges them into a versioned table.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.mapping import Cell
 from ..operators import land, project
+from ..sources import versioned
 
 BATCH = "_batch"
 
@@ -31,11 +32,24 @@ def drained(stream: DataFrame, path: str, step: Callable[[DataFrame], DataFrame]
     return spark.read.option("mergeSchema", "true").option("basePath", f"{path}/data").parquet(f"{path}/data")
 
 
-def landed(stream: DataFrame, path: str, key: Sequence[str], order: Sequence[Column], binding: str, run: str) -> DataFrame:
-    """The current rows of a keyed stream: newest within each batch as it comes, newest over all batches when read."""
-    names = [c for c in stream.columns]
-    rows = drained(stream, path, lambda b: land.stamped(land.newest(b, key, order), binding, run, run))
-    return land.newest(rows, key, [F.col(BATCH), *order]).select(*names, *land.STAMPS)
+def landed(stream: DataFrame, path: str, key: Sequence[str], order: Sequence[Column], binding: str, run: str, cursor: str | None = None, buckets: int = 16) -> DataFrame:
+    """The current rows of a keyed stream, in a versioned table under ``path``: each micro-batch is merged under its own number.
+
+    A batch that runs again after a failure is landed already, or wasn't at all; its cursor is
+    noted in its own commit.  A reader opens one folder for each bucket, however many batches there were.
+    """
+    spark, root = stream.sparkSession, f"{path}/table"
+    if not versioned.exists(spark, root):
+        versioned.create(spark, root, key, buckets)
+
+    def write(batch: DataFrame, number: int) -> None:
+        versioned.merge(land.stamped(land.newest(batch, key, order), binding, run, run), root, f"batch {number}", run, cursor=cursor)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = versioned.current(spark, root)
+    if rows.schema is None:
+        return land.stamped(spark.createDataFrame([], stream.schema), binding, run, run)
+    return versioned.table(spark, root).select(*stream.columns, *land.STAMPS)
 
 
 def projected(stream: DataFrame, path: str, cells: Callable[[DataFrame], Mapping[str, Cell]], identity: Sequence[str], required: Sequence[str] = (), filters: Callable[[DataFrame], Column] | None = None) -> DataFrame:
