@@ -24,7 +24,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.deduplicated(common.read_table(spark, sf_dir, "embeddings"))
+    return vectors.deduplicated(common.read_table(spark, sf_dir, "embeddings"), audited=True)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def write_flat(df: DataFrame, path: str, end: int = END, dtype: str = DTYPE, ran
     """One file for each task in ``path``; returns (file, ordinal, doc_id), written beside them."""
     ranks = ranks or tokens.default_ranks()
     schema = pa.schema([("file", pa.string()), ("ordinal", pa.int64()), ("doc_id", pa.int64())])
-    stop = np.array([end], dtype).tobytes()
+    stop, most = np.array([end], dtype).tobytes(), np.iinfo(np.dtype(dtype)).max
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -49,7 +49,10 @@ def write_flat(df: DataFrame, path: str, end: int = END, dtype: str = DTYPE, ran
             ordinal = 0
             for batch in batches:
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    out.write(np.frombuffer(encode(text.as_py()), "<u4").astype(dtype).tobytes() + stop)
+                    ids = np.frombuffer(encode(text.as_py()), "<u4")
+                    if len(ids) and ids.max() > most:
+                        raise ValueError(f"token id {ids.max()} doesn't go into {dtype}: write with a wider dtype")
+                    out.write(ids.astype(dtype).tobytes() + stop)
                     yield name, ordinal, doc_id
                     ordinal += 1
 

@@ -2,15 +2,16 @@
 
 Vectors are compared within a label.  Identical vectors are one node.  A label
 with more than ``SHARD`` nodes is cut into clusters (k-means on a bounded sample);
-every node lives in its nearest one, and clusters beyond ``SHARD`` are dealt into
-sub-shards.  Each shard builds a robust-pruned neighbour graph; then each node is
-searched for in the graphs of every cluster that can hold a vector in range of it
+every node is in its ``OVERLAP`` nearest ones, the first of which is its home, and clusters beyond ``SHARD`` are dealt into
+sub-shards.  Each shard builds a robust-pruned neighbour graph of all that it has, and the
+lists that a node has in several shards are united.  Then each node is
+searched for in the united graph, on the nodes of every cluster that can be home to a vector in range of it
 (``asked_cells``, without exception; of two shards one asks the other): greedily
 with a beam of ``BEAM``, and from every hit on through all nodes in range.  A
-search starts from the node itself where the graph has it, the medoid of each
+search starts from the node itself where the shard has it, the medoid of each
 group of near copies, and nodes from which all others are reached (``starts``).
 Hits are verified by cosine in double precision.  ``audit`` measures recall against brute force for
-the vectors whose id is divisible by 100.
+the vectors whose id is divisible by 100: tasks hold chunks of nodes and read the asked ones block by block.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
 those with a null label, link with nothing.  Vectors of different lengths don't
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,10 @@ from .components import components
 THRESHOLD = 0.93
 #: Nodes of a shard; vectors sampled for the clusters; degree, slack and beam of the graph.
 SHARD, SAMPLE, DEGREE, ALPHA, BEAM = 2048, 20_000, 24, 1.2, 32
-#: Nearest centres by which a cluster is ruled out.
-RIVALS = 8
+#: Clusters that a node is built into, and nearest centres by which a cluster is ruled out.
+OVERLAP, RIVALS = 2, 8
+#: Nodes of a chunk and of a block that an audit compares.
+CHUNK, BLOCK = 8192, 256
 
 _KEY = ["label", "dim", "leaf", "sub"]
 
@@ -51,7 +55,7 @@ def _read(df: DataFrame) -> DataFrame:
 
 def _nodes(rows: DataFrame) -> DataFrame:
     """One node for each different vector of a label: (label, dim, same, n, lowest, v, node)."""
-    each = rows.where("v is not null").groupBy("label", "dim", "same").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("lowest"), F.any_value("v").alias("v"))
+    each = rows.where("v is not null").groupBy("label", "dim", "same").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("lowest"), F.bool_or(F.col("vec_id") % 100 == 0).alias("asked"), F.any_value("v").alias("v"))
     return common.staged(each.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
@@ -99,8 +103,8 @@ def asked_cells(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[n
 
 
 def _placed(nodes: DataFrame, centres: dict[tuple[str, int], np.ndarray], threshold: float) -> DataFrame:
-    """(node, label, dim, v, leaf, asks): the cluster of a node and those where it is searched for."""
-    schema = pa.schema([("node", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("v", pa.list_(pa.float64())), ("leaf", pa.int32()), ("asks", pa.list_(pa.int32()))])
+    """(node, label, dim, v, leaf, built, asks): the home of a node, the clusters it is built into, and those where it is searched for."""
+    schema = pa.schema([("node", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("v", pa.list_(pa.float64())), ("leaf", pa.int32()), ("built", pa.list_(pa.int32())), ("asks", pa.list_(pa.int32()))])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -110,18 +114,20 @@ def _placed(nodes: DataFrame, centres: dict[tuple[str, int], np.ndarray], thresh
                     groups.setdefault((row["label"], row["dim"]), []).append(row)
                 for key, members in groups.items():
                     if key not in centres:
-                        yield from ((row["node"], *key, row["v"], 0, [0]) for row in members)
+                        yield from ((row["node"], *key, row["v"], 0, [0], [0]) for row in members)
                         continue
                     for a in range(0, len(members), 256):
                         part = members[a : a + 256]
                         x = np.array([row["v"] for row in part])
-                        home, asked = asked_cells(x / np.linalg.norm(x, axis=1, keepdims=True), centres[key], threshold)
-                        for row, leaf, asks in zip(part, home.tolist(), asked):
-                            yield row["node"], *key, row["v"], leaf, np.flatnonzero(asks).tolist()
+                        x /= np.linalg.norm(x, axis=1, keepdims=True)
+                        home, asked = asked_cells(x, centres[key], threshold)
+                        nearest = np.argsort(-(x @ centres[key].T), axis=1, kind="stable")[:, :OVERLAP]
+                        for row, leaf, near, asks in zip(part, home.tolist(), nearest.tolist(), asked):
+                            yield row["node"], *key, row["v"], leaf, list(dict.fromkeys([leaf, *near]))[:OVERLAP], np.flatnonzero(asks).tolist()
 
         yield from common.record_batches(rows(), schema, 1024)
 
-    out = nodes.select("node", "label", "dim", "v").mapInArrow(place, "node long, label string, dim int, v array<double>, leaf int, asks array<int>")
+    out = nodes.select("node", "label", "dim", "v").mapInArrow(place, "node long, label string, dim int, v array<double>, leaf int, built array<int>, asks array<int>")
     return common.staged(out, "placed")
 
 
@@ -278,12 +284,15 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, shard: int = SHAR
     turn = lambda a, b: f"({a} = {b} or ({a} < {b}) = (({a} + {b}) % 2 = 0))"
     placed = placed.withColumn("asks", F.expr(f"filter(asks, c -> {turn('leaf', 'c')})"))
     asking = placed.select("label", "dim", F.explode("asks").alias("leaf"), "node", "v", F.col("leaf").alias("home"))
-    sizes = placed.groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("subs"))
+    built = placed.select("label", "dim", F.explode("built").alias("leaf"), "node", "v")
+    sizes = built.groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("subs"))
     blocks = placed.select("label", "dim", F.explode("asks").alias("leaf")).groupBy("label", "dim", "leaf").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("blocks"))
-    cells = common.staged(sizes.join(blocks, ["label", "dim", "leaf"]), "cells")
+    cells = common.staged(sizes.join(blocks, ["label", "dim", "leaf"], "left").fillna(1, "blocks"), "cells")
     dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n).cast("long")).cast("int")
-    members = placed.select("label", "dim", "leaf", "node", "v").join(cells, ["label", "dim", "leaf"]).withColumn("sub", dealt("subs"))
+    members = built.join(cells, ["label", "dim", "leaf"]).withColumn("sub", dealt("subs"))
     lists = members.groupBy(*_KEY).applyInArrow(_graph, "node long, next array<long>")
+    # A node's lists, one for each shard that it was built into, become one.
+    lists = common.staged(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next")), "united-lists")
     # Each sub-shard's graph meets each block of its cluster's queries.
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     graphs = members.join(lists, "node").select(*_KEY, each("blocks").alias("block"), "node", "v", "next", F.lit(True).alias("is_graph"))
@@ -292,8 +301,8 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, shard: int = SHAR
     return graphs.unionAll(queries).groupBy(*_KEY, "block").applyInArrow(_searched(threshold), "a long, b long").distinct()
 
 
-def deduplicated(df: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every row of ``df`` (vec_id, embedding, label)."""
+def deduplicated(df: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD, audited: bool = False) -> DataFrame:
+    """vec_id, n_links, component_id and kept of every row of ``df`` (vec_id, embedding, label); ``audited``: and the recall of this run."""
     rows = common.staged(_read(df), "vectors")
     nodes = _nodes(rows)
     links = common.staged(node_links(nodes, threshold, shard), "vector-links")
@@ -306,18 +315,51 @@ def deduplicated(df: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD
     lowest = placed.groupBy("root").agg(F.min("lowest").alias("component_id"))
     known = placed.join(lowest, "root").select("label", "dim", "same", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     out = rows.select("vec_id", "label", "dim", "same").join(known, ["label", "dim", "same"], "left")
+    measured = [F.lit(recall(nodes, links, threshold).first().recall).alias("recall")] if audited else []
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"), *measured)
+
+
+def _pairs_in_range(files: list[str], threshold: float):
+    """Task: (a, b) of its nodes and the asked ones of the same label in range, by brute force."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def grouped(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
+        kinds: dict[tuple, list[int]] = {}
+        for i, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist())):
+            kinds.setdefault(key, []).append(i)
+        for key, rows in kinds.items():
+            part = batch.take(pa.array(rows))
+            yield key, part.column("node").to_numpy(), _unit(part.column("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                mine = {key: (node, x) for key, node, x in grouped(batch.slice(at, CHUNK))}
+                for name in files:
+                    fs, path = common.file_system(name)
+                    with fs.open_input_file(path) as file:
+                        for block in pq.ParquetFile(file).iter_batches(BLOCK):
+                            for key, asked, q in grouped(block):
+                                if key not in mine:
+                                    continue
+                                node, x = mine[key]
+                                who, which = np.nonzero(q @ x.T >= threshold)
+                                a, b = asked[who], node[which]
+                                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[a != b]), pa.array(np.maximum(a, b)[a != b])], schema=schema)
+
+    return run
+
+
+def recall(nodes: DataFrame, links: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row: recall, the share of the true links of every vector whose id is divisible by 100 that are among ``links`` (1 without any)."""
+    asked = common.staged(nodes.where("asked").select("node", "label", "dim", "v"), "asked")
+    true = nodes.select("node", "label", "dim", "v").mapInArrow(_pairs_in_range(asked.inputFiles(), threshold), "a long, b long").distinct()
+    both = true.join(links.select("a", "b", F.lit(1).alias("got")), ["a", "b"], "left")
+    return both.agg(F.coalesce(F.try_divide(F.count("got"), F.count(F.lit(1))), F.lit(1.0)).alias("recall"))
 
 
 def audit(df: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD) -> float:
     """Share of the true links of every vector whose id is divisible by 100 that the graph finds (1 without any)."""
     nodes = _nodes(common.staged(_read(df), "vectors"))
-    links = node_links(nodes, threshold, shard)
-    asked = nodes.where("lowest % 100 = 0").select("label", "dim", F.col("node").alias("q"), F.col("v").alias("w"))
-    dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-    true = nodes.join(asked, ["label", "dim"]).where("node <> q").where(dot / (norm("v") * norm("w")) >= threshold)
-    true = true.select(F.least("node", "q").alias("a"), F.greatest("node", "q").alias("b")).distinct()
-    total, got = true.count(), true.join(links, ["a", "b"], "left_semi").count()
-    return got / total if total else 1.0
+    return recall(nodes, node_links(nodes, threshold, shard), threshold).first().recall
