@@ -15,11 +15,15 @@ Equal parts are found by a join on band, part and value.
 
 Sets that share a part make candidates in two rounds.  The first verifies links
 to the smallest set of each part only, which settles groups of copies without
-their pairs.  The second takes the sets of parts that still join different
-components.  A part may be a passage that very many dissimilar sets hold, so they
-don't meet by it: they meet by their rarest shingles (``rarest``, without
-exception; rareness comes from counts on a table of fixed size, and any order gives all links), sought by the
-sets outside the component that most holders of a shingle are of.  In both rounds pairs whose
+their pairs.  The second takes, within parts that still join different components,
+the pairs between components, sought by the sets outside the component that holds
+most of the part.  Of parts held by the same sets one is looked at, pairs meet
+within bands of size (a factor of 4/3, or the next), and a pair that shares several
+parts is formed in the lowest of them as far as the lowest parts of either set, one
+for each of ``CLASSES`` residues, tell.  A part may be a passage that very many dissimilar
+sets hold.  Where more than ``FEW`` sets look for partners, they don't meet by the part but by
+their rarest shingles (``rarest``, without exception; rareness comes from counts
+on a table of fixed size, and any order gives all links).  In both rounds pairs whose
 bit sketches (element hash modulo a power of two, parity) are too far apart go, by
 a short sketch within the join and then by one of a bit for each element.
 Candidates are verified on the shingles of the whole texts.  Identical sets are one
@@ -39,6 +43,7 @@ gives no rows.  (Shingles are 64-bit hashes of whole words.)
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Set
 
 import numpy as np
@@ -56,7 +61,11 @@ CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 500_000
 BROADCAST_NODES = 1_000_000
 #: Nodes with more than this share of the rows are broadcast with their components; there are fewer than so many.
 HOT = 1000
-#: Shingles of sets that share parts with others are counted on two to the power of so many slots.
+#: Residues of parts for which a set's lowest part is known when pairs are formed.
+CLASSES = 8
+#: A part in which more sets than these look for partners is a crowd, whose sets meet by their rarest shingles.
+FEW = 64
+#: Shingles of a crowd's sets are counted on two to the power of so many slots.
 SLOTS = 20
 #: 64-bit words of the short bit sketch that goes with a set's parts.
 SKETCH_WORDS = 8
@@ -385,9 +394,13 @@ def _shingles_of(df: DataFrame, wanted: DataFrame, nodes: DataFrame, clashes: Se
     return each.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-_WORDS = [f"w{i}" for i in range(SKETCH_WORDS)]
+_WORDS, _LOWS = [f"w{i}" for i in range(SKETCH_WORDS)], [f"low{i}" for i in range(CLASSES)]
 #: The sizes and the short sketches of two sets allow that they are similar.
 _MAY = f"4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b) and 7 * ({' + '.join(f'bit_count({w}_a ^ {w}_b)' for w in _WORDS)}) <= n_a + n_b"
+#: Sets of sizes within 4/3 stand in the same band or in neighbours, whatever the logarithm is rounded to.
+_BAND = 4 / 3 + 1e-4
+#: No lower part is known that both hold.
+_FIRST = " and ".join(f"not ({k}_a <=> {k}_b and coalesce({k}_a < key_a, false))" for k in _LOWS)
 
 
 def _side(df: DataFrame, side: str, *columns: str) -> DataFrame:
@@ -477,13 +490,35 @@ def rarest(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
     return shingles[order[: n // 4 + 1]], n // 7 + 1
 
 
-def _between(held: DataFrame, crowd: DataFrame, short: DataFrame) -> DataFrame:
+def _with_main(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, node, root, ...) with ``main``, whether a node is of the root that most holders of its key have, and ``others``, how many holders are not.
+
+    Of two nodes with different roots one at least isn't of the main one, so only
+    such nodes need to look for partners: a large group's nodes never meet each other.
+    """
+    held = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+    held = held.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"), F.sum("m").alias("m"))
+    held = common.staged(held.select("key", "main", (F.col("m") - F.col("most")).alias("others"), "m"), "mains")
+    return looked_up(rows, held, "key", "m", rows.count()).withColumn("main", F.col("root") == F.col("main"))
+
+
+def _between_few(parts: DataFrame, short: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with different roots that share one of ``parts`` (key, node, root, main) and may be similar; few of a part's nodes are not ``main``, and these look for partners."""
+    lows = parts.groupBy("node").agg(*[F.min(F.when(F.pmod("key", F.lit(CLASSES)) == i, F.col("key"))).alias(k) for i, k in enumerate(_LOWS)])
+    each = common.staged(parts.join(short, "node").join(lows, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(_BAND)).cast("int")), "between")
+    near = F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))
+    a = _side(each.where("not main").withColumn("band", near), "a", "key", "band", "node", "root", "n", *_WORDS, *_LOWS)
+    b = _side(each, "b", "key", "band", "node", "root", "main", "n", *_WORDS, *_LOWS)
+    once = "(main_b or n_a < n_b or n_a = n_b and node_a < node_b)"
+    met = a.join(b, F.expr(f"key_a = key_b and band_a = band_b and {once} and root_a <> root_b and {_MAY} and {_FIRST}"))
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _between_many(held: DataFrame, crowd: DataFrame, short: DataFrame) -> DataFrame:
     """Pairs (a, b) of the ``crowd`` (node, root) with different roots that may be similar, of sets ``held`` (node, shingles).
 
     Sets that share a part need not be alike: where a passage stands in very many of them,
     all hold its parts.  They meet by their rarest shingles: sets that are too different for a link have as many rare ones of their own.
-    Of two sets with different roots one at least isn't of the root that most holders of a shingle
-    have, so only such sets look for partners: a large group's sets never meet each other.
     """
     counts = held.sparkSession.sparkContext.broadcast(slot_counts(held))
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("shown", pa.bool_())])
@@ -500,9 +535,7 @@ def _between(held: DataFrame, crowd: DataFrame, short: DataFrame) -> DataFrame:
     # A shingle of one component joins nothing.
     several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m")).where("low <> high").select("key")
     rows = common.staged(rows.join(several, "key", "left_semi"), "shared-shingles")
-    mains = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("m"))
-    rows = looked_up(rows, common.staged(mains, "mains"), "key", "m", rows.count()).withColumn("main", F.col("root") == F.col("main"))
-    each = common.staged(rows.join(short, "node"), "between")
+    each = common.staged(_with_main(rows).drop("others").join(short, "node"), "between")
     a = _side(each.where("not main"), "a", "key", "node", "root", "shown", "n", *_WORDS)
     b = _side(each, "b", "key", "node", "root", "shown", "main", "n", *_WORDS)
     once = "(main_b or node_a < node_b)"
@@ -523,9 +556,12 @@ def linked(df: DataFrame, sets: DataFrame, nodes: DataFrame, clashes: Set[bytes]
     roots = components(links)
     holds = shared.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("node")).distinct()
     holds = holds.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    crowd = common.staged(open_parts(holds).select("node", "root").distinct(), "crowd")
-    held = common.staged(_shingles_of(df, crowd.select("node"), nodes, clashes), "crowd-shingles")
-    more = _similar(df, _between(held, crowd, short), nodes, clashes, held)
+    parts = common.staged(_with_main(open_parts(holds)), "main-parts")
+    more = _similar(df, _between_few(parts.where(F.col("others") <= FEW).drop("others"), short), nodes, clashes)
+    crowd = common.staged(parts.where(F.col("others") > FEW).select("node", "root").distinct(), "crowd")
+    if not crowd.isEmpty():
+        held = common.staged(_shingles_of(df, crowd.select("node"), nodes, clashes), "crowd-shingles")
+        more = more.unionAll(_similar(df, _between_many(held, crowd, short), nodes, clashes, held))
     if more.isEmpty():
         return links, roots
     links = links.unionAll(more)

@@ -53,8 +53,9 @@ def _sets(rows):
     return out
 
 
-def test_a_common_passage_makes_no_pairs_and_loses_none(spark):
-    rows = _crowd(300)
+def test_a_common_passage_makes_no_pairs_and_loses_none(spark, monkeypatch):
+    rows = _crowd(200)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
     sets = _sets(rows)
     root = {i: i for i in sets}
 
@@ -70,8 +71,13 @@ def test_a_common_passage_makes_no_pairs_and_loses_none(spark):
             if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    got = {r.doc_id: r.component_id for r in jaccard.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {i: find(i) for i in ids}
+    got = {r.doc_id: r.component_id for r in jaccard.joined(df).collect()}
+    want = {i: find(i) for i in ids}
+    assert got == want
+    # With every part a crowd, and with none.
+    for few in (0, 10**9):
+        monkeypatch.setattr(jaccard, "FEW", few)
+        assert {r.doc_id: r.component_id for r in jaccard.joined(df).collect()} == want
 
 
 def test_pairs_grow_with_the_documents(spark):
@@ -82,5 +88,5 @@ def test_pairs_grow_with_the_documents(spark):
         held = common.staged(spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets], "node long, shingles binary"), "held")
         short = common.staged(spark.createDataFrame([(i, len(s), *jaccard.short_sketch(s)) for i, s in sets], "node long, n int, " + ", ".join(f"w{k} long" for k in range(jaccard.SKETCH_WORDS))), "short")
         crowd = held.select("node", F.col("node").alias("root"))
-        made.append(jaccard._between(held, crowd, short).count())
+        made.append(jaccard._between_many(held, crowd, short).count())
     assert 20 <= made[0] <= 200 and made[1] <= 3 * made[0]
