@@ -29,6 +29,13 @@ SCHEME = r"(?i)\b(Bearer|Basic|Token|ApiKey)\s+[A-Za-z0-9._~+/=\-]+"
 ADDRESS = r"[a-zA-Z][a-zA-Z0-9+.\-]*://[^\s\"'<>`\\|]+"
 BEHIND = r"[.,;:)\]}>'\"]+$"
 RUN = r"\b(?=[A-Za-z0-9_\-]*[0-9])[A-Za-z0-9_\-]{32,}\b"
+# A name and what parts it from its value, a quoted value of several words, and any other value.
+PAIR = rf"(?i)(['\"]?\b(?:{NAMES})\b['\"]?[ \t]*[=:][ \t]*)"
+QUOTED, BARE = r"(?:\"[^\"\n]*[ \t][^\"\n]*\"|'[^'\n]*[ \t][^'\n]*')", r"(['\"]?)([^\s,;&)\]}'\"]+)\2"
+
+#: Something of each name, and of each scheme with the blank behind it: texts without them need no other pattern.
+_HINT = r"(?i)token|secret|passw|pwd|key|credential|assertion|auth|sig|passphrase|connection|dsn"
+_SCHEME_HINT = r"(?i)(?:bearer|basic|token|apikey)\s"
 
 #: Characters of a scrubbed message at most.
 MOST = 4096
@@ -39,10 +46,11 @@ def redacted(text: Column) -> Column:
 
     A quoted value of several words is masked with its quotes.
     """
-    out = F.regexp_replace(F.regexp_replace(text, TOKEN, MASK), SCHEME, f"$1 {MASK}")
-    pair = rf"(?i)(['\"]?\b(?:{NAMES})\b['\"]?[ \t]*[=:][ \t]*)"
-    out = F.regexp_replace(out, pair + r"(?:\"[^\"\n]*[ \t][^\"\n]*\"|'[^'\n]*[ \t][^'\n]*')", f"$1{MASK}")
-    return F.regexp_replace(out, pair + r"(['\"]?)([^\s,;&)\]}'\"]+)\2", f"$1$2{MASK}$2")
+    tokens = F.contains(text, F.lit("eyJ")) | text.rlike(_SCHEME_HINT)
+    pairs = (F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))) & text.rlike(_HINT)
+    out = F.when(tokens, F.regexp_replace(F.regexp_replace(text, TOKEN, MASK), SCHEME, f"$1 {MASK}")).otherwise(text)
+    # A mask never makes a name or a value of what stands around it, so the hints of the text hold.
+    return F.when(pairs, F.regexp_replace(F.regexp_replace(out, PAIR + QUOTED, f"$1{MASK}"), PAIR + BARE, f"$1$2{MASK}$2")).otherwise(out)
 
 
 def scrubbed_url(url: Column) -> Column:

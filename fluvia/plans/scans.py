@@ -76,6 +76,25 @@ def scan_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.records(workbook.grid(rows)).select(r["customer_key"].alias("customer_key"), r["name"].alias("name"), r["name_2"].alias("name_2"))
 
 
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS order_key, strftime(o_orderdate + INTERVAL (o_orderkey % 86400) SECOND, '%Y-%m-%d %H:%M:%S') AS ordered_at FROM orders")
+def scan_workbook_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in workbooks whose dates are serial numbers with a style, read back as dates."""
+    path = tables.scratch(spark, "dated-books")
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("a"), (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 86400).cast("decimal(18,6)"))).alias("b"))
+
+    def books(frames):
+        for frame in frames:
+            for at in range(0, len(frame), 1000):
+                some = frame.iloc[at : at + 1000]
+                rows = [[a, None if pd.isna(b) else b.to_pydatetime()] for a, b in zip(some["a"], some["b"])]
+                yield pd.DataFrame({"content": [workbook.packed([["Order Key", "Ordered At"], *rows])]})
+
+    orders.mapInPandas(books, "content binary").write.parquet(path)
+    rows = workbook.from_bytes(spark.read.parquet(path).select(F.sha2("content", 256).alias("path"), F.lit(None).cast("timestamp").alias("modificationTime"), "content"))
+    r = F.col("record")
+    return grid.records(workbook.grid(rows)).select(r["order_key"].alias("order_key"), r["ordered_at"].alias("ordered_at"))
+
+
 @query("SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role FROM conversations")
 def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as pages of an interface, their turns picked by a selector."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fluvia.functions import mapping
 from fluvia.operators import checks, cursors, feeds, land, ledger
-from fluvia.sources import versioned
+from fluvia.sources import versioned, workbook
 
 
 def _table(spark, path, key=("id",)):
@@ -118,3 +118,15 @@ def test_json_is_one_value(spark):
     cell = mapping.compile_node(df, {"source": "t", "cast": "json"})
     got = [(r[0], r[1] is None) for r in df.select(cell.value, cell.error, "k").orderBy("k").collect()]
     assert got == [(t, True) for t in texts[:6]] + [(None, False)] * 9 + [(None, True)]
+
+
+def test_formats_that_show_dates():
+    dates = ["m/d/yyyy", "yyyy-mm-dd hh:mm", "[h]:mm", "dd\\-mmm", "[$-409]d. mmm", "h:mm AM/PM", '"due" d']
+    others = ["General", "0.00", "#,##0", "0%", '"days" 0', "[Red]0.00", "0.00E+00", "@", '0;"dmy"', "\\d0", "_d0", "$#,##0.00"]
+    assert [c for c in dates if not workbook.shows_date(c)] == [] and [c for c in others if workbook.shows_date(c)] == []
+    assert workbook.date_text("45358.395833333336") == "2024-03-07 09:30:00"
+    assert [workbook.date_text(n) for n in ("1", "59", "61", "0.5", "x", "1e99")] == ["1900-01-01 00:00:00", "1900-02-28 00:00:00", "1900-03-01 00:00:00", "12:00:00", "x", "1e99"]
+    assert workbook.date_text("0", True) == "00:00:00" and workbook.date_text("1", True) == "1904-01-02 00:00:00"
+    # A number without a date's style stays one.
+    (row,) = [r for r in workbook.sheets(workbook.packed([["45358", None, "x"]])) if r[3]]
+    assert row[3] == ["45358", None, "x"]
