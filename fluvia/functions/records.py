@@ -179,6 +179,24 @@ def chosen_fields(fields: Sequence[str], cursor: str | None = None, deletes: boo
     return [name for i, name in enumerate(wanted) if name.lower() not in {w.lower() for w in wanted[:i]}]
 
 
+def selected(df: DataFrame, fields: Sequence[str], where: str | None = None, cursor: str | None = None, last: object = None, deletes: bool = True, key: str = "Id", flag: str = "IsDeleted") -> DataFrame:
+    """The chosen fields of the records that a configured condition lets through, from the last cursor on.
+
+    The condition is one term, whatever operators it has: an ``or`` in it does not
+    reach around the cursor.  Both go to the scan.  Without ``deletes`` deleted records stay out.
+    """
+    known = {c.lower(): c for c in df.columns}
+    names = chosen_fields(fields, cursor, deletes, key, flag)
+    if missing := [n for n in names if n.lower() not in known]:
+        raise ValueError(f"no field {', '.join(map(repr, missing))}")
+    rows = df if where is None else df.where(F.expr(f"({where})"))
+    if cursor is not None and last is not None:
+        rows = rows.where(F.col(f"`{known[cursor.lower()]}`") >= F.lit(last))
+    if not deletes and flag.lower() in known:
+        rows = rows.where(~F.coalesce(F.col(f"`{known[flag.lower()]}`"), F.lit(False)))
+    return rows.select(*[F.col(f"`{known[n.lower()]}`") for n in names])
+
+
 def page_records(df: DataFrame, selector: str, schema: str, raw: str = "raw") -> DataFrame:
     """The records of pages: the array, or the one object, that a dotted selector picks.  A page without it gives none."""
     picked = F.get_json_object(F.col(raw), "$." + selector if selector else "$")

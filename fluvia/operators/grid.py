@@ -88,6 +88,15 @@ def keyed(rows: DataFrame, key: str, missing: str = "error", shown: int = 20) ->
     return rows.where(has)
 
 
+def keyless(rows: DataFrame, key: str, shown: int = 20) -> DataFrame:
+    """(sheet, n, first): how many rows of each sheet have no key, and the numbers of the first of them; what a skip leaves out."""
+    part = rows.where(F.col("record")[key].isNull()).groupBy("sheet", F.spark_partition_id().alias("_p"))
+    first = lambda c: F.slice(F.sort_array(c), 1, shown)
+    # Each partition's list is cut before they meet.
+    some = part.agg(F.count(F.lit(1)).alias("n"), first(F.collect_list(ROW_NUMBER)).alias("first"))
+    return some.groupBy("sheet").agg(F.sum("n").alias("n"), first(F.flatten(F.collect_list("first"))).alias("first"))
+
+
 def disposition(key: Sequence[str] | str | None) -> str:
     """A keyed grid is merged, one without a key replaced."""
     return "merge" if key else "replace"

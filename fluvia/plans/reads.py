@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import mapping, redact
-from ..operators import checks, cursors, dispatch, feeds, land, pages
+from ..functions import mapping, records, redact
+from ..operators import checks, cursors, dispatch, feeds, grid, land, pages
 from ..sources import tables, versioned
 from .registry import query, read
 
@@ -173,3 +173,26 @@ def projection_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     versioned.merge(land.stamped(events.withColumn(land.DELETED, F.col("event_type") == "error"), "b1", "r2", "2"), landing, "2")
     run("p2", True)
     return versioned.table(spark, target)
+
+
+@query("""
+SELECT o_orderkey AS "Id", o_totalprice AS "Total", o_orderdate AS "Modified" FROM orders
+WHERE (o_orderstatus = 'F' OR o_orderpriority = '1-URGENT') AND o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 1 YEAR FROM orders) AND o_orderstatus <> 'P'
+""")
+def select_sobjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields and a condition with an ``or`` as configured, from a cursor on."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("Id"), F.col("o_totalprice").alias("Total"), F.col("o_orderdate").alias("Modified"), F.col("o_orderstatus").alias("Status"), F.col("o_orderpriority").alias("Priority"), (F.col("o_orderstatus") == "P").alias("IsDeleted"))
+    newest = orders.agg((F.max("Modified") - F.expr("interval 1 year")).alias("m")).first().m
+    return records.selected(orders, ["total", "TOTAL", "id"], "Status = 'F' or Priority = '1-URGENT'", "Modified", newest, deletes=False)
+
+
+@query("""
+WITH c AS (SELECT c_mktsegment AS sheet, c_custkey + 1 AS row_number, c_acctbal < 0 AS keyless FROM customer)
+SELECT sheet, CAST(count(*) AS BIGINT) AS n, array_to_string((list(row_number ORDER BY row_number))[:20], ',') AS first FROM c WHERE keyless GROUP BY sheet
+""")
+def grid_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of sheets without a key: how many, and the first of them."""
+    customer = read(spark, sf_dir, "customer")
+    cells = F.array(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey").cast("string")), F.col("c_name"))
+    rows = grid.records(customer.select(F.col("c_mktsegment").alias("sheet"), (F.col("c_custkey") + 1).cast("long").alias("row_number"), cells.alias("cells")), header_row=None)
+    return grid.keyless(rows, "column_1").select("sheet", "n", F.array_join(F.transform("first", lambda x: x.cast("string")), ",").alias("first"))

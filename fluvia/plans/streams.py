@@ -151,3 +151,14 @@ def stream_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = {"external_id": {"source": "event_id", "cast": "string"}, "type": {"function": "upper", "args": [{"source": "event_type"}]}, "seen": {"source": "event_type"}}
     out = landing.projected(stream, path, lambda b: mapping.compile_mapping(b, nodes), ["external_id"])
     return out.select("values.external_id", F.when(F.col("operation") == "delete", "ERROR").otherwise(F.col("values.type")).alias("type"), "operation")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS external_id, upper(event_type) AS type, value FROM events WHERE event_type <> 'error'")
+def stream_projection_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed and projected batch by batch, each load once; a second run of the stream finds nothing to do."""
+    events = read(spark, sf_dir, "events").select("event_id", "event_type", "value", (F.col("event_type") == "error").alias(land.DELETED))
+    stream, path = _stream(spark, events, "projected-once")
+    nodes = {"external_id": {"source": "event_id", "cast": "string"}, "type": {"function": "upper", "args": [{"source": "event_type"}]}, "value": {"source": "value"}}
+    run = lambda: landing.projected_once(stream, path, ["event_id"], [F.col("event_id")], "b1", lambda df: mapping.compile_mapping(df, nodes), ["external_id"], ["type"])
+    run()
+    return run()

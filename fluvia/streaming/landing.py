@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.mapping import Cell
-from ..operators import land, project
+from ..operators import dispatch, land, project
 from ..sources import versioned
 
 BATCH = "_batch"
@@ -61,6 +61,29 @@ def projected(stream: DataFrame, path: str, cells: Callable[[DataFrame], Mapping
     return project.collapsed(drained(stream, path, step), identity)
 
 
+def projected_once(
+    stream: DataFrame, path: str, key: Sequence[str], order: Sequence[Column], binding: str, cells: Callable[[DataFrame], Mapping[str, Cell]], identity: Sequence[str],
+    required: Sequence[str] = (), filters: Callable[[DataFrame], Column] | None = None, buckets: int = 16,
+) -> DataFrame:
+    """The target of a keyed stream: each micro-batch is a load, landed and then projected, either of them once.
+
+    A batch that runs again after a failure finds its load in the landing table's log, and projects
+    what the target's log does not have yet.
+    """
+    spark, landing, target = stream.sparkSession, f"{path}/table", f"{path}/target"
+    for root, columns in ((landing, key), (target, identity)):
+        if not versioned.exists(spark, root):
+            versioned.create(spark, root, columns, buckets)
+
+    def write(batch: DataFrame, number: int) -> None:
+        load = f"batch {number}"
+        versioned.merge(land.stamped(land.newest(batch, key, order), binding, load, load), landing, load)
+        dispatch.dispatched(spark, landing, target, cells, identity, load, required, filters)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return versioned.table(spark, target)
+
+
 def files(spark: SparkSession, path: str, schema, per_trigger: int = 100) -> DataFrame:
     """A folder of Parquet files as a stream."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
