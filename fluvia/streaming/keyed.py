@@ -57,18 +57,18 @@ class _InOrder(StatefulProcessor):
 
     def _keep(self, held: dict[int, list[tuple[int, str]]]) -> None:
         for ms, new in held.items():
-            have = [tuple(r) for r in self.waiting.getValue((ms,))[0]] if self.waiting.containsKey((ms,)) else []
-            self.waiting.updateValue((ms,), (have + new,))
+            have = self.waiting.getValue((ms,))
+            self.waiting.updateValue((ms,), ([tuple(r) for r in have[0]] + new if have else new,))
             self.handle.registerTimer(ms)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         ms = expiredTimerInfo.getExpiryTimeInMs()
         yield from self.passed(key, ms)
-        if self.waiting.containsKey((ms,)):
-            rows = self.waiting.getValue((ms,))[0]
+        rows = self.waiting.getValue((ms,))
+        if rows:
             self.waiting.removeKey((ms,))
             # Those of one millisecond: by their microsecond and id.
-            for at, name in sorted((r[0], r[1] or "") for r in rows):
+            for at, name in sorted((r[0], r[1] or "") for r in rows[0]):
                 yield from self.taken(key, at, name)
 
     def passed(self, key: Any, ms: int) -> Iterator[Row]:
@@ -93,12 +93,14 @@ class _Once(_InOrder):
         self.last = handle.getValueState("last", "at long")
 
     def passed(self, key: Any, ms: int) -> Iterator[Row]:
-        if self.last.exists() and self.last.get()[0] + self.within <= ms * 1000:
+        last = self.last.get()
+        if last and last[0] + self.within <= ms * 1000:
             self.last.clear()
         yield from ()
 
     def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
-        fresh = not self.last.exists() or at - self.last.get()[0] >= self.within
+        last = self.last.get()
+        fresh = not last or at - last[0] >= self.within
         if fresh:
             self.last.update((at,))
             # A millisecond later than the end at the earliest, so that nothing is forgotten too early.
@@ -122,7 +124,8 @@ class _Limited(_InOrder):
         yield from ()
 
     def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
-        n = (self.count.get()[0] if self.count.exists() else 0) + 1
+        have = self.count.get()
+        n = (have[0] if have else 0) + 1
         if n == 1:
             self.handle.registerTimer((key[1] + 1) * 60_000)
         self.count.update((n,))
@@ -146,8 +149,9 @@ class _Debounced(_InOrder):
             self.handle.registerTimer((at + self.within) // 1000 + 1)
 
     def _ended(self, key: Any, at: int) -> Iterator[Row]:
-        if self.open.exists():
-            opened, dirty = self.open.get()
+        have = self.open.get()
+        if have:
+            opened, dirty = have
             if opened + self.within <= at:
                 self.open.clear()
                 yield Row(key=key[0], opened=opened, runs_at=opened + self.within, dirty=dirty)
@@ -157,8 +161,9 @@ class _Debounced(_InOrder):
 
     def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
         yield from self._ended(key, at)
-        if self.open.exists():
-            opened, dirty = self.open.get()
+        have = self.open.get()
+        if have:
+            opened, dirty = have
             if not dirty:
                 self.open.update((opened, True))
         else:
