@@ -18,7 +18,7 @@ import datetime as dt
 import json
 import threading
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -154,10 +154,14 @@ def _bucket(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in key]), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
-def _written(df: DataFrame, key: Sequence[str], buckets: int, root: str) -> dict[int, tuple[str, ...]]:
-    """The folders of each bucket that ``df`` has rows of.  Small buckets share a task, a large one has several."""
+def _written(df: DataFrame, key: Sequence[str], buckets: int, root: str, counted: Callable[[DataFrame], DataFrame] = lambda d: d) -> dict[int, tuple[str, ...]]:
+    """The folders of each bucket that ``df`` has rows of.  Small buckets share a task, a large one has several.
+
+    ``counted`` observes the rows in the stage that writes them: Spark counts a writing task once, however often what comes before is run again.
+    """
     name = f"data/{uuid.uuid4().hex}"
-    df.withColumn(BUCKET, _bucket(key, buckets)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{root}/{name}")
+    dealt = df.withColumn(BUCKET, _bucket(key, buckets)).hint("rebalance", BUCKET)
+    counted(dealt).write.partitionBy(BUCKET).parquet(f"{root}/{name}")
     return {int(n.split("=")[1]): (f"{name}/{n}",) for n, _ in _names(df.sparkSession, f"{root}/{name}") if n.startswith(BUCKET)}
 
 
@@ -168,7 +172,7 @@ def landed(spark: SparkSession, root: str, load: str) -> bool:
 def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: str | None = None, gone: str | None = None, whole: bool = False, entry: Mapping[str, object] | None = None) -> Version:
     """Rows with the keys of ``df`` go, ``df`` is added; one commit, with the load's entry in the ledger.
 
-    ``cursor``: a column whose highest value is noted.  ``gone``: a boolean column; rows that
+    ``cursor``: a column whose highest value is noted, as a text.  ``gone``: a boolean column; rows that
     have it remove their key and are not added.  ``whole``: the table becomes ``df``.  ``entry``: what else is noted; loads
     that it has ``taken`` and that another commit took before are an error.  A stamp that a row lacks
     is an error before anything is committed.  Rows, deletions
@@ -184,11 +188,11 @@ def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: s
             raise Taken(f"loads of {load!r} were taken by another run")
     keyed = land.merge_key(base.key, df)
     removed = F.coalesce(F.col(gone), F.lit(False)) if gone else F.lit(False)
-    flag = F.coalesce(F.col(land.DELETED), F.lit(False)) if land.DELETED in df.columns and not gone else removed
-    high = F.max(F.col(cursor).cast("string") if cursor else F.lit(None).cast("string"))
+    flag = F.coalesce(F.col(land.DELETED), F.lit(False)) if land.DELETED in df.columns and not gone else F.col(_GONE)
+    high = F.max(F.col(cursor) if cursor else F.lit(None)).cast("string")
     shown = Observation()
-    counted = land.enforced(df).observe(shown, F.count(F.lit(1)).alias("rows"), F.count_if(flag).alias("tombstones"), high.alias("high"))
-    incoming = _written(counted.withColumn(_GONE, removed).select(*[c for c in df.columns if c != gone], _GONE), keyed, base.buckets, root)
+    arriving = land.enforced(df).withColumn(_GONE, removed).select(*[c for c in df.columns if c != gone], _GONE)
+    incoming = _written(arriving, keyed, base.buckets, root, lambda d: d.observe(shown, F.count(F.lit(1)).alias("rows"), F.count_if(flag).alias("tombstones"), high.alias("high")))
     seen = observed(shown)
     columns = T.StructType([f for f in df.schema if f.name != gone])
     done: dict[int, tuple[str, ...]] = {}

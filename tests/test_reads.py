@@ -30,7 +30,12 @@ def test_a_cursor_moves_with_its_commit(spark, tmp_path, monkeypatch):
     cursors.landed_since(frame(("a", 3, "UPDATED"), ("b", 1, "late"), ("d", None, "none"), ("c", 4, "c")), root, "3", "at", binding="b")
     assert sorted((r.id, r.v) for r in versioned.table(spark, root).collect()) == [("a", "UPDATED"), ("b", "b"), ("c", "c"), ("d", "none")]
     assert cursors.last_value(spark, root, "int") == 4
-    assert [(r.load_id, r.rows, r.high) for r in versioned.ledger(spark, root).orderBy("version").collect()] == [("1", 2, "3"), ("3", 3, "4")]
+    # Numbers are compared as numbers.
+    cursors.landed_since(frame(("e", 9, "e"), ("f", 10, "f")), root, "4", "at", binding="b")
+    assert cursors.last_value(spark, root, "int") == 10
+    cursors.landed_since(frame(("e", 9, "again")), root, "5", "at", binding="b")
+    assert versioned.table(spark, root).where("id = 'e'").first().v == "e"
+    assert [(r.load_id, r.rows, r.high) for r in versioned.ledger(spark, root).orderBy("version").limit(2).collect()] == [("1", 2, "3"), ("3", 3, "4")]
 
 
 def test_a_token_is_for_one_scope(spark):
