@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import sqlite3
 import tempfile
 from functools import partial
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,7 +120,7 @@ def writer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sqlite(path: str) -> sqlite3.Connection:
-    return sqlite3.connect(f"file:{path.removeprefix('file://')}?mode=ro", uri=True)
+    return sqlite3.connect(f"file:{path}?mode=ro", uri=True)
 
 
 @query("""
@@ -128,7 +130,7 @@ WHERE (o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 2 YEAR FROM orders) OR
 def scan_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in databases in the shared folder, one to a task, read from a cursor on in slices of their key."""
     path = tables.scratch(spark, "databases")
-    folder = path.removeprefix("file://")
+    folder = re.sub("^file:/+", "/", path)
 
     def fill(frames):
         with tempfile.TemporaryDirectory() as own:
@@ -142,8 +144,6 @@ def scan_database(spark: SparkSession, sf_dir: str) -> DataFrame:
                 n += len(frame)
             connection.commit()
             connection.close()
-            from pyspark import TaskContext
-
             # A file takes its final name only when it is whole; an attempt that is repeated makes the same one.
             name, own_name = f"{folder}/{TaskContext.get().partitionId()}.db", f"{folder}/.{TaskContext.get().taskAttemptId()}"
             os.makedirs(folder, exist_ok=True)
