@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions import mapping, records, redact
 from .operators import checks, feeds, land, ledger, project, shape
-from .plans import casting, grids, reads, runs, scans, stores, streams  # noqa: F401
+from .plans import casting, grids, landings, reads, runs, scans, stores, streams  # noqa: F401
 from .plans.registry import QUERIES, SQL, Query
 from .plans.registry import query as _query
 from .plans.registry import read as _read

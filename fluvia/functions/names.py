@@ -28,9 +28,14 @@ def table_name(source: str, resource: str, key: str, most: int = 63) -> str:
     return name
 
 
+def digest(value: object) -> str:
+    """A short hash of what JSON can say."""
+    return hashlib.sha256(json.dumps(value).encode()).hexdigest()[:32]
+
+
 def fingerprint(df: DataFrame) -> str:
     """A hash of the columns' names and types, whatever their order; reads the schema alone."""
-    return hashlib.sha256(json.dumps(sorted((f.name, f.dataType.simpleString()) for f in df.schema)).encode()).hexdigest()[:32]
+    return digest(sorted((f.name, f.dataType.simpleString()) for f in df.schema))
 
 
 def drift(was: DataFrame, now: DataFrame, mapped: list[str]) -> tuple[str, list[str]]:

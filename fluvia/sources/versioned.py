@@ -169,16 +169,27 @@ def landed(spark: SparkSession, root: str, load: str) -> bool:
     return not ledger(spark, root).where(F.col("load_id") == load).isEmpty()
 
 
-def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: str | None = None, gone: str | None = None, whole: bool = False, entry: Mapping[str, object] | None = None) -> Version:
+def _as_it_is(schema: T.StructType, new: T.StructType) -> bool:
+    """Whether files with the columns ``new`` can be read under ``schema``: what both have is of one type."""
+    types = {f.name: f.dataType for f in schema}
+    return all(types.get(f.name, f.dataType) == f.dataType for f in new)
+
+
+def merge(
+    df: DataFrame, root: str, load: str, run: str | None = None, cursor: str | None = None, gone: str | None = None, whole: bool = False, entry: Mapping[str, object] | None = None, append: bool = False
+) -> Version:
     """Rows with the keys of ``df`` go, ``df`` is added; one commit, with the load's entry in the ledger.
 
     ``cursor``: a column whose highest value is noted, as a text.  ``gone``: a boolean column; rows that
-    have it remove their key and are not added.  ``whole``: the table becomes ``df``.  ``entry``: what else is noted; loads
-    that it has ``taken`` and that another commit took before are an error.  A stamp that a row lacks
-    is an error before anything is committed.  Rows, deletions
-    and the cursor are observed as the load is written, not counted again.
+    have it remove their key and are not added.  ``whole``: the table becomes ``df``.  ``append``: nothing goes.
+    ``entry``: what else is noted; loads that it has ``taken`` and that another commit took before are an error.  A stamp
+    that a row lacks is an error before anything is committed.  Rows, deletions
+    and the cursor are observed as the load is written, not counted again.  Where nothing is to be taken out (an empty
+    bucket, a whole table, an append) and no column changed its type, what the load wrote is the table's file as it is.
     """
     spark = df.sparkSession
+    if append and (whole or gone):
+        raise ValueError("an append takes nothing out")
     base = current(spark, root)
     if landed(spark, root, load):
         return base
@@ -198,18 +209,26 @@ def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: s
     done: dict[int, tuple[str, ...]] = {}
     work = set(incoming)
     while True:
-        paths = [f"{root}/{f}" for b in sorted(work) for f in incoming[b]]
+        fits = gone is None and (whole or base.schema is None or _as_it_is(base.schema, columns))
+        ready = {b for b in work if fits and (whole or append or not base.files.get(b))}
+        rest = work - ready
+        paths = [f"{root}/{f}" for b in sorted(rest) for f in incoming[b]]
         arrived = T.StructType([*columns, T.StructField(_GONE, T.BooleanType())])
         new = spark.read.schema(arrived).parquet(*paths) if paths else spark.createDataFrame([], arrived)
         rows = new.where(f"not {_GONE}").drop(_GONE)
         if base.schema is not None and not whole:
-            old, rows = land.evolved(_of(spark, root, base, sorted(work)), rows)
-            rows = old.join(new.select(*keyed).distinct(), keyed, "left_anti").unionByName(rows)
-        schema = rows.schema
-        if work:
+            old, rows = land.evolved(_of(spark, root, base, () if append else sorted(rest)), rows)
+            if not append:
+                # The join puts its keys first: the columns keep their order.
+                rows = old.join(new.select(*keyed).distinct(), keyed, "left_anti").select(*[F.col(f"`{c}`") for c in old.columns]).unionByName(rows)
+        # Files are read with nulls allowed, whatever the load's own frame said.
+        schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in rows.schema])
+        done |= {b: incoming[b] for b in ready}
+        if rest:
             made = _written(rows, keyed, base.buckets, root)
-            done |= {b: made.get(b, ()) for b in work}
-        files = {b: f for b, f in ({} if whole else base.files).items() if b not in done} | {b: f for b, f in done.items() if f}
+            done |= {b: made.get(b, ()) for b in rest}
+        kept = {} if whole else {b: f for b, f in base.files.items() if append or b not in done}
+        files = {b: f for b in sorted(kept.keys() | done.keys()) if (f := (*kept.get(b, ()), *done.get(b, ())))}
         note = {"load_id": load, "run_id": run, "rows": seen.get("rows") or 0, "tombstones": seen.get("tombstones") or 0, "high": seen.get("high"), "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(), **(entry or {})}
         version = Version(base.number + 1, base.key, base.buckets, schema, files, note)
         if _committed(spark, root, version):
@@ -221,12 +240,71 @@ def merge(df: DataFrame, root: str, load: str, run: str | None = None, cursor: s
         if set(taken) & {t for b in between for t in b.get("taken") or ()}:
             raise Taken(f"loads of {load!r} were taken by another run")
         # What the other writer left as it was stays as it is written; other columns make all of it anew.
-        work = set(incoming) if latest.schema != base.schema else {b for b in incoming if latest.files.get(b) != base.files.get(b)}
+        work = set(incoming) if latest.schema != base.schema else set() if append else {b for b in incoming if latest.files.get(b) != base.files.get(b)}
         base = latest
 
 
+def append(df: DataFrame, root: str, load: str, run: str | None = None, cursor: str | None = None) -> Version:
+    """Add ``df`` and read nothing of what is there; the table's key must be the stamped row id.
+
+    Equal rows all stay: each row's id is made anew of the row, the load and its place among those written.
+    A load that is landed already adds nothing.
+    """
+    base = current(df.sparkSession, root)
+    if base.key != (land.ROW,):
+        raise ValueError("an append goes to a table whose key is the row id")
+    if land.ROW not in df.columns:
+        raise ValueError("rows that are appended have their stamps")
+    own = F.sha2(F.concat_ws(":", F.col(land.ROW), F.lit(load), F.monotonically_increasing_id().cast("string")), 256)
+    return merge(df.withColumn(land.ROW, F.when(F.col(land.ROW).isNotNull(), own)), root, load, run, cursor=cursor, append=True)
+
+
+def compact(spark: SparkSession, root: str, most: int = 8) -> Version:
+    """Buckets of more than ``most`` folders as one folder each, in a commit that lands nothing.
+
+    What others append meanwhile stays behind what was compacted; a bucket that they rewrote is left to them.
+    """
+    base = current(spark, root)
+    many = {b: f for b, f in base.files.items() if len(f) > most}
+    if not many:
+        return base
+    made = _written(_of(spark, root, base, sorted(many)), land.merge_key(base.key, _of(spark, root, base, ())), base.buckets, root)
+    while True:
+        done = {b: (*made.get(b, ()), *base.files[b][len(f):]) for b, f in many.items() if base.files.get(b, ())[: len(f)] == f}
+        version = Version(base.number + 1, base.key, base.buckets, base.schema, dict(base.files) | done)
+        if not done or _committed(spark, root, version):
+            return version if done else base
+        base = current(spark, root)
+
+
+def history(spark: SparkSession, root: str) -> list[tuple[int, str | None, T.StructType]]:
+    """(version, load, schema) of every version that changed the columns, from the log alone."""
+    out: list[tuple[int, str | None, T.StructType]] = []
+    for number in sorted(_numbers(spark, root)):
+        version = _read(spark, root, number)
+        if version.schema is not None and (not out or [(f.name, f.dataType) for f in out[-1][2]] != [(f.name, f.dataType) for f in version.schema]):
+            out.append((number, version.load.get("load_id"), version.schema))
+    return out
+
+
+def folders(spark: SparkSession, base: str) -> list[str]:
+    """What lies right below ``base``."""
+    return sorted(n for n, _ in _names(spark, base))
+
+
+def purge(spark: SparkSession, roots: Sequence[str]) -> list[str]:
+    """Delete these tables with their logs, cursors and schemas, and tell which were there; one that is still there is an error."""
+    there = [r for r in roots if exists(spark, r)]
+    for root in there:
+        where, fs = _path(spark, root)
+        fs.delete(where, True)
+    if left := [r for r in there if exists(spark, r)]:
+        raise RuntimeError(f"not deleted: {', '.join(left)}")
+    return there
+
+
 def replace(df: DataFrame, root: str, load: str, run: str | None = None) -> Version:
-    """The whole table anew, with whatever columns, in one commit."""
+    """The whole table anew, with whatever columns, in one commit; an empty frame empties it."""
     return merge(df, root, load, run, whole=True)
 
 
