@@ -144,6 +144,14 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land.newest(rows, ["user_id"], order).select("user_id", "event_id", "event_type")
 
 
+@query("SELECT event_type, count(*) AS rows, count(*) AS ids, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without their ids, many of them equal, appended batch by batch and compacted: every row stays, with an id of its own."""
+    stream, path = _stream(spark, read(spark, sf_dir, "events").select("user_id", "event_type"), "append")
+    rows = landing.appended(stream, path, "b1", "r1", buckets=4, most=2)
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(land.ROW).alias("ids"), F.count_distinct("user_id").alias("users"))
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS external_id, upper(event_type) AS type, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS operation FROM events")
 def stream_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_type") == "error").alias(land.DELETED))

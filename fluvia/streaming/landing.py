@@ -2,7 +2,7 @@
 
 Each micro-batch is written under its own number, so one that runs again after a
 failure replaces what it wrote before.  ``drained`` reads what all batches wrote;
-``landed`` merges them into a versioned table.
+``landed`` merges them into a versioned table, ``appended`` adds them to one.
 """
 
 from __future__ import annotations
@@ -52,6 +52,27 @@ def landed(stream: DataFrame, path: str, key: Sequence[str], order: Sequence[Col
     return versioned.table(spark, root).select(*stream.columns, *land.STAMPS)
 
 
+def appended(stream: DataFrame, path: str, binding: str, run: str, cursor: str | None = None, buckets: int = 16, most: int = 8) -> DataFrame:
+    """All rows of a stream without a key, in a versioned table under ``path``: each micro-batch is appended under its own number, once.
+
+    Where a bucket has come to more than ``most`` folders it is compacted, so that a reader opens at most
+    ``most`` times ``buckets`` of them, however many batches there were.
+    """
+    spark, root = stream.sparkSession, f"{path}/table"
+    if not versioned.exists(spark, root):
+        versioned.create(spark, root, [land.ROW], buckets)
+
+    def write(batch: DataFrame, number: int) -> None:
+        load = f"batch {number}"
+        versioned.append(land.stamped(batch, binding, run, load), root, load, run, cursor)
+        versioned.compact(spark, root, most)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    if versioned.current(spark, root).schema is None:
+        return land.stamped(spark.createDataFrame([], stream.schema), binding, run, run)
+    return versioned.table(spark, root)
+
+
 def projected(stream: DataFrame, path: str, cells: Callable[[DataFrame], Mapping[str, Cell]], identity: Sequence[str], required: Sequence[str] = (), filters: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """A landed stream's rows projected once each, collapsed over all batches."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fluvia.operators import land, resources
 from fluvia.operators.resources import Resource
 from fluvia.sources import versioned
-from fluvia.streaming import deliveries
+from fluvia.streaming import deliveries, landing
 
 
 def _frame(spark, rows, schema="id string, v int"):
@@ -208,3 +208,22 @@ def test_parsed_deliveries(spark):
     assert got[0].fingerprint[:2] == "d:" and got[1].fingerprint[:2] == "b:" and got[2].fingerprint is None and got[3].fingerprint is None
     plain = deliveries.parsed(df).collect()
     assert plain[0].fingerprint == plain[1].fingerprint == got[1].fingerprint and plain[0].external_ids == []
+
+
+def test_a_stream_is_appended_once_and_compacted(spark, tmp_path, monkeypatch):
+    schema, root = "id string, v int", f"file://{tmp_path}/out/table"
+    run = lambda: landing.appended(landing.files(spark, f"{tmp_path}/in", schema, 1), f"file://{tmp_path}/out", "b", "r", buckets=1, most=2)
+    (tmp_path / "in").mkdir()
+    assert run().count() == 0
+    for _ in range(4):
+        _frame(spark, [("a", 1), ("a", 1), (None, None)]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    with monkeypatch.context() as m:
+        # The batch is committed and the stream stops before it knows.
+        m.setattr(versioned, "compact", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert versioned.table(spark, root).count() == 3
+    rows = run()
+    assert rows.count() == 12 and rows.select(land.ROW).distinct().count() == 12 and rows.where("id is null").count() == 4
+    assert max(map(len, versioned.current(spark, root).files.values())) <= 2
+    assert run().count() == 12
