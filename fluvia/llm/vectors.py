@@ -131,7 +131,7 @@ def _placed(nodes: DataFrame, centres: dict[tuple[str, int], np.ndarray], thresh
     return common.staged(out, "placed")
 
 
-def robust_prune(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, block: int = 256) -> list[np.ndarray]:
+def robust_prune(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, block: int = 64) -> list[np.ndarray]:
     """Out-neighbours of each row of the unit vectors ``x``: the nearest one stays, and removes those that it is closer to by a factor of ``alpha``."""
     out = []
     pool = min(len(x) - 1, 4 * degree)
@@ -139,18 +139,20 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, bloc
         near = x[a : a + block] @ x.T
         near[np.arange(len(near)), np.arange(a, a + len(near))] = -2
         best = np.argpartition(-near, pool - 1, axis=1)[:, :pool] if pool > 0 else np.zeros((len(near), 0), int)
-        for row, candidates in zip(near, best):
-            candidates = candidates[np.argsort(-row[candidates], kind="stable")]
-            away = np.sqrt(np.maximum(0, 2 - 2 * row[candidates]))
-            between = np.sqrt(np.maximum(0, 2 - 2 * (x[candidates] @ x[candidates].T)))
-            alive, kept = np.ones(len(candidates), bool), []
-            for i in range(len(candidates)):
-                if alive[i]:
-                    kept.append(i)
-                    if len(kept) == degree:
-                        break
-                    alive &= alpha * between[i] > away
-            out.append(candidates[kept])
+        value = np.take_along_axis(near, best, 1)
+        order = np.argsort(-value, axis=1, kind="stable")
+        best = np.take_along_axis(best, order, 1)
+        away = np.maximum(0, 2 - 2 * np.take_along_axis(value, order, 1))
+        each = x[best]
+        between = alpha * alpha * np.maximum(0, 2 - 2 * (each @ each.transpose(0, 2, 1)))
+        alive, kept = np.ones(best.shape, bool), np.zeros(best.shape, bool)
+        left = np.full(len(best), degree)
+        for i in range(pool):
+            take = alive[:, i] & (left > 0)
+            kept[:, i] = take
+            left -= take
+            alive &= (between[:, i] > away) | ~take[:, None]
+        out += [row[mine] for row, mine in zip(best, kept)]
     return out
 
 
@@ -211,47 +213,76 @@ def starts(x: np.ndarray, ahead: np.ndarray, threshold: float) -> np.ndarray:
     return np.unique(out)
 
 
+def nearness(q: np.ndarray, x: np.ndarray, who: np.ndarray, to: np.ndarray, size: int = 512) -> np.ndarray:
+    """Products of the rows ``who`` of ``q`` with the rows ``to`` of ``x``, a few at a time, so that they stay in the processor's cache."""
+    out, left, right = np.empty(len(who)), np.empty((size, x.shape[1])), np.empty((size, x.shape[1]))
+    for a in range(0, len(who), size):
+        n = min(size, len(who) - a)
+        q.take(who[a : a + n], 0, left[:n], "clip")
+        x.take(to[a : a + n], 0, right[:n], "clip")
+        np.einsum("ij,ij->i", left[:n], right[:n], out=out[a : a + n])
+    return out
+
+
 def search(x: np.ndarray, ahead: np.ndarray, queries: np.ndarray, threshold: float, beam: int = BEAM, block: int = 128, wide: int = 4, own: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query number, row of ``x``) of the rows in range found from the ``starts`` on.
 
     ``ahead``: neighbours of each row, -1 where there are fewer.  Of each query the
     best nodes seen are expanded while they are in range or among the ``beam`` best.
+    A step orders those and what it newly sees, never all of ``x``.
     ``own``: the row that is the query itself, -1 where there is none.
     """
     first = starts(x, ahead, threshold)
     for a in range(0, len(queries), block):
         q = queries[a : a + block]
-        rows = np.arange(len(q))
-        near = np.full((len(q), len(x)), -2.0)
-        waiting = np.full((len(q), len(x)), -2.0)  # nearness of what is seen and not expanded
-        near[:, first] = waiting[:, first] = q @ x[first].T
+        seen = np.full((len(q), len(x)), -1, np.int32)
+        # The best seen of each query, and which of them are out of range and not expanded; those in range are all expanded.
+        value = np.full((len(q), min(beam, len(x))), -2.0)
+        which, waiting = np.zeros(value.shape, int), np.zeros(value.shape, bool)
+        who, to = np.repeat(np.arange(len(q)), len(first)), np.tile(first, len(q))
         if own is not None:
             known = np.flatnonzero(own[a : a + block] >= 0)
-            itself = own[a : a + block][known]
-            near[known, itself] = waiting[known, itself] = np.einsum("ij,ij->i", q[known], x[itself])
-        size = min(beam, len(x)) - 1
-        active = rows
-        while len(active):
-            limit = np.minimum(threshold, np.partition(near[active], -1 - size, axis=1)[:, -1 - size])
-            w = min(wide, len(x))
-            pick = np.argpartition(-waiting[active], w - 1, axis=1)[:, :w]
-            value = np.take_along_axis(waiting[active], pick, 1)
-            fine = (value >= limit[:, None]) & (value > -2)
-            go = fine.any(1)
-            active, pick, fine = active[go], pick[go], fine[go]
-            if not len(active):
-                break
-            who, which = active[np.nonzero(fine)[0]], pick[fine]
-            waiting[who, which] = -2
-            to = ahead[which]
-            who, to = np.repeat(who, to.shape[1])[to.ravel() >= 0], to.ravel()[to.ravel() >= 0]
-            fresh = near[who, to] == -2
+            who, to = np.r_[who, known], np.r_[to, own[a : a + block][known]]
+            order = np.argsort(who, kind="stable")
+            who, to = who[order], to[order]
+        while True:
+            # ``who`` ascends; a node that several of the expanded ones name counts once.
+            fresh = seen[who, to] < 0
+            who, to = who[fresh], to[fresh]
+            number = np.arange(len(who), dtype=np.int32)
+            seen[who, to] = number
+            fresh = seen[who, to] == number
             who, to = who[fresh], to[fresh]
-            value = np.einsum("ij,ij->i", q[who], x[to])
-            near[who, to] = value
-            waiting[who, to] = value
-        hit, row = np.nonzero(near >= threshold)
-        yield hit + a, row
+            near = nearness(q, x, who, to)
+            inside = near >= threshold
+            at, hit = who[inside], to[inside]
+            yield at + a, hit
+            better = near > value.min(1)[who]
+            who, to, near, inside = who[better], to[better], near[better], inside[better]
+            if len(who):
+                rows, begin, count = np.unique(who, return_index=True, return_counts=True)
+                column = value.shape[1] + np.arange(len(who)) - np.repeat(begin, count)
+                line = np.repeat(np.arange(len(rows)), count)
+                more = ((0, 0), (0, count.max()))
+                all_value = np.pad(value[rows], more, constant_values=-2.0)
+                all_which, all_waiting = np.pad(which[rows], more), np.pad(waiting[rows], more)
+                all_value[line, column], all_which[line, column], all_waiting[line, column] = near, to, ~inside
+                best = np.argpartition(-all_value, value.shape[1] - 1, axis=1)[:, : value.shape[1]]
+                value[rows], which[rows], waiting[rows] = (np.take_along_axis(m, best, 1) for m in (all_value, all_which, all_waiting))
+            live = np.flatnonzero(waiting.any(1))
+            order = np.where(waiting[live], value[live], -3)
+            w = min(wide, value.shape[1])
+            pick = np.argpartition(-order, w - 1, axis=1)[:, :w]
+            row, column = np.nonzero(np.take_along_axis(order, pick, 1) > -3)
+            column = pick[row, column]
+            waiting[live[row], column] = False
+            at, hit = np.r_[at, live[row]], np.r_[hit, which[live[row], column]]
+            if not len(at):
+                break
+            order = np.argsort(at, kind="stable")
+            to = ahead[hit[order]]
+            there = to >= 0
+            who, to = np.repeat(at[order], there.sum(1)), to[there]
 
 
 def _searched(threshold: float):

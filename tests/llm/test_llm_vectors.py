@@ -70,3 +70,46 @@ def test_recall_counts_what_is_missing(spark):
     some = links.where(~links.a.isin(*asked) & ~links.b.isin(*asked))
     assert vectors.recall(nodes, some).first().recall == 0.0
     assert vectors.recall(nodes.limit(0), links).first().recall == 1.0
+
+
+def _shard(n, rng):
+    """Scattered unit vectors, every tenth with a near copy, and their graph as rows of -1 filled lists."""
+    x = rng.normal(size=(n, 32))
+    x[: n // 10] = x[n // 10 : 2 * (n // 10)] + rng.normal(size=(n // 10, 32)) * 0.05
+    x = x[rng.permutation(n)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lists = vectors.robust_prune(x)
+    ahead = np.full((n, max(map(len, lists))), -1)
+    for row, js in zip(ahead, lists):
+        row[: len(js)] = js
+    return x, ahead
+
+
+def test_a_step_of_a_search_orders_no_whole_shard(monkeypatch):
+    """What a search orders at a step follows the beam and the lists, whatever the shard holds; the links are those of brute force."""
+    rng = np.random.default_rng(13)
+    x, ahead = _shard(3000, rng)
+    ordered = []
+    for name in ("partition", "argpartition"):
+        monkeypatch.setattr(vectors.np, name, lambda m, *a, _f=getattr(np, name), **b: (ordered.append(m.shape[-1]), _f(m, *a, **b))[1])
+    found = [(q, r) for q, r in vectors.search(x, ahead, x[:500], vectors.THRESHOLD, own=np.arange(500))]
+    monkeypatch.undo()
+    pairs = [p for q, r in found for p in zip(q.tolist(), r.tolist())]
+    want = set(zip(*(v.tolist() for v in np.nonzero(x[:500] @ x.T >= vectors.THRESHOLD))))
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want and len(want) > 550
+    assert ordered and max(ordered) < 1000
+
+
+def test_lists_are_pruned_as_one_by_one():
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(150, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for n, degree in ((150, 5), (70, 24), (3, 24), (1, 24)):
+        part = x[:n]
+        for i, got in enumerate(vectors.robust_prune(part, degree)):
+            others = sorted((j for j in range(n) if j != i), key=lambda j: -float(part[i] @ part[j]))[: 4 * degree]
+            want = []
+            for j in others:
+                if len(want) < degree and all(vectors.ALPHA * np.linalg.norm(part[j] - part[k]) > np.linalg.norm(part[i] - part[j]) for k in want):
+                    want.append(j)
+            assert got.tolist() == want
