@@ -233,12 +233,15 @@ def search(x: np.ndarray, ahead: np.ndarray, queries: np.ndarray, threshold: flo
     ``own``: the row that is the query itself, -1 where there is none.
     """
     first = starts(x, ahead, threshold)
+    degree = (ahead >= 0).sum(1)
+    lists, begin = ahead[ahead >= 0], np.cumsum(degree) - degree
+    size = min(beam, len(x))
     for a in range(0, len(queries), block):
         q = queries[a : a + block]
-        seen = np.full((len(q), len(x)), -1, np.int32)
-        # The best seen of each query, and which of them are out of range and not expanded; those in range are all expanded.
-        value = np.full((len(q), min(beam, len(x))), -2.0)
-        which, waiting = np.zeros(value.shape, int), np.zeros(value.shape, bool)
+        seen = np.full(len(q) * len(x), -1, np.int32)
+        # The best seen of each query; in ``waits`` those that are out of range and not expanded, others as -3.  What is in range is expanded at once.
+        value, waits = np.full((len(q), size), -2.0), np.full((len(q), size), -3.0)
+        which = np.zeros((len(q), size), int)
         who, to = np.repeat(np.arange(len(q)), len(first)), np.tile(first, len(q))
         if own is not None:
             known = np.flatnonzero(own[a : a + block] >= 0)
@@ -247,42 +250,45 @@ def search(x: np.ndarray, ahead: np.ndarray, queries: np.ndarray, threshold: flo
             who, to = who[order], to[order]
         while True:
             # ``who`` ascends; a node that several of the expanded ones name counts once.
-            fresh = seen[who, to] < 0
-            who, to = who[fresh], to[fresh]
-            number = np.arange(len(who), dtype=np.int32)
-            seen[who, to] = number
-            fresh = seen[who, to] == number
-            who, to = who[fresh], to[fresh]
+            place = who * len(x) + to
+            fresh = np.flatnonzero(seen.take(place) < 0)
+            place = place.take(fresh)
+            number = np.arange(len(place), dtype=np.int32)
+            seen[place] = number
+            fresh = fresh.take(np.flatnonzero(seen.take(place) == number))
+            who, to = who.take(fresh), to.take(fresh)
             near = nearness(q, x, who, to)
-            inside = near >= threshold
-            at, hit = who[inside], to[inside]
+            inside = np.flatnonzero(near >= threshold)
+            at, hit = who.take(inside), to.take(inside)
             yield at + a, hit
-            better = near > value.min(1)[who]
-            who, to, near, inside = who[better], to[better], near[better], inside[better]
-            if len(who):
-                rows, begin, count = np.unique(who, return_index=True, return_counts=True)
-                column = value.shape[1] + np.arange(len(who)) - np.repeat(begin, count)
-                line = np.repeat(np.arange(len(rows)), count)
-                more = ((0, 0), (0, count.max()))
-                all_value = np.pad(value[rows], more, constant_values=-2.0)
-                all_which, all_waiting = np.pad(which[rows], more), np.pad(waiting[rows], more)
-                all_value[line, column], all_which[line, column], all_waiting[line, column] = near, to, ~inside
-                best = np.argpartition(-all_value, value.shape[1] - 1, axis=1)[:, : value.shape[1]]
-                value[rows], which[rows], waiting[rows] = (np.take_along_axis(m, best, 1) for m in (all_value, all_which, all_waiting))
-            live = np.flatnonzero(waiting.any(1))
-            order = np.where(waiting[live], value[live], -3)
-            w = min(wide, value.shape[1])
-            pick = np.argpartition(-order, w - 1, axis=1)[:, :w]
-            row, column = np.nonzero(np.take_along_axis(order, pick, 1) > -3)
-            column = pick[row, column]
-            waiting[live[row], column] = False
-            at, hit = np.r_[at, live[row]], np.r_[hit, which[live[row], column]]
+            better = np.flatnonzero(near > value.min(1).take(who))
+            if len(better):
+                who, to, near = who.take(better), to.take(better), near.take(better)
+                starts_at = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+                rows, count = who.take(starts_at), np.diff(np.r_[starts_at, len(who)])
+                width = size + count.max()
+                spot = np.repeat(np.arange(len(rows)) * width + size - starts_at, count) + np.arange(len(who))
+                merged = []
+                for held, more, none in ((value, near, -2.0), (waits, np.where(near < threshold, near, -3), -3.0), (which, to, 0)):
+                    both = np.full((len(rows), width), none, held.dtype)
+                    both[:, :size] = held[rows]
+                    both.ravel()[spot] = more
+                    merged.append(both)
+                best = np.argpartition(merged[0], width - size, axis=1)[:, width - size :] + np.arange(len(rows))[:, None] * width
+                value[rows], waits[rows], which[rows] = (m.ravel().take(best) for m in merged)
+            live = np.flatnonzero(waits.max(1) > -3)
+            w = min(wide, size)
+            pick = np.argpartition(waits[live], size - w, axis=1)[:, size - w :] + live[:, None] * size
+            pick = pick[waits.ravel().take(pick) > -3]
+            waits.ravel()[pick] = -3
+            at, hit = np.r_[at, pick // size], np.r_[hit, which.ravel().take(pick)]
             if not len(at):
                 break
             order = np.argsort(at, kind="stable")
-            to = ahead[hit[order]]
-            there = to >= 0
-            who, to = np.repeat(at[order], there.sum(1)), to[there]
+            at, hit = at.take(order), hit.take(order)
+            count = degree.take(hit)
+            who = np.repeat(at, count)
+            to = lists.take(np.repeat(begin.take(hit) - np.cumsum(count) + count, count) + np.arange(len(who)))
 
 
 def _searched(threshold: float):
