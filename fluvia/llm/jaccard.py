@@ -502,8 +502,13 @@ def _with_main(rows: DataFrame) -> DataFrame:
     return looked_up(rows, held, "key", "m", rows.count()).withColumn("main", F.col("root") == F.col("main"))
 
 
-def _between_few(parts: DataFrame, short: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes with different roots that share one of ``parts`` (key, node, root, main) and may be similar; few of a part's nodes are not ``main``, and these look for partners."""
+def _between(parts: DataFrame, short: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with different roots that share one of ``parts`` (key, node, root) and may be similar; those that are not ``main`` look for partners, so few of a part should not be.
+
+    ``main`` is found where ``parts`` come without it.
+    """
+    if "main" not in parts.columns:
+        parts = _with_main(parts).drop("others")
     lows = parts.groupBy("node").agg(*[F.min(F.when(F.pmod("key", F.lit(CLASSES)) == i, F.col("key"))).alias(k) for i, k in enumerate(_LOWS)])
     each = common.staged(parts.join(short, "node").join(lows, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(_BAND)).cast("int")), "between")
     near = F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))
@@ -557,7 +562,7 @@ def linked(df: DataFrame, sets: DataFrame, nodes: DataFrame, clashes: Set[bytes]
     holds = shared.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("node")).distinct()
     holds = holds.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     parts = common.staged(_with_main(open_parts(holds)), "main-parts")
-    more = _similar(df, _between_few(parts.where(F.col("others") <= FEW).drop("others"), short), nodes, clashes)
+    more = _similar(df, _between(parts.where(F.col("others") <= FEW).drop("others"), short), nodes, clashes)
     crowd = common.staged(parts.where(F.col("others") > FEW).select("node", "root").distinct(), "crowd")
     if not crowd.isEmpty():
         held = common.staged(_shingles_of(df, crowd.select("node"), nodes, clashes), "crowd-shingles")
