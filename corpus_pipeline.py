@@ -15,6 +15,7 @@ from fluvia.llm import common, jaccard, mixing, packing, pii, rules
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised rules keep."""
+    common.small_reads(spark)
     return rules.kept_rows(docs)
 
 

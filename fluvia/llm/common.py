@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch that goes to a Python worker.
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+#: Rows that a Parquet reader decodes at once where they hold whole texts.
+READ_ROWS = 512
 
 
 @functools.cache
@@ -66,6 +68,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def small_reads(spark: SparkSession) -> None:
+    """Bound what a Parquet reader decodes at once: whole texts by the thousand (Spark's 4,096) take tens of MB a task, grown by doubling."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
+
+
 def quoted(name: str) -> str:
     """A column's name as ``F.col`` takes it, dots and dashes included."""
     return "`" + name.replace("`", "``") + "`"

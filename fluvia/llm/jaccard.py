@@ -56,7 +56,9 @@ from .components import components
 
 WORDS = 5
 #: Bytes of text hashed at once; entries kept by a task before it hands them on; entries for each bucket.
-CHUNK_BYTES, HELD, BUCKET = 1 << 20, 1_000_000, 500_000
+CHUNK_BYTES, HELD, BUCKET = 1 << 18, 1_000_000, 500_000
+#: Entries are handed on in so many slices by bucket, as sorting and grouping take several times their room.
+SLICES = 8
 #: Ids of nodes that are broadcast at most; beyond that the join is left to Spark.
 BROADCAST_NODES = 1_000_000
 #: Nodes with more than this share of the rows are broadcast with their components; there are fewer than so many.
@@ -232,18 +234,29 @@ def part_keys(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 def _bodies(df: DataFrame) -> DataFrame:
     common.small_batches(df.sparkSession)
+    common.small_reads(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
 
 
+def often_held(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that stand ``OFTEN`` times or more in ``held``, sorted, and how often.  ``held`` is emptied."""
+    value = np.concatenate(held)
+    held.clear()
+    value.sort()
+    # One that stands n times is OFTEN - 1 places ahead of itself in n - OFTEN + 1 places.
+    often, n = np.unique(value[: -OFTEN + 1][value[OFTEN - 1 :] == value[: -OFTEN + 1]], return_counts=True)
+    return often, n + OFTEN - 1
+
+
 def with_sets(df: DataFrame, clashes: Set[bytes] = frozenset()) -> DataFrame:
     """doc_id, n_shingles, node and its 128 bits, number of keys and sketches of every row; ``often``, on some rows: shingles often seen by a task and how often."""
     often = pa.list_(pa.struct([("shingle", pa.int64()), ("n", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("own", pa.binary()), ("n_keys", pa.int64()), ("short", pa.list_(pa.int64())), ("sketch", pa.binary()), ("often", often)])
 
-    def counted(held: list[np.ndarray]) -> list[dict]:
-        value, n = np.unique(np.concatenate(held), return_counts=True)
-        value, n = value[n >= OFTEN].view(np.int64), n[n >= OFTEN]
-        return [{"shingle": a, "n": b} for a, b in zip(value.tolist(), n.tolist())]
+    def counted(held: list[np.ndarray], rows: int) -> pa.Array:
+        value, n = often_held(held)
+        each = pa.StructArray.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], fields=list(often.value_type))
+        return pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(each)], pa.int32()), each, type=often), pa.nulls(rows - 1, often)])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -259,11 +272,11 @@ def with_sets(df: DataFrame, clashes: Set[bytes] = frozenset()) -> DataFrame:
             held += each
             n += sum(map(len, each))
             if n >= HELD:
-                waiting[-1] = pa.array([counted(held), *[None] * (len(rows) - 1)], often)
-                held, n = [], 0
+                waiting[-1] = counted(held, len(rows))
+                n = 0
         if waiting:
             if held:
-                waiting[-1] = pa.array([counted(held) + (waiting[-1][0].as_py() or []), *[None] * (len(waiting[0]) - 1)], often)
+                waiting[-1] = counted(held, len(waiting[0]))
             yield pa.RecordBatch.from_arrays(waiting, schema=schema)
 
     return _bodies(df).mapInArrow(sets, "doc_id long, n_shingles long, node long, own binary, n_keys long, short array<long>, sketch binary, often array<struct<shingle: bigint, n: bigint>>")
@@ -283,7 +296,7 @@ def shared_parts(df: DataFrame, n_buckets: int, frequent: np.ndarray, clashes: S
     """(kind, x, y): kind 1, node y holds key x, which another node holds too; kind 2, nodes x < y share a key and x is the smallest known to hold it."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, int]] = []
         n, seen = 0, set()
         for batch in batches:
             for shingles in shingle_sets(batch.column(1)):
@@ -292,34 +305,27 @@ def shared_parts(df: DataFrame, n_buckets: int, frequent: np.ndarray, clashes: S
                     continue
                 seen.add(own)
                 key = part_keys(shingles, frequent)
-                held.append((key, np.full(len(key), node_of(own, clashes), np.int64)))
+                held.append((key, node_of(own, clashes)))
                 n += len(key)
                 if n >= HELD:
                     yield from _handed_on(held, n_buckets)
-                    held, n, seen = [], 0, set()
+                    n, seen = 0, set()
         yield from _handed_on(held, n_buckets)
 
     def meet(_: tuple, group: pa.Table) -> pa.Table:
-        kind = group.column("kind").to_numpy()
-        blobs = group.column("blob").to_pylist()
-        x, y, kinds = [], [], []
-        for k, blob in zip(kind, blobs):
-            if k:
-                pair = np.frombuffer(blob, "<i8").reshape(2, -1)
-                x, y, kinds = [*x, pair[0]], [*y, pair[1]], [*kinds, np.full(pair.shape[1], k, np.int8)]
-        entries = np.concatenate([np.frombuffer(b, _PACKED) for k, b in zip(kind, blobs) if not k] or [np.zeros(0, _PACKED)])
+        blobs: dict[int, list[np.ndarray]] = {0: [], 1: [], 2: []}
+        for kind, blob in zip(group.column("kind").to_pylist(), group.column("blob")):
+            blobs[kind].append(np.frombuffer(blob.as_buffer(), "<i8").reshape(2, -1) if kind else np.frombuffer(blob.as_buffer(), _PACKED))
+        entries = np.concatenate(blobs.pop(0) or [np.zeros(0, _PACKED)])
         entries = entries[np.lexsort((entries["node"], entries["key"]))]
         _, several, smallest = _groups(entries["key"], entries["node"])
         entries, smallest = entries[several], smallest[several]
         new = entries["shared"] == 0
         star = entries["node"] != smallest
-        x += [entries["key"][new].view("<i8"), smallest[star]]
-        y += [entries["node"][new], entries["node"][star]]
-        kinds += [np.full(int(new.sum()), 1, np.int8), np.full(int(star.sum()), 2, np.int8)]
-        x, y, kinds = np.concatenate(x), np.concatenate(y), np.concatenate(kinds)
-        links = kinds == 2
-        pairs = np.unique(np.column_stack([x[links], y[links]]), axis=0)
-        return pa.table({"kind": pa.array(np.concatenate([kinds[~links], np.full(len(pairs), 2, np.int8)])), "x": pa.array(np.concatenate([x[~links], pairs[:, 0]])), "y": pa.array(np.concatenate([y[~links], pairs[:, 1]]))})
+        key, holder = (np.concatenate([*(pair[i] for pair in blobs[1]), more]) for i, more in enumerate((entries["key"][new].view("<i8"), entries["node"][new])))
+        low, node = _distinct(*(np.concatenate([*(pair[i] for pair in blobs[2]), more]) for i, more in enumerate((smallest[star], entries["node"][star]))))
+        kinds = np.repeat(np.array([1, 2], np.int8), [len(key), len(low)])
+        return pa.table({"kind": pa.array(kinds), "x": pa.array(np.concatenate([key, low])), "y": pa.array(np.concatenate([holder, node]))})
 
     rows = _bodies(df).mapInArrow(keys, "bucket int, kind int, blob binary")
     return rows.groupBy("bucket").applyInArrow(meet, "kind byte, x long, y long")
@@ -336,42 +342,52 @@ def _groups(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, np.repeat(smallest != largest, size), np.repeat(smallest, size)
 
 
-def _handed_on(held: list[tuple[np.ndarray, np.ndarray]], n_buckets: int) -> Iterator[pa.RecordBatch]:
-    """Entries by bucket.  Of a key that several of them hold, one goes on and the others are told at once, so that a key has an entry for each task at most.
+def _distinct(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of ``x`` and ``y``, sorted."""
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    return x[new], y[new]
+
+
+def _handed_on(held: list[tuple[np.ndarray, int]], n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries by bucket, from the keys of each node; ``held`` is emptied.  Of a key that several of them hold, one goes on and the others are told at once, so that a key has an entry for each task at most.
 
     What is told meets nothing more and is dealt by its node, so that a key of very many nodes fills no bucket.
     """
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
     if not held:
         return
-    key, node = np.concatenate([k for k, _ in held]), np.concatenate([v for _, v in held])
+    every, of = np.concatenate([k for k, _ in held]), np.repeat(np.array([v for _, v in held], np.int64), [len(k) for k, _ in held])
     held.clear()
-    if not len(key):
-        return
-    order = np.lexsort((node, key))
-    key, node = key[order], node[order]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-    key, node = key[new], node[new]
-    first, several, smallest = _groups(key, node)
-    go = first | ~several
-    entries = np.empty(int(go.sum()), _PACKED)
-    entries["key"], entries["node"], entries["shared"] = key[go], node[go], several[go]
-    star = several & (node != smallest)
-    pairs = np.unique(np.column_stack([smallest[star], node[star]]), axis=0) if star.any() else np.zeros((0, 2), np.int64)
-    told = (key[several], node[several].view("<u8"))
-    rows: list[tuple[int, int, bytes]] = []
-    for kind, parts, bucket in (
-        (0, entries, entries["key"] % _U(n_buckets)),
-        (1, np.column_stack(told), told[1] % _U(n_buckets)),
-        (2, pairs.view("<u8"), pairs[:, 1].view("<u8") % _U(n_buckets)),
-    ):
-        order = np.argsort(bucket, kind="stable")
-        parts, bucket = parts[order], bucket[order]
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-        for a, b in zip(cuts, [*cuts[1:], len(bucket)] if len(bucket) else []):
-            part = parts[a:b]
-            rows.append((int(bucket[a]), kind, part.tobytes() if kind == 0 else np.ascontiguousarray(part.T).tobytes()))
-    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
-    yield from common.record_batches(rows, schema, 64)
+    part = (every % _U(n_buckets) % _U(SLICES)).astype(np.uint8)
+    told: list[tuple[np.ndarray, np.ndarray]] = []
+    stars: list[tuple[np.ndarray, np.ndarray]] = []
+    for at in range(min(SLICES, n_buckets)):
+        key, node = _distinct(every[part == at], of[part == at])
+        first, several, smallest = _groups(key, node)
+        go = first | ~several
+        entries = np.empty(int(go.sum()), _PACKED)
+        entries["key"], entries["node"], entries["shared"] = key[go], node[go], several[go]
+        yield from common.record_batches(_blobs(0, entries, entries["key"] % _U(n_buckets)), schema, 64)
+        told.append((key[several], node[several]))
+        star = several & (node != smallest)
+        stars.append(_distinct(smallest[star], node[star]))
+    del every, of, part
+    key, holder = (np.concatenate(c) for c in zip(*told))
+    yield from common.record_batches(_blobs(1, np.column_stack((key.view("<i8"), holder)), holder.view("<u8") % _U(n_buckets)), schema, 64)
+    low, node = _distinct(*(np.concatenate(c) for c in zip(*stars)))
+    yield from common.record_batches(_blobs(2, np.column_stack((low, node)), node.view("<u8") % _U(n_buckets)), schema, 64)
+
+
+def _blobs(kind: int, parts: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, kind, blob): the ``parts`` of each bucket; of pairs, first all of one side."""
+    order = np.argsort(bucket, kind="stable")
+    parts, bucket = parts[order], bucket[order]
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+    for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+        yield int(bucket[a]), kind, (np.ascontiguousarray(parts[a:b].T) if kind else parts[a:b]).tobytes()
 
 
 def _shingles_of(df: DataFrame, wanted: DataFrame, nodes: DataFrame, clashes: Set[bytes]) -> DataFrame:
