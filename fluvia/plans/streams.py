@@ -39,7 +39,7 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = 3
 
 
-def _accepted(spark: SparkSession, df: DataFrame, rule: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def _accepted(spark: SparkSession, df: DataFrame, rule: Callable[[DataFrame], DataFrame | keyed.Kept], name: str) -> DataFrame:
     """What ``rule`` gives of deliveries (``ts``) that come slice by slice, the stream stopped and started again between.
 
     A row later than all, of no subscription, comes last: it moves the watermark past all others.

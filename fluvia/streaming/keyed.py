@@ -1,33 +1,45 @@
 """Deliveries by keyed state: acceptance in the order of event time, whatever the micro-batches.
 
-Every key keeps the deliveries that the watermark has not passed, by their
-millisecond, with a timer for each; timers go off in order of time, so a rule sees a key's
-deliveries in order without sorting a batch.  State is kept in RocksDB, holds ids
+A rule's state are tables beside what it gives, written in the same job: deliveries
+that the watermark has not passed, and for each key what still holds (the accepted
+delivery, the open window).  A micro-batch takes the deliveries that the watermark has passed by now,
+sorted by key and time in Spark, behind what holds for their key.  State holds ids
 and times alone (no bodies), and goes when a rule's time is over.  What comes later
-than the watermark allows is dropped by Spark.
+than the watermark allows is dropped, as Spark's own windows have it.
 """
 
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # How long an accepted delivery is remembered, how long a window stays open, deliveries of a minute.
 DEDUPE_S, WINDOW_S, PER_MINUTE = 600, 30, 120
 
+#: What a batch writes, by folder: what the rule gives; deliveries before the watermark; what holds for the next batch; the watermark.
+BATCH, PART, GIVEN, WAITING, HOLDING, MARK = "_batch", "_part", 0, 1, 2, 3
+#: Of the rows of all of these: microseconds, the id as a text, and what the rule says of it.
+_AT, _ID, _SAYS = "_at", "_id", "_says"
+#: Whether a row is what holds for its key, not a delivery.
+_HELD = "_held"
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: Deliveries of a batch that are held before they go into the state.
-_HELD = 1000
+_MOST_HELD = 1000
 
 
 @contextlib.contextmanager
 def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB; the session is left as it was."""
+    """Queries started inside keep Spark's own state, where they have any, in RocksDB; the session is left as it was."""
     before = spark.conf.get(_PROVIDER, None)
     spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
@@ -36,6 +48,123 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
 
 
+@dataclass(frozen=True)
+class Kept:
+    """A stream under a rule; ``landing.drained`` runs it.
+
+    ``judged``: rows of ``key``, time and id, those that hold among them, with what the rule says of each.  ``parts``: where
+    such a row goes when the watermark (microseconds) stands there.  ``shown``: the columns that the rule gives.  ``always``: what is
+    accepted whenever it comes.
+    """
+
+    stream: DataFrame
+    ts: str
+    late: str
+    key: tuple[str, ...]
+    judged: Callable[[DataFrame], DataFrame]
+    parts: Callable[[int], Column]
+    shown: Sequence[Column]
+    always: str = "false"
+
+    def drained(self, path: str) -> DataFrame:
+        """Run the rule on each micro-batch until the source has no more, and read what all of them gave (with ``_batch``)."""
+        run = self.stream.writeStream.foreachBatch(lambda batch, number: self._write(batch, number, f"{path}/data"))
+        run.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        given = self._read(self.stream.sparkSession, f"{path}/data", f"{BATCH} int").where(F.col(PART) == GIVEN)
+        return given.select(*self.shown, BATCH)
+
+    def _read(self, spark: SparkSession, path: str, *more: str) -> DataFrame:
+        keys = [f"`{k}` {self.stream.schema[k].dataType.simpleString()}" for k in self.key]
+        return spark.read.schema(", ".join([*keys, f"{_ID} string, {_AT} long, {_SAYS} boolean, {PART} int", *more])).parquet(path)
+
+    def _write(self, batch: DataFrame, number: int, data: str) -> None:
+        """One job writes what the rule gives and the state behind it, so that a batch that runs again after a failure replaces both."""
+        spark = batch.sparkSession
+        timed = batch.where(F.col(self.ts).isNotNull())
+        newest = timed.agg((F.unix_millis(F.max(self.ts) - F.expr(f"interval {self.late}")) * 1000).alias("at")).first().at
+        every = timed.select(*self.key, _ID, F.unix_micros(self.ts).alias(_AT), F.lit(None).cast("boolean").alias(_SAYS), F.lit(False).alias(_HELD))
+        rows, mark = every.where(f"not ({self.always})"), newest
+        if number:
+            before = self._read(spark, f"{data}/{BATCH}={number - 1}")
+            last = before.where(F.col(PART) == MARK).first()[_AT]
+            if last is not None:
+                mark = last if newest is None else max(last, newest)
+                rows = rows.where(F.col(_AT) > last)
+            state = before.where(F.col(PART).isin(WAITING, HOLDING))
+            rows = rows.unionByName(state.select(*self.key, _ID, _AT, _SAYS, (F.col(PART) == HOLDING).alias(_HELD)))
+            # The batch before is done, so the state that it began with is not read again.
+            _forget(spark, [f"{data}/{BATCH}={number - 2}/{PART}={part}" for part in (WAITING, HOLDING)])
+        columns = [*self.key, _ID, _AT, _SAYS]
+        passed = F.col(_HELD) | (F.col(_AT) <= F.lit(mark)) if mark is not None else F.lit(False)
+        ready = self.judged(rows.where(passed)).select(*columns, F.explode(self.parts(mark or 0)).alias(PART))
+        free = every.where(self.always).withColumn(_SAYS, F.lit(True)).select(*columns, F.lit(GIVEN).alias(PART))
+        waiting = rows.where(~passed).select(*columns, F.lit(WAITING).alias(PART))
+        noted = spark.range(1, numPartitions=1).select(*[F.lit(mark if c == _AT else None).cast(ready.schema[c].dataType).alias(c) for c in columns], F.lit(MARK).alias(PART))
+        ready.unionByName(free).unionByName(waiting).unionByName(noted).write.mode("overwrite").partitionBy(PART).parquet(f"{data}/{BATCH}={number}")
+
+
+def _forget(spark: SparkSession, paths: Sequence[str]) -> None:
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _fresh(rows: pa.RecordBatch, key: Sequence[str], within: int) -> np.ndarray:
+    """The places of those that nothing holds for: a key's first, and then the first that is ``within`` or more behind the last of them."""
+    begins = np.zeros(rows.num_rows, bool)
+    begins[:1] = True
+    for name in key:
+        codes = rows.column(name).dictionary_encode("encode").indices.to_numpy()
+        begins[1:] |= codes[1:] != codes[:-1]
+    places, last = [], 0
+    for k, (new, at) in enumerate(zip(begins.tolist(), rows.column(_AT).to_pylist())):
+        if new or at - last >= within:
+            places.append(k)
+            last = at
+    return np.array(places)
+
+
+def _saying(rows: pa.RecordBatch, says: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(says) if f.name == _SAYS else rows.column(f.name) for f in rows.schema], schema=rows.schema)
+
+
+def _accepted(batches: Iterator[pa.RecordBatch], key: Sequence[str], within: int) -> Iterator[pa.RecordBatch]:
+    """Every row, with whether it is accepted.  The last one accepted goes ahead of the next batch."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if last is None else pa.concat_batches([last, batch])
+        fresh = _fresh(rows, key, within)
+        says = np.zeros(rows.num_rows, bool)
+        says[fresh] = True
+        yield _saying(rows, says).slice(rows.num_rows - batch.num_rows)
+        last = rows.slice(fresh[-1], 1)
+
+
+def _windows(batches: Iterator[pa.RecordBatch], key: Sequence[str], within: int) -> Iterator[pa.RecordBatch]:
+    """A row for each window, that of its first delivery, with whether others came.  The last one, which may go on, goes ahead of the next batch."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if last is None else pa.concat_batches([last, batch])
+        fresh = _fresh(rows, key, within)
+        more = np.diff(np.append(fresh, rows.num_rows)) > 1
+        was = rows.column(_SAYS).take(pa.array(fresh)).fill_null(False).to_numpy(zero_copy_only=False)
+        opened = _saying(rows.take(pa.array(fresh)), more | was)
+        yield opened.slice(0, len(fresh) - 1)
+        last = opened.slice(len(fresh) - 1)
+    if last is not None:
+        yield last
+
+
+def _in_order(rows: DataFrame, key: Sequence[str], fold: Callable[..., Iterator[pa.RecordBatch]], within: int) -> DataFrame:
+    """``fold`` over the rows of each key in order of their time: what holds, then deliveries, those of one time by id.  A task holds a batch of Arrow's, not a key."""
+    dealt = rows.repartition(*key).sortWithinPartitions(*key, _AT, F.desc(_HELD), F.asc_nulls_last(_ID))
+    return dealt.mapInArrow(functools.partial(fold, key=list(key), within=within), rows.schema)
+
+
 class _InOrder(StatefulProcessor):
     """Hands a key's deliveries (at: microseconds, id) in order to ``taken``."""
 
@@ -49,7 +178,7 @@ class _InOrder(StatefulProcessor):
         for row in rows:
             held.setdefault(row["_at"] // 1000, []).append((row["_at"], row["_id"]))
             n += 1
-            if n % _HELD == 0:
+            if n % _MOST_HELD == 0:
                 self._keep(held)
                 held = {}
         self._keep(held)
@@ -132,45 +261,21 @@ class _Limited(_InOrder):
         yield Row(subscription=key[0], id=name, at=at, accepted=n <= self.most)
 
 
-class _Debounced(_InOrder):
-    """The first delivery of a key opens a window, the others in it mark it dirty; a window is given when it has ended."""
+def _timed(df: DataFrame, tie: str) -> DataFrame:
+    return df.withColumn(_ID, F.col(tie).cast("string"))
 
-    def __init__(self, within: int) -> None:
-        self.within = within
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.open = handle.getValueState("open", "at long, dirty boolean")
-
-    def _keep(self, held: dict[int, list[tuple[int, str]]]) -> None:
-        super()._keep(held)
-        # Timers set while timers go off wait for the next batch: the end of a window that a delivery may open is set with it.
-        for at in {at for rows in held.values() for at, _ in rows}:
-            self.handle.registerTimer((at + self.within) // 1000 + 1)
+def _each(until: Column) -> Callable[[int], Column]:
+    """Deliveries are given at once; those that were accepted hold ``until`` then."""
+    given = F.when(~F.col(_HELD), F.lit(GIVEN))
+    return lambda mark: F.array_compact(F.array(given, F.when(F.col(_SAYS) & (until > F.lit(mark)), F.lit(HOLDING))))
 
-    def _ended(self, key: Any, at: int) -> Iterator[Row]:
-        have = self.open.get()
-        if have:
-            opened, dirty = have
-            if opened + self.within <= at:
-                self.open.clear()
-                yield Row(key=key[0], opened=opened, runs_at=opened + self.within, dirty=dirty)
 
-    def passed(self, key: Any, ms: int) -> Iterator[Row]:
-        yield from self._ended(key, ms * 1000)
-
-    def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
-        yield from self._ended(key, at)
-        have = self.open.get()
-        if have:
-            opened, dirty = have
-            if not dirty:
-                self.open.update((opened, True))
-        else:
-            self.open.update((at, False))
+def _told(key: str) -> list[Column]:
+    return [F.col(key), F.col(_ID).alias("id"), F.timestamp_micros(_AT).alias("at"), F.col(_SAYS).alias("accepted")]
 
 
-def _timed(df: DataFrame, ts: str, tie: str, late: str) -> DataFrame:
+def _timed_late(df: DataFrame, ts: str, tie: str, late: str) -> DataFrame:
     """A row without a time has no place in an order: it stays out, as Spark's own windows have it."""
     return df.where(F.col(ts).isNotNull()).withWatermark(ts, late).withColumns({"_at": F.unix_micros(ts), "_id": F.col(tie).cast("string")})
 
@@ -184,7 +289,7 @@ def once(df: DataFrame, ts: str = "ts", tie: str = "id", seconds: int = DEDUPE_S
 
     A delivery without a fingerprint is always accepted.  Of deliveries of one time the lowest id (``tie``, as a text) comes first.
     """
-    timed = _timed(df, ts, tie, late)
+    timed = _timed_late(df, ts, tie, late)
     keyed = timed.where("fingerprint is not null").groupBy("subscription", "fingerprint")
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     out = keyed.transformWithState(_Once(seconds * 1_000_000), f"subscription {kinds['subscription']}, fingerprint string, id string, at long, accepted boolean", "append", "eventTime")
@@ -197,17 +302,20 @@ def within_limit(df: DataFrame, ts: str = "ts", tie: str = "id", most: int = PER
 
     State is by subscription and minute, so that a busy subscription is many keys.
     """
-    timed = _timed(df, ts, tie, late).withColumn("_minute", F.expr("_at div 60000000"))
+    timed = _timed_late(df, ts, tie, late).withColumn("_minute", F.expr("_at div 60000000"))
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     out = timed.groupBy("subscription", "_minute").transformWithState(_Limited(most), f"subscription {kinds['subscription']}, id string, at long, accepted boolean", "append", "eventTime")
     return _times(out, "at")
 
 
-def debounced(df: DataFrame, key: str = "key", ts: str = "ts", tie: str = "id", seconds: int = WINDOW_S, late: str = "10 minutes") -> DataFrame:
+def debounced(df: DataFrame, key: str = "key", ts: str = "ts", tie: str = "id", seconds: int = WINDOW_S, late: str = "10 minutes") -> Kept:
     """(key, opened, runs_at, dirty): the first delivery opens a window of ``seconds``, the others in it only mark it dirty.
 
     A window is given once the watermark has passed its end.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    out = _timed(df, ts, tie, late).groupBy(key).transformWithState(_Debounced(seconds * 1_000_000), f"key {kinds[key]}, opened long, runs_at long, dirty boolean", "append", "eventTime")
-    return _times(out, "opened", "runs_at")
+    within = seconds * 1_000_000
+    end = F.col(_AT) + F.lit(within)
+    return Kept(
+        _timed(df, tie), ts, late, (key,), lambda rows: _in_order(rows, [key], _windows, within), lambda mark: F.array(F.when(end > F.lit(mark), F.lit(HOLDING)).otherwise(F.lit(GIVEN))),
+        [F.col(key).alias("key"), F.timestamp_micros(_AT).alias("opened"), F.timestamp_micros(end).alias("runs_at"), F.col(_SAYS).alias("dirty")],
+    )

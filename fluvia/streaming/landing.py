@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from ..functions.mapping import Cell
 from ..operators import dispatch, land, project
 from ..sources import versioned
+from . import keyed
 
-BATCH = "_batch"
+BATCH = keyed.BATCH
 
 
-def drained(stream: DataFrame, path: str, step: Callable[[DataFrame], DataFrame] = lambda b: b, mode: str = "append") -> DataFrame:
-    """Run ``step`` on each micro-batch until the source has no more, and read what they wrote (with ``_batch``)."""
+def drained(stream: DataFrame | keyed.Kept, path: str, step: Callable[[DataFrame], DataFrame] = lambda b: b, mode: str = "append") -> DataFrame:
+    """Run ``step`` on each micro-batch until the source has no more, and read what they wrote (with ``_batch``).
+
+    A stream under a rule of ``keyed`` is run as the rule has it.
+    """
+    if isinstance(stream, keyed.Kept):
+        return stream.drained(path)
 
     def write(batch: DataFrame, number: int) -> None:
         out = step(batch)
