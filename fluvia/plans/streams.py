@@ -83,7 +83,7 @@ UNION ALL SELECT user_id, event_id, true FROM d WHERE event_type IS NULL OR even
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A body of a subscription is accepted, then not again for ten minutes, then again."""
     out = _accepted(spark, _quick(spark, sf_dir), lambda s: keyed.once(deliveries.fingerprinted(s)), "dedupe")
-    return out.where("id is not null").select(F.col("subscription").alias("user_id"), F.col("id").cast("long").alias("event_id"), "accepted")
+    return out.where("subscription is not null").select(F.col("subscription").alias("user_id"), F.col("id").cast("long").alias("event_id"), "accepted")
 
 
 @query(f"""

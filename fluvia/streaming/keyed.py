@@ -211,32 +211,6 @@ class _InOrder(StatefulProcessor):
         pass
 
 
-class _Once(_InOrder):
-    """Accepts a key's delivery unless one was accepted less than ``within`` before; the state goes with the time."""
-
-    def __init__(self, within: int) -> None:
-        self.within = within
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", "at long")
-
-    def passed(self, key: Any, ms: int) -> Iterator[Row]:
-        last = self.last.get()
-        if last and last[0] + self.within <= ms * 1000:
-            self.last.clear()
-        yield from ()
-
-    def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
-        last = self.last.get()
-        fresh = not last or at - last[0] >= self.within
-        if fresh:
-            self.last.update((at,))
-            # A millisecond later than the end at the earliest, so that nothing is forgotten too early.
-            self.handle.registerTimer((at + self.within) // 1000 + 1)
-        yield Row(subscription=key[0], fingerprint=key[1], id=name, at=at, accepted=fresh)
-
-
 class _Limited(_InOrder):
     """Accepts the first ``most`` deliveries of a key; a key is a subscription's minute, so its state goes when the minute is over."""
 
@@ -275,6 +249,19 @@ def _told(key: str) -> list[Column]:
     return [F.col(key), F.col(_ID).alias("id"), F.timestamp_micros(_AT).alias("at"), F.col(_SAYS).alias("accepted")]
 
 
+def once(df: DataFrame, ts: str = "ts", tie: str = "id", seconds: int = DEDUPE_S, late: str = "10 minutes") -> Kept:
+    """(subscription, fingerprint, id, at, accepted) of a stream: of equal deliveries of a subscription the first is accepted, and holds for ``seconds``.
+
+    A delivery without a fingerprint is always accepted.  Of deliveries of one time the lowest id (``tie``, as a text) comes first.
+    """
+    key, within = ("subscription", "fingerprint"), seconds * 1_000_000
+    subscription, *rest = _told("subscription")
+    return Kept(
+        _timed(df, tie), ts, late, key, lambda rows: _in_order(rows, key, _accepted, within), _each(F.col(_AT) + F.lit(within)),
+        [subscription, F.col("fingerprint"), *rest], always="fingerprint is null",
+    )
+
+
 def _timed_late(df: DataFrame, ts: str, tie: str, late: str) -> DataFrame:
     """A row without a time has no place in an order: it stays out, as Spark's own windows have it."""
     return df.where(F.col(ts).isNotNull()).withWatermark(ts, late).withColumns({"_at": F.unix_micros(ts), "_id": F.col(tie).cast("string")})
@@ -284,19 +271,6 @@ def _times(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.timestamp_micros(c) for c in columns})
 
 
-def once(df: DataFrame, ts: str = "ts", tie: str = "id", seconds: int = DEDUPE_S, late: str = "10 minutes") -> DataFrame:
-    """(subscription, fingerprint, id, at, accepted) of a stream: of equal deliveries of a subscription the first is accepted, and holds for ``seconds``.
-
-    A delivery without a fingerprint is always accepted.  Of deliveries of one time the lowest id (``tie``, as a text) comes first.
-    """
-    timed = _timed_late(df, ts, tie, late)
-    keyed = timed.where("fingerprint is not null").groupBy("subscription", "fingerprint")
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    out = keyed.transformWithState(_Once(seconds * 1_000_000), f"subscription {kinds['subscription']}, fingerprint string, id string, at long, accepted boolean", "append", "eventTime")
-    rest = timed.where("fingerprint is null").select("subscription", F.lit(None).cast("string").alias("fingerprint"), F.col("_id").alias("id"), F.col("_at").alias("at"), F.lit(True).alias("accepted"))
-    return _times(out.unionByName(rest), "at")
-
-
 def within_limit(df: DataFrame, ts: str = "ts", tie: str = "id", most: int = PER_MINUTE, late: str = "10 minutes") -> DataFrame:
     """(subscription, id, at, accepted): the first ``most`` deliveries of a subscription in each minute of the clock are accepted.
 

@@ -101,3 +101,34 @@ def test_a_batch_that_failed_runs_again(spark, tmp_path, monkeypatch):
             _come(spark, tmp_path, rule, [("s", "", "", _at(t), t) for t in (100, 401, 2000)])
     got = _come(spark, tmp_path, rule, [END]).collect()
     assert {(r.opened, r.dirty) for r in got} == {(_at(0), True), (_at(401), False), (_at(1000), False), (_at(2000), False)}
+
+
+def test_many_deliveries_of_bodies_once(spark, tmp_path):
+    got, took = _many(spark, tmp_path, lambda s: keyed.once(deliveries.fingerprinted(s)))
+    assert got == 100_000 and took < 60
+
+
+def _once(rows, within):
+    """{id: accepted} by plain Python, of deliveries that come in order."""
+    last, out = {}, {}
+    for subscription, delivery, body, at, k in sorted(rows, key=lambda r: (r[3], str(r[4]))):
+        key = (subscription, delivery or body)
+        out[k] = not key[1] or key not in last or (at - last[key]).total_seconds() >= within
+        if out[k]:
+            last[key] = at
+    return out
+
+
+def test_once_over_batches_of_arrow_and_of_the_stream(small, tmp_path):
+    """Without a subscription, without a fingerprint, at one time: each in its place, whichever batch brings it."""
+    rng = random.Random(13)
+    rows = sorted([(rng.choice(["a", "b", None]), rng.choice(["", "d", "e"]), "", _at(rng.randrange(6000) / 2), k) for k in range(600)], key=lambda r: r[3])
+    parts = [rows[:200], rows[200:201], rows[201:450], [*rows[450:], END]]
+    got = _come(small, tmp_path, lambda s: keyed.once(deliveries.fingerprinted(s), seconds=60, late="1 hour"), *parts).where("id <> '-1'").collect()
+    assert {int(r.id): r.accepted for r in got} == _once(rows, 60) and len(got) == 600
+
+
+def test_what_has_no_fingerprint_is_accepted_however_late(spark, tmp_path):
+    rule = lambda s: keyed.once(deliveries.fingerprinted(s))
+    got = _come(spark, tmp_path, rule, [("s", "d", "", _at(0), 1), ("s", "", "", _at(5000), 2)], [("s", "", "", _at(1), 3), ("s", "d", "", _at(2), 4), ("s", "d", "", _at(5000), 5)], [END])
+    assert {int(r.id): r.accepted for r in got.where("id <> '-1'").collect()} == {1: True, 2: True, 3: True, 5: True}
