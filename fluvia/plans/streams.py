@@ -117,10 +117,11 @@ UNION ALL SELECT user_id, coalesce(nullif(event_type, 'error'), '') FROM events
 """)
 def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A body is accepted once for as long as the table lasts; deliveries without id and body all are."""
-    every = _deliveries(spark, sf_dir).withColumnRenamed("event_id", "id")
+    # An id of some kind tells every event from the row that comes last.
+    every = _deliveries(spark, sf_dir).withColumn("id", F.coalesce(F.col("event_id").cast("string"), F.lit(""))).drop("event_id")
     out = _accepted(spark, every, lambda s: keyed.once(deliveries.fingerprinted(s), seconds=3650 * 86_400), "once")
-    bodies = every.select(F.col("id").cast("string").alias("id"), "body")
-    return out.where("accepted and id is not null").join(bodies, "id").select("subscription", F.coalesce("body", F.lit("")).alias("body"))
+    bodies = deliveries.fingerprinted(every).where("fingerprint is not null").select("fingerprint", "body").distinct()
+    return out.where("accepted and id is not null").join(bodies, "fingerprint", "left").select("subscription", F.coalesce("body", F.lit("")).alias("body"))
 
 
 @query("SELECT user_id AS subscription, date_trunc('minute', ts) AS minute, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2")

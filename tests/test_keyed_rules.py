@@ -4,9 +4,11 @@ import datetime as dt
 import random
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from fluvia.plans import registry, streams
 from fluvia.streaming import deliveries, keyed, landing
 
 SCHEMA = "subscription string, delivery_id string, body string, ts timestamp, id long"
@@ -132,3 +134,15 @@ def test_what_has_no_fingerprint_is_accepted_however_late(spark, tmp_path):
     rule = lambda s: keyed.once(deliveries.fingerprinted(s))
     got = _come(spark, tmp_path, rule, [("s", "d", "", _at(0), 1), ("s", "", "", _at(5000), 2)], [("s", "", "", _at(1), 3), ("s", "d", "", _at(2), 4), ("s", "d", "", _at(5000), 5)], [END])
     assert {int(r.id): r.accepted for r in got.where("id <> '-1'").collect()} == {1: True, 2: True, 3: True, 5: True}
+
+
+def test_events_whose_ids_are_not_their_own(spark, tmp_path):
+    """Equal ids and none: every accepted body is given once."""
+    rng = random.Random(17)
+    rows = [(rng.choice([1, 2, 2, None]), _at(rng.randrange(2_000_000)), rng.choice([1, 2, None]), rng.choice(["error", "view", "click", "", None]), 1.0, "{}") for _ in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    want = con.execute(registry.SQL["stream_once"]).fetchall()
+    got = streams.stream_once(spark, str(tmp_path)).collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
