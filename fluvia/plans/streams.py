@@ -39,7 +39,7 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = 3
 
 
-def _accepted(spark: SparkSession, df: DataFrame, rule: Callable[[DataFrame], DataFrame | keyed.Kept], name: str) -> DataFrame:
+def _accepted(spark: SparkSession, df: DataFrame, rule: Callable[[DataFrame], keyed.Kept], name: str) -> DataFrame:
     """What ``rule`` gives of deliveries (``ts``) that come slice by slice, the stream stopped and started again between.
 
     A row later than all, of no subscription, comes last: it moves the watermark past all others.
@@ -56,8 +56,7 @@ def _accepted(spark: SparkSession, df: DataFrame, rule: Callable[[DataFrame], Da
             last = df.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("interval 2 days")).alias("ts"))
             part = part.unionByName(last, allowMissingColumns=True)
         part.write.mode("append").parquet(f"{path}/in")
-        with keyed.keyed_state(spark):
-            out = landing.drained(rule(landing.files(spark, f"{path}/in", df.schema, 1_000_000)), path)
+        out = landing.drained(rule(landing.files(spark, f"{path}/in", df.schema, 1_000_000)), path)
     return out
 
 

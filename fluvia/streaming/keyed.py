@@ -14,13 +14,11 @@ import contextlib
 import functools
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # How long an accepted delivery is remembered, how long a window stays open, deliveries of a minute.
 DEDUPE_S, WINDOW_S, PER_MINUTE = 600, 30, 120
@@ -33,8 +31,6 @@ _AT, _ID, _SAYS = "_at", "_id", "_says"
 _HELD = "_held"
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-#: Deliveries of a batch that are held before they go into the state.
-_MOST_HELD = 1000
 
 
 @contextlib.contextmanager
@@ -165,76 +161,6 @@ def _in_order(rows: DataFrame, key: Sequence[str], fold: Callable[..., Iterator[
     return dealt.mapInArrow(functools.partial(fold, key=list(key), within=within), rows.schema)
 
 
-class _InOrder(StatefulProcessor):
-    """Hands a key's deliveries (at: microseconds, id) in order to ``taken``."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "ms long", "rows array<struct<at: long, id: string>>")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        held: dict[int, list[tuple[int, str]]] = {}
-        n = 0
-        for row in rows:
-            held.setdefault(row["_at"] // 1000, []).append((row["_at"], row["_id"]))
-            n += 1
-            if n % _MOST_HELD == 0:
-                self._keep(held)
-                held = {}
-        self._keep(held)
-        yield from ()
-
-    def _keep(self, held: dict[int, list[tuple[int, str]]]) -> None:
-        for ms, new in held.items():
-            have = self.waiting.getValue((ms,))
-            self.waiting.updateValue((ms,), ([tuple(r) for r in have[0]] + new if have else new,))
-            self.handle.registerTimer(ms)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        yield from self.passed(key, ms)
-        rows = self.waiting.getValue((ms,))
-        if rows:
-            self.waiting.removeKey((ms,))
-            # Those of one millisecond: by their microsecond and id.
-            for at, name in sorted((r[0], r[1] or "") for r in rows[0]):
-                yield from self.taken(key, at, name)
-
-    def passed(self, key: Any, ms: int) -> Iterator[Row]:
-        """Time has come to ``ms``."""
-        yield from ()
-
-    def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
-        raise NotImplementedError
-
-    def close(self) -> None:
-        pass
-
-
-class _Limited(_InOrder):
-    """Accepts the first ``most`` deliveries of a key; a key is a subscription's minute, so its state goes when the minute is over."""
-
-    def __init__(self, most: int) -> None:
-        self.most = most
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.count = handle.getValueState("count", "n long")
-
-    def passed(self, key: Any, ms: int) -> Iterator[Row]:
-        if ms >= (key[1] + 1) * 60_000:
-            self.count.clear()
-        yield from ()
-
-    def taken(self, key: Any, at: int, name: str) -> Iterator[Row]:
-        have = self.count.get()
-        n = (have[0] if have else 0) + 1
-        if n == 1:
-            self.handle.registerTimer((key[1] + 1) * 60_000)
-        self.count.update((n,))
-        yield Row(subscription=key[0], id=name, at=at, accepted=n <= self.most)
-
-
 def _timed(df: DataFrame, tie: str) -> DataFrame:
     return df.withColumn(_ID, F.col(tie).cast("string"))
 
@@ -262,24 +188,17 @@ def once(df: DataFrame, ts: str = "ts", tie: str = "id", seconds: int = DEDUPE_S
     )
 
 
-def _timed_late(df: DataFrame, ts: str, tie: str, late: str) -> DataFrame:
-    """A row without a time has no place in an order: it stays out, as Spark's own windows have it."""
-    return df.where(F.col(ts).isNotNull()).withWatermark(ts, late).withColumns({"_at": F.unix_micros(ts), "_id": F.col(tie).cast("string")})
-
-
-def _times(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.timestamp_micros(c) for c in columns})
-
-
-def within_limit(df: DataFrame, ts: str = "ts", tie: str = "id", most: int = PER_MINUTE, late: str = "10 minutes") -> DataFrame:
+def within_limit(df: DataFrame, ts: str = "ts", tie: str = "id", most: int = PER_MINUTE, late: str = "10 minutes") -> Kept:
     """(subscription, id, at, accepted): the first ``most`` deliveries of a subscription in each minute of the clock are accepted.
 
-    State is by subscription and minute, so that a busy subscription is many keys.
+    They are ranked by subscription and minute, so that a busy subscription is many groups; of the minute under way those that were accepted stay in the state.
     """
-    timed = _timed_late(df, ts, tie, late).withColumn("_minute", F.expr("_at div 60000000"))
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    out = timed.groupBy("subscription", "_minute").transformWithState(_Limited(most), f"subscription {kinds['subscription']}, id string, at long, accepted boolean", "append", "eventTime")
-    return _times(out, "at")
+    minute = F.expr(f"{_AT} div 60000000")
+    order = Window.partitionBy("subscription", minute).orderBy(_AT, F.desc(_HELD), F.asc_nulls_last(_ID))
+    return Kept(
+        _timed(df, tie), ts, late, ("subscription",), lambda rows: rows.withColumn(_SAYS, F.row_number().over(order) <= most), _each((minute + 1) * 60_000_000),
+        _told("subscription"),
+    )
 
 
 def debounced(df: DataFrame, key: str = "key", ts: str = "ts", tie: str = "id", seconds: int = WINDOW_S, late: str = "10 minutes") -> Kept:

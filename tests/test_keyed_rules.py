@@ -146,3 +146,23 @@ def test_events_whose_ids_are_not_their_own(spark, tmp_path):
     want = con.execute(registry.SQL["stream_once"]).fetchall()
     got = streams.stream_once(spark, str(tmp_path)).collect()
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
+
+
+def test_many_deliveries_by_minute(spark, tmp_path):
+    got, took = _many(spark, tmp_path, lambda s: keyed.within_limit(s, most=2))
+    assert got == 100_000 and took < 60
+
+
+def test_a_minute_that_batches_share(spark, tmp_path):
+    """The minute under way goes on with what it has accepted; one subscription is none."""
+    rng = random.Random(19)
+    rows = sorted([(rng.choice(["a", None]), "", "", _at(rng.randrange(900) + rng.random()), k) for k in range(400)], key=lambda r: r[3])
+    parts = [rows[:150], rows[150:151], rows[151:300], [*rows[300:], END]]
+    got = _come(spark, tmp_path, lambda s: keyed.within_limit(s, most=5, late="30 seconds"), *parts).where("id <> '-1'").collect()
+    seen, want = {}, {}
+    for key, _, _, at, k in rows:
+        seen[key, at.replace(second=0, microsecond=0)] = n = seen.get((key, at.replace(second=0, microsecond=0)), 0) + 1
+        want[k] = n <= 5
+    assert {int(r.id): r.accepted for r in got} == want and len(got) == 400
+    state = spark.read.parquet(f"file://{tmp_path}/out/data")
+    assert state.where("_batch = 2 and _part = 2").count() <= 10
