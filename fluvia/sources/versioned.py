@@ -14,11 +14,13 @@ the local file system writers of one process take turns).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import functools
 import json
 import threading
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -34,6 +36,12 @@ _ENTRY = "load_id string, run_id string, rows bigint, tombstones bigint, high st
 _GONE = "_gone"
 _COMMIT = threading.Lock()
 
+#: Row ids are noise to faster codecs, which leave them as long as they are.
+_CODEC = "zstd"
+#: Bytes of files that a task of a compaction takes.
+_TASK_BYTES = 32 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Taken(RuntimeError):
     """Loads that a commit would take are in an earlier one."""
@@ -134,6 +142,20 @@ def table(spark: SparkSession, root: str, number: int | None = None) -> DataFram
     return _of(spark, root, current(spark, root) if number is None else _read(spark, root, number))
 
 
+def by_buckets(spark: SparkSession, root: str, size: int = 256 << 20) -> list[DataFrame]:
+    """The rows of the newest version, some buckets at a time (``size`` bytes of files, or one bucket): those of one key are in one of the frames."""
+    version = current(spark, root)
+    groups: list[list[int]] = []
+    room = 0
+    for b in sorted(version.files):
+        room -= (own := _bytes(spark, root, version.files[b]))
+        if not groups or room < 0:
+            groups.append([])
+            room = size - own
+        groups[-1].append(b)
+    return [_of(spark, root, version, g) for g in groups] or [_of(spark, root, version)]
+
+
 def ledger(spark: SparkSession, root: str) -> DataFrame:
     """(version, load_id, run_id, rows, tombstones, high, taken, counts, warnings, committed_at) of every commit that landed a load, from the log alone."""
     logged = spark.read.schema(f"load struct<{_ENTRY}>").option("pathGlobFilter", "[0-9]*.json").json(f"{root}/log")
@@ -154,6 +176,17 @@ def _bucket(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in key]), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
+@contextlib.contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """What jobs inside deal out leaves the executors' disks when each has ended, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before) if before else spark.conf.unset(_CLEANUP)
+
+
 def _written(df: DataFrame, key: Sequence[str], buckets: int, root: str, counted: Callable[[DataFrame], DataFrame] = lambda d: d) -> dict[int, tuple[str, ...]]:
     """The folders of each bucket that ``df`` has rows of.  Small buckets share a task, a large one has several.
 
@@ -161,8 +194,26 @@ def _written(df: DataFrame, key: Sequence[str], buckets: int, root: str, counted
     """
     name = f"data/{uuid.uuid4().hex}"
     dealt = df.withColumn(BUCKET, _bucket(key, buckets)).hint("rebalance", BUCKET)
-    counted(dealt).write.partitionBy(BUCKET).parquet(f"{root}/{name}")
-    return {int(n.split("=")[1]): (f"{name}/{n}",) for n, _ in _names(df.sparkSession, f"{root}/{name}") if n.startswith(BUCKET)}
+    with swept(df.sparkSession):
+        counted(dealt).write.partitionBy(BUCKET).option("compression", _CODEC).parquet(f"{root}/{name}")
+    return _folders(df.sparkSession, root, name)
+
+
+def _folders(spark: SparkSession, root: str, name: str) -> dict[int, tuple[str, ...]]:
+    return {int(n.split("=")[1]): (f"{name}/{n}",) for n, _ in _names(spark, f"{root}/{name}") if n.startswith(BUCKET)}
+
+
+def _bytes(spark: SparkSession, root: str, folders: Sequence[str]) -> int:
+    return sum(fs.getContentSummary(where).getLength() for where, fs in (_path(spark, f"{root}/{f}") for f in folders))
+
+
+def _together(spark: SparkSession, root: str, version: Version, buckets: Sequence[int]) -> dict[int, tuple[str, ...]]:
+    """The rows of these buckets as one folder each.  They lie in their bucket already: tasks read files and write them, nothing is dealt out."""
+    name = f"data/{uuid.uuid4().hex}"
+    # Two tasks a bucket at least: Spark makes one of all, where each has one.
+    parts = [_of(spark, root, version, [b]).coalesce(2 + _bytes(spark, root, version.files[b]) // _TASK_BYTES).withColumn(BUCKET, F.lit(b)) for b in buckets]
+    functools.reduce(DataFrame.unionAll, parts).write.partitionBy(BUCKET).option("compression", _CODEC).parquet(f"{root}/{name}")
+    return _folders(spark, root, name)
 
 
 def landed(spark: SparkSession, root: str, load: str) -> bool:
@@ -247,7 +298,7 @@ def merge(
 def append(df: DataFrame, root: str, load: str, run: str | None = None, cursor: str | None = None) -> Version:
     """Add ``df`` and read nothing of what is there; the table's key must be the stamped row id.
 
-    Equal rows all stay: each row's id is made anew of the row, the load and its place among those written.
+    Equal rows all stay: each row's id is made anew of the row, the load and its place among those written (128 bits of their hash).
     A load that is landed already adds nothing.
     """
     base = current(df.sparkSession, root)
@@ -255,7 +306,8 @@ def append(df: DataFrame, root: str, load: str, run: str | None = None, cursor:
         raise ValueError("an append goes to a table whose key is the row id")
     if land.ROW not in df.columns:
         raise ValueError("rows that are appended have their stamps")
-    own = F.sha2(F.concat_ws(":", F.col(land.ROW), F.lit(load), F.monotonically_increasing_id().cast("string")), 256)
+    told = F.sha2(F.concat_ws(":", F.col(land.ROW), F.lit(load), F.monotonically_increasing_id().cast("string")), 256)
+    own = F.rtrim(F.base64(F.unhex(F.left(told, F.lit(32)))), F.lit("="))
     return merge(df.withColumn(land.ROW, F.when(F.col(land.ROW).isNotNull(), own)), root, load, run, cursor=cursor, append=True)
 
 
@@ -268,7 +320,7 @@ def compact(spark: SparkSession, root: str, most: int = 8) -> Version:
     many = {b: f for b, f in base.files.items() if len(f) > most}
     if not many:
         return base
-    made = _written(_of(spark, root, base, sorted(many)), land.merge_key(base.key, _of(spark, root, base, ())), base.buckets, root)
+    made = _together(spark, root, base, sorted(many))
     while True:
         done = {b: (*made.get(b, ()), *base.files[b][len(f):]) for b, f in many.items() if base.files.get(b, ())[: len(f)] == f}
         version = Version(base.number + 1, base.key, base.buckets, base.schema, dict(base.files) | done)
